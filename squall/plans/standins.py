@@ -565,8 +565,10 @@ SELECT event_id, round_even((value * 1.8 + 32.0) * 100.0, 0) / 100.0 AS temperat
 """
 
 
-def _history_records(spark, d) -> DataFrame:
-    ev = _read(spark, d, "events").where(F.col("ts") < F.lit(HISTORY_CUTOFF).cast("timestamp_ntz"))
+def _history_records(spark, d, whole: bool = False) -> DataFrame:
+    ev = _read(spark, d, "events")
+    if not whole:
+        ev = ev.where(F.col("ts") < F.lit(HISTORY_CUTOFF).cast("timestamp_ntz"))
     return ev.select(
         F.col("event_id").cast("string").alias("status_id"),
         F.col("ts").cast("string").alias("date"),
@@ -691,6 +693,80 @@ FROM m
 """
 
 
+# ------------------------------------------------------------ streaming ---
+
+def _records_dir(spark, d, copies: int = 1) -> str:
+    """Every event written as a historical alert record (JSON lines) into a
+    new folder of the shared directory, ``copies`` times (re-polled snapshots)."""
+    from squall.session import fresh_dir
+    path = fresh_dir(spark, "bronze-records")
+    recs = _history_records(spark, d, whole=True)
+    for i in range(copies):
+        recs.write.mode("append").json(f"{path}/poll={i}")
+    return path
+
+
+def q_stream_ingest(spark, d):
+    """T1 (+S4, P6, E1, E4, P10, E12, F2, P8): bronze record files -> silver
+    rows with a file-source stream, availableNow, Parquet sink."""
+    from squall.session import fresh_dir
+    from squall.streaming import incremental as T
+    src = _records_dir(spark, d)
+    out = fresh_dir(spark, "silver-stream")
+    stream = T.read_json_stream(spark, f"{src}/*", schemas.HISTORICAL_ALERT_RECORD)
+    T.run_to_end(T.ingest(stream, silver.historical_alert_rows, f"{out}/data", f"{out}/_checkpoint"))
+    return ntz(spark.read.schema(schemas.ALERT).parquet(f"{out}/data"))
+
+
+def q_stream_dedup(spark, d):
+    """The same records polled twice; repeats dropped within the watermark."""
+    from squall.session import fresh_dir
+    from squall.streaming import incremental as T
+    src = _records_dir(spark, d, copies=2)
+    out = fresh_dir(spark, "silver-dedup")
+    stream = T.read_json_stream(spark, f"{src}/*", schemas.HISTORICAL_ALERT_RECORD)
+    transform = lambda s: T.dedup_alerts(silver.historical_alert_rows(s), STREAM_WATERMARK)
+    T.run_to_end(T.ingest(stream, transform, f"{out}/data", f"{out}/_checkpoint"))
+    return ntz(spark.read.schema(schemas.ALERT).parquet(f"{out}/data"))
+
+
+def q_stream_enrich(spark, d):
+    """Silver alert snapshots streamed through J2 + J3 into the fact."""
+    from squall.session import fresh_dir
+    from squall.streaming import incremental as T
+    base = fresh_dir(spark, "gold-stream")
+    alerts(spark, d).write.parquet(f"{base}/silver_alerts")
+    stream = T.read_parquet_stream(spark, f"{base}/silver_alerts", schemas.ALERT)
+    wx = gold.prepare_weather(weather(spark, d))
+    T.run_to_end(T.enrich_and_append(stream, wx, f"{base}/fact", f"{base}/_checkpoint", ASOF_TOLERANCE_S))
+    from squall.sources import sinks
+    fact = sinks.read_fact(spark, f"{base}/fact")
+    return ntz(fact.select("entity_id", "routeId", "start", "weather_start", "weather_end", "temperature",
+                           "shortForecast", "weather_date"))
+
+
+SQL_HISTORY_ROWS = f"""
+WITH h AS (SELECT CAST(event_id AS VARCHAR) AS entity_id, ts AS start, ts + INTERVAL 1 HOUR AS "end",
+                  CASE WHEN event_type = 'signup' THEN 'Unknown'
+                       ELSE 'R' || CAST(user_id % 5 AS VARCHAR) || ' | Q' END AS affected,
+                  {_sql_pick(HEADER_PHRASES, f"({_SQL_K} % {len(HEADER_PHRASES)})")} AS header_text,
+                  event_type AS description_text
+           FROM events),
+hu AS (SELECT entity_id, unnest(string_split(affected, ' | ')) AS part, start, "end", header_text,
+              description_text FROM h)
+SELECT entity_id, trim(part) AS routeId, start, "end", header_text, description_text FROM hu
+WHERE trim(part) <> ''
+"""
+
+SQL_STREAM_ENRICH = f"""
+WITH m AS ({SQL_ASOF})
+SELECT entity_id, routeId, start, {_sql_round('weather_start', K.FACT_ROUND_SECONDS)} AS weather_start,
+       weather_end, temperature, shortForecast,
+       CAST({_sql_round('weather_start', K.FACT_ROUND_SECONDS)} AS DATE) AS weather_date
+FROM m
+"""
+
+
 QUERIES = {
     "asof_nearest": q_asof_nearest,
     "asof_daily_summary": q_asof_daily_summary,
@@ -713,6 +789,9 @@ QUERIES = {
     "latest_snapshot": q_latest_snapshot,
     "export_rows": q_export_rows,
     "gold_fact": q_gold_fact,
+    "stream_ingest": q_stream_ingest,
+    "stream_dedup": q_stream_dedup,
+    "stream_enrich": q_stream_enrich,
 }
 
 ORACLES = {
@@ -737,4 +816,7 @@ ORACLES = {
     "latest_snapshot": SQL_LATEST_SNAPSHOT,
     "export_rows": SQL_EXPORT_ROWS,
     "gold_fact": SQL_GOLD_FACT,
+    "stream_ingest": SQL_HISTORY_ROWS,
+    "stream_dedup": "SELECT DISTINCT * FROM (" + SQL_HISTORY_ROWS + ")",
+    "stream_enrich": SQL_STREAM_ENRICH,
 }
