@@ -15,8 +15,8 @@ def _col(c) -> Column:
 def round_dp(c, digits: int = 2) -> Column:
     """Scale, round half to even, unscale — the array-library rounding.
 
-    0.125 -> 0.12 and 2.675 -> 2.67 (the product is 267.49999...). ``bround``
-    rounds the decimal text instead and would give 2.68.
+    0.125 -> 0.12 and 39.355 -> 39.35 (the product is 3935.4999...). ``bround``
+    rounds the decimal text instead and would give 39.36.
     """
     scale = float(10 ** digits)
     return F.rint(_col(c).cast("double") * F.lit(scale)) / F.lit(scale)
