@@ -62,8 +62,13 @@ def matches_any(columns_to_keywords: Mapping[str, Sequence[str]] | Sequence[tupl
     candidates are null is filtered out, as in SQL.
     """
     items = columns_to_keywords.items() if isinstance(columns_to_keywords, Mapping) else columns_to_keywords
-    expr = None
+    # the same column listed twice is scanned once with the union of its keywords
+    merged: dict[str, tuple[object, list[str]]] = {}
     for c, kws in items:
+        slot = merged.setdefault(str(_col(c)), (c, []))
+        slot[1].extend(k for k in kws if k not in slot[1])
+    expr = None
+    for c, kws in merged.values():
         term = contains_any(c, kws, case_sensitive)
         expr = term if expr is None else (expr | term)
     return F.lit(False) if expr is None else expr

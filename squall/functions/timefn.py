@@ -48,8 +48,8 @@ def epoch_seconds_timestamp(c) -> Column:
     seconds are kept.
     """
     seconds = _col(c).cast("string").try_cast("double")
-    ok = seconds.isNotNull() & ~F.isnan(seconds) & (F.abs(seconds) < F.lit(_MAX_EPOCH_SECONDS))
-    return F.when(ok, F.timestamp_seconds(seconds))
+    # NaN sorts above every number in Spark, so one comparison rejects it too
+    return F.when(F.abs(seconds) < F.lit(_MAX_EPOCH_SECONDS), F.timestamp_seconds(seconds))
 
 
 def plus_seconds(c, seconds: int) -> Column:

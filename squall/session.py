@@ -81,3 +81,11 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a frame whose source yields fewer splits than there are
+    cores (e.g. one large file with few row groups), before CPU-heavy per-row
+    work. A no-op when the source is already split wider (the cluster case)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
