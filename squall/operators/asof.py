@@ -40,6 +40,13 @@ _ROW = "__asof_row"
 _MATCH = "__asof_match"
 
 
+# Below this many estimated input bytes the sort runs as one segment and the
+# quantile pass is skipped. The estimate is Catalyst's: scan sizes, kept for
+# filters and projections and multiplied for joins, so it over-states, never
+# under-states, what reaches the segment sort.
+SINGLE_SEGMENT_MAX_BYTES = 32 * 1024 * 1024
+
+
 def default_segments(spark) -> int:
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -48,6 +55,15 @@ def default_segments(spark) -> int:
     return max(1, 2 * parts)
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan, or None when unavailable."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        return None
+
+
 def segment_bounds(times: DataFrame, column: str, segments: int) -> list[float]:
     """Approximate quantile cut points of ``column`` (one aggregate job).
 
@@ -109,8 +125,12 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     lt = left.select(epoch_micros(left_on).alias(_T)).where(F.col(_T).isNotNull())
 
     # 3. balanced segment bounds over both sides
-    n = segments or default_segments(spark)
     times = lt.unionByName(right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull()))
+    if segments is None:
+        size = estimated_bytes(times)
+        n = 1 if size is not None and size <= SINGLE_SEGMENT_MAX_BYTES else default_segments(spark)
+    else:
+        n = segments
     bounds = segment_bounds(times, _T, n)
     nseg = len(bounds) + 1
 
