@@ -102,6 +102,10 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     reduced to the first by ``right_order`` (default: all right columns);
     ``right_unique=True`` skips that step when the caller already guarantees
     one row per instant.
+
+    Both inputs are read up to three times (bounds, distinct instants / right
+    rows, join back); pass materialised frames when they are expensive to
+    recompute.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")

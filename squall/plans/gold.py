@@ -14,6 +14,7 @@ from squall.operators.asof import asof_nearest
 from squall.operators.dedup import first_per_key
 from squall.operators.reshape import rename
 from squall.sources import sinks
+from squall.session import shared_dir
 from squall.sources.snapshots import live_and_latest_history
 
 
@@ -97,7 +98,14 @@ def run_gold(spark: SparkSession, alerts_root: str, weather_root: str, gold_root
     weather = live_and_latest_history(spark, weather_root, schemas.WEATHER)
     if alerts is None or weather is None:
         return {"status": "missing silver input"}
-    gold = combine(prepare_alerts(alerts), prepare_weather(weather), unique_weather=True)
+    # The as-of join reads each input more than once (bounds, distinct
+    # instants, join back); the prepared frames are aggregations, so they are
+    # materialised once in the shared checkpoint folder (lineage cut, safe
+    # against executor loss) instead of being recomputed.
+    shared_dir(spark)
+    prepared_alerts = prepare_alerts(alerts).checkpoint(eager=True)
+    prepared_weather = prepare_weather(weather).checkpoint(eager=True)
+    gold = combine(prepared_alerts, prepared_weather, unique_weather=True)
     metrics = sinks.append_new(gold, f"{gold_root}/fact", batch_id)
     fact = sinks.read_fact(spark, f"{gold_root}/fact")
     summary_written = sinks.write_summary(summarize(gold), f"{gold_root}/daily_summary")
