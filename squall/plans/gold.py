@@ -92,7 +92,8 @@ def impact_view(fact: DataFrame) -> DataFrame:
 
 
 def run_gold(spark: SparkSession, alerts_root: str, weather_root: str, gold_root: str,
-             batch_id: int, export: bool = True) -> dict:
+             batch_id: int, export: bool = True,
+             tolerance_seconds: float = K.ASOF_TOLERANCE_SECONDS) -> dict:
     """One gold run over silver snapshots (entry B)."""
     alerts = live_and_latest_history(spark, alerts_root, schemas.ALERT)
     weather = live_and_latest_history(spark, weather_root, schemas.WEATHER)
@@ -105,8 +106,9 @@ def run_gold(spark: SparkSession, alerts_root: str, weather_root: str, gold_root
     shared_dir(spark)
     prepared_alerts = prepare_alerts(alerts).checkpoint(eager=True)
     prepared_weather = prepare_weather(weather).checkpoint(eager=True)
-    gold = combine(prepared_alerts, prepared_weather, unique_weather=True)
-    metrics = sinks.append_new(gold, f"{gold_root}/fact", batch_id)
+    # the joined rows feed both the fact and the summary: materialise once
+    gold = combine(prepared_alerts, prepared_weather, tolerance_seconds, unique_weather=True).checkpoint(eager=True)
+    metrics = sinks.append_new(gold, f"{gold_root}/fact", batch_id, materialized=True)
     fact = sinks.read_fact(spark, f"{gold_root}/fact")
     summary_written = sinks.write_summary(summarize(gold), f"{gold_root}/daily_summary")
     metrics["summary_written"] = summary_written

@@ -247,16 +247,21 @@ WHERE {_sql_like_any('text', K.HEADER_WEATHER_KEYWORDS)} OR {_sql_like_any('text
 
 
 def q_extract_predicate(spark, d):
-    """agency + case-sensitive keywords in header or description."""
-    agency = F.when(F.col("user_id") % 2 == 0, F.lit("Subway")).otherwise(F.lit("Bus"))
+    """agency + case-sensitive keywords in header or description (agency
+    from the event's measured value)."""
+    agency = F.when(F.col("value") < 250, F.lit("Subway")).otherwise(F.lit("Bus"))
     a = alerts(spark, d, extra=[agency.alias("agency")])
     return (a.where(extract_predicate("agency", "header_text", "description_text"))
              .select("entity_id", "agency", "header_text"))
 
 
 SQL_EXTRACT_PREDICATE = f"""
-WITH b AS (SELECT x.*, CASE WHEN e.user_id % 2 = 0 THEN 'Subway' ELSE 'Bus' END AS agency
-           FROM ({SQL_ALERTS}) x JOIN events e ON CAST(e.event_id AS VARCHAR) = x.entity_id)
+WITH b AS (SELECT CAST(e.event_id AS VARCHAR) AS entity_id,
+                  CASE WHEN e.value < 250 THEN 'Subway' ELSE 'Bus' END AS agency,
+                  {_sql_pick(HEADER_PHRASES, f"({_SQL_K.replace('props', 'e.props')} % {len(HEADER_PHRASES)})")} AS header_text,
+                  d.text AS description_text
+           FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id
+           WHERE e.event_type = 'error')
 SELECT entity_id, agency, header_text FROM b
 WHERE agency = '{K.EXTRACT_AGENCY}' AND ({_sql_like_any('header_text', K.EXTRACT_KEYWORDS, lower=False)}
                                         OR {_sql_like_any('description_text', K.EXTRACT_KEYWORDS, lower=False)})
@@ -699,6 +704,30 @@ FROM m
 """
 
 
+def q_gold_view(spark, d):
+    """Entry B over silver snapshots: S6 writes (with a stale older snapshot of
+    each feed), S2 + S3 + A8 + U1 reads, A7, F1, J2, E6, J3, S7, S8, S9, S10.
+    Returns the reporting view."""
+    import datetime as dt
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    base = fresh_dir(spark, "medallion")
+    a_root, w_root, g_root = f"{base}/silver/alerts", f"{base}/silver/weather", f"{base}/gold"
+    cut = F.lit(HISTORY_CUTOFF).cast("timestamp")
+    a, w = alerts(spark, d), weather(spark, d)
+    old, new, live = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2), dt.datetime(2024, 2, 3)
+    sinks.write_snapshot(a.where(F.col("start") < cut).withColumn("header_text", F.lit("stale")),
+                         a_root, K.SOURCE_HISTORICAL, old)
+    sinks.write_snapshot(a.where(F.col("start") < cut), a_root, K.SOURCE_HISTORICAL, new)
+    sinks.write_snapshot(a.where(F.col("start") >= cut), a_root, K.SOURCE_LIVE, live)
+    sinks.write_snapshot(w.where(F.col("startTime") < cut), w_root, K.SOURCE_HISTORICAL, old)
+    sinks.write_snapshot(w.where(F.col("startTime") >= cut).withColumn("shortForecast", F.lit("Stale Snow")),
+                         w_root, K.SOURCE_LIVE, old)
+    sinks.write_snapshot(w.where(F.col("startTime") >= cut), w_root, K.SOURCE_LIVE, live)
+    gold.run_gold(spark, a_root, w_root, g_root, batch_id=1, tolerance_seconds=ASOF_TOLERANCE_S)
+    return ntz(spark.read.schema(schemas.FACT).parquet(f"{g_root}/fact").transform(impact_aggregate))
+
+
 # ------------------------------------------------------------ streaming ---
 
 def _records_dir(spark, d, copies: int = 1) -> str:
@@ -795,6 +824,7 @@ QUERIES = {
     "latest_snapshot": q_latest_snapshot,
     "export_rows": q_export_rows,
     "gold_fact": q_gold_fact,
+    "gold_view": q_gold_view,
     "stream_ingest": q_stream_ingest,
     "stream_dedup": q_stream_dedup,
     "stream_enrich": q_stream_enrich,
@@ -822,6 +852,7 @@ ORACLES = {
     "latest_snapshot": SQL_LATEST_SNAPSHOT,
     "export_rows": SQL_EXPORT_ROWS,
     "gold_fact": SQL_GOLD_FACT,
+    "gold_view": SQL_IMPACT,
     "stream_ingest": SQL_HISTORY_ROWS,
     "stream_dedup": "SELECT DISTINCT * FROM (" + SQL_HISTORY_ROWS + ")",
     "stream_enrich": SQL_STREAM_ENRICH,

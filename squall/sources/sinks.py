@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -44,7 +45,8 @@ def fact_rows(gold: DataFrame, batch_id: int) -> DataFrame:
                 .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
 
 
-def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY) -> dict:
+def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
+               materialized: bool = False) -> dict:
     """J3 + S7 + A9: append the gold rows whose key is not yet in the fact.
 
     * When a fact exists, the new rows are checkpointed first (shared checkpoint
@@ -56,14 +58,16 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY) -
     * The write replaces only this batch's partitions (dynamic overwrite), so a
       retried batch replaces itself instead of appending twice.
 
+    ``materialized=True`` tells it ``gold`` is already checkpointed by the caller.
     Returns ``{"new_rows": n}`` collected through an ``Observation`` (no extra job).
     """
     spark = gold.sparkSession
     rows = fact_rows(gold, batch_id).select(*schemas.FACT.fieldNames())
     existing = read_fact(spark, fact_path)
-    if existing is not None:
+    if existing is not None and not materialized:
         shared_dir(spark)
         rows = rows.checkpoint(eager=True)
+    if existing is not None:
         existing = existing.where(F.col("batch_id") != F.lit(int(batch_id)))
         dates = rows.select("weather_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()
         if len(dates) <= MAX_PRUNED_DATES:
@@ -78,11 +82,19 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY) -
 
 
 def write_summary(summary: DataFrame, path: str) -> bool:
-    """Replace the summary; nothing is written when it is empty."""
-    if summary.isEmpty():
-        return False
-    summary.write.mode("overwrite").parquet(path)
-    return True
+    """Replace the summary; nothing is written when it is empty.
+
+    The summary is an aggregate (one row per day and route); it is kept in
+    memory/disk between the emptiness check and the write.
+    """
+    summary = summary.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if summary.isEmpty():
+            return False
+        summary.write.mode("overwrite").parquet(path)
+        return True
+    finally:
+        summary.unpersist()
 
 
 def register_view(df: DataFrame, name: str = "view_weather_impact") -> DataFrame:
@@ -110,7 +122,11 @@ def export_csv(view: DataFrame, path: str) -> bool:
 
     The sort is a distributed range sort; part files are in report order.
     """
-    if view.isEmpty():
-        return False
-    export_rows(view).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
-    return True
+    view = view.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if view.isEmpty():
+            return False
+        export_rows(view).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+        return True
+    finally:
+        view.unpersist()
