@@ -74,6 +74,10 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
             existing = existing.where(F.col("weather_date").isin([r[0] for r in dates if r[0] is not None]))
         rows = anti_join_null_safe(rows, existing.select(*key), key)
     obs = Observation(f"fact_append_{batch_id}")
+    # range-cluster by date before the partitioned write: each task covers a
+    # contiguous span of dates (files ~ tasks + dates, not tasks x dates) and a
+    # date holding a large share of the rows is split over several tasks
+    rows = rows.repartitionByRange("weather_date", "weather_start", "entity_id")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("weather_date", "batch_id").parquet(fact_path))
