@@ -11,17 +11,25 @@ from squall.functions.timefn import utc_date
 
 def daily_summary(fact: DataFrame, time_col: str = "weather_start", route_col: str = "routeId",
                   entity_col: str = "entity_id", temp_col: str = "temperature",
-                  forecast_col: str = "shortForecast") -> DataFrame:
+                  forecast_col: str = "shortForecast", exact_mean_scale: int | None = None) -> DataFrame:
     """A1: per (UTC date, route): distinct entities (A2), mean temperature (A3),
     most frequent forecast, ties to the smallest value (A4).
 
     Rows with a null route are not summarised. Output columns:
     alert_date, routeId, entity_id (a count), temperature, shortForecast.
+
+    ``exact_mean_scale=s`` declares that temperatures carry at most ``s``
+    decimals (the contracts round to 2) and computes the mean in decimal
+    arithmetic, rounded half-up at ``s + 4`` places: the same value however
+    the rows are partitioned, unlike a floating-point sum.
     """
+    temp = F.col(temp_col)
+    mean = (F.avg(temp) if exact_mean_scale is None
+            else F.avg(temp.cast(f"decimal(18,{exact_mean_scale})")).cast("double"))
     return (fact.where(F.col(route_col).isNotNull())
             .groupBy(utc_date(time_col).alias("alert_date"), F.col(route_col).alias("routeId"))
             .agg(F.count_distinct(entity_col).alias("entity_id"),
-                 F.avg(temp_col).alias("temperature"),
+                 mean.alias("temperature"),
                  F.mode(forecast_col, deterministic=True).alias("shortForecast")))
 
 

@@ -179,24 +179,30 @@ def q_asof_nearest(spark, d):
 
 
 def q_asof_daily_summary(spark, d):
-    """J2, E5, A1–A4."""
-    s = daily_summary(_gold(spark, d))
-    return s.withColumn("temperature", F.round("temperature", 6))
+    """J2, E5, A1–A4 (exact decimal mean: stand-in temperatures have 2 decimals)."""
+    return gold.summarize(_gold(spark, d))
 
 
-SQL_SUMMARY = f"""
+_SQL_SUMMARY_MICRO = f"""
 WITH m AS ({SQL_ASOF}),
 g AS (SELECT CAST(weather_start AS DATE) AS alert_date, routeId, entity_id, temperature, shortForecast
       FROM m WHERE routeId IS NOT NULL),
 agg AS (SELECT alert_date, routeId, COUNT(DISTINCT entity_id) AS entity_id,
-               ROUND(AVG(temperature), 6) AS temperature FROM g GROUP BY alert_date, routeId),
+               SUM(CAST(ROUND(temperature * 100) AS BIGINT)) AS cents, COUNT(temperature) AS n
+        FROM g GROUP BY alert_date, routeId),
+mean AS (SELECT *, CASE WHEN n > 0 THEN (2 * cents * 10000 + n) // (2 * n) END AS micro FROM agg),
 fc AS (SELECT alert_date, routeId, shortForecast, COUNT(*) AS n FROM g
        WHERE shortForecast IS NOT NULL GROUP BY alert_date, routeId, shortForecast),
 md AS (SELECT alert_date, routeId, shortForecast FROM (
          SELECT *, row_number() OVER (PARTITION BY alert_date, routeId ORDER BY n DESC, shortForecast) AS rn
          FROM fc) WHERE rn = 1)
-SELECT agg.alert_date, agg.routeId, agg.entity_id, agg.temperature, md.shortForecast
-FROM agg LEFT JOIN md ON md.alert_date = agg.alert_date AND md.routeId = agg.routeId
+SELECT mean.alert_date, mean.routeId, mean.entity_id, CAST(micro AS DOUBLE) / 1000000.0 AS temperature,
+       md.shortForecast, micro
+FROM mean LEFT JOIN md ON md.alert_date = mean.alert_date AND md.routeId = mean.routeId
+"""
+
+SQL_SUMMARY = f"""
+SELECT alert_date, routeId, entity_id, temperature, shortForecast FROM ({_SQL_SUMMARY_MICRO})
 """
 
 
@@ -666,15 +672,16 @@ WHERE date_trunc('day', ts) = (SELECT max(date_trunc('day', ts)) FROM events)
 def q_export_rows(spark, d):
     """S10 text form (E17, O1) of the daily summary."""
     s = q_asof_daily_summary(spark, d).withColumn(
-        "temperature", F.col("temperature").cast("decimal(20,6)"))
+        "temperature", F.col("temperature").cast("decimal(20,6)"))  # exact: the mean has 6 decimals
     return s.select(*[null_to_empty(c).alias(c) for c in s.columns])
 
 
 SQL_EXPORT_ROWS = f"""
-WITH s AS ({SQL_SUMMARY})
+WITH s AS ({_SQL_SUMMARY_MICRO})
 SELECT COALESCE(CAST(alert_date AS VARCHAR), '') AS alert_date, COALESCE(routeId, '') AS routeId,
        COALESCE(CAST(entity_id AS VARCHAR), '') AS entity_id,
-       COALESCE(CAST(CAST(temperature AS DECIMAL(20, 6)) AS VARCHAR), '') AS temperature,
+       COALESCE(CAST(micro // 1000000 AS VARCHAR) || '.' || lpad(CAST(micro % 1000000 AS VARCHAR), 6, '0'), '')
+         AS temperature,
        COALESCE(shortForecast, '') AS shortForecast
 FROM s
 """
