@@ -122,7 +122,10 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     if right_unique:
         r = r.select(_T, F.struct(*[F.col(c) for c in rcols]).alias(_ROW))
     else:
-        r = r.groupBy(_T).agg(F.min_by(F.struct(*[F.col(c) for c in rcols]), F.struct(*order)).alias(_ROW))
+        # first row per instant by (order, row): one struct carries keys and payload
+        keyed = F.min(F.struct(F.struct(*order).alias("__o"), *[F.col(c) for c in rcols])).alias("__best")
+        r = (r.groupBy(_T).agg(keyed)
+              .select(_T, F.struct(*[F.col("__best").getField(c).alias(c) for c in rcols]).alias(_ROW)))
     row_type = r.schema[_ROW].dataType
 
     # 2. distinct left instants

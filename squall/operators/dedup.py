@@ -36,18 +36,20 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Colum
 
     Ties after ``order`` are broken by the remaining columns, so the pick is
     deterministic. Null keys group together (nulls equal). Runs as a grouped
-    ``min_by`` with partial aggregation: a key holding a large share of the
-    rows is reduced on the map side instead of landing in one task.
+    ``min`` over one struct (order keys, then the row) with partial
+    aggregation: a key holding a large share of the rows is reduced on the
+    map side instead of landing in one task.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.dropDuplicates(key)
     desc = list(descending) if descending is not None else [False] * len(order)
-    ordering = [_order_key(df, c, d) for c, d in zip(order, desc)]
-    ordering += [F.col(c) for c in rest]
-    ordering = [o.alias(f"o{i}") for i, o in enumerate(ordering)]
-    out = df.groupBy(*key).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*ordering)).alias(_ROW))
+    ordering = [_order_key(df, c, d).alias(f"__o{i}") for i, (c, d) in enumerate(zip(order, desc))]
+    # one struct, compared field by field: the order keys, then the row itself
+    # (tie-break and payload at once, so the row is carried only once)
+    best = F.min(F.struct(*ordering, *[F.col(c) for c in rest])).alias(_ROW)
+    out = df.groupBy(*key).agg(best)
     return out.select(*[F.col(c) for c in key], *[F.col(_ROW).getField(c).alias(c) for c in rest]).select(*df.columns)
 
 
