@@ -17,12 +17,26 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
     """One multi-line JSON document (or a top-level array of records) per file.
 
     Adds ``ingest_ts`` = the file's modification time, the snapshot clock.
+    No matching file gives an empty frame with the schema (not an error).
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    existing = [p for p in paths if _matches(spark, p)]
+    if not existing:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("ingest_ts", F.lit(None).cast("timestamp"))
     reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
-    df = reader.json(list(paths) if not isinstance(paths, str) else paths)
+    df = reader.json(existing)
     return df.withColumn("ingest_ts", F.col("_metadata.file_modification_time"))
 
 
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def latest_snapshot(df: DataFrame, column: str = "ingest_ts") -> DataFrame:
     """Keep only the newest snapshot's rows."""
     return latest_by(df, column)

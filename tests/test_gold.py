@@ -153,3 +153,27 @@ def test_run_gold_end_to_end(spark, tmp):
 def test_run_gold_with_missing_inputs(spark, tmp):
     out = gold.run_gold(spark, os.path.join(tmp, "none1"), os.path.join(tmp, "none2"), os.path.join(tmp, "g"), 1)
     assert out == {"status": "missing silver input"}
+
+
+def _silver(spark, root, alerts=None, weather=None, source="live"):
+    if alerts is not None:
+        sinks.write_snapshot(alert_df(spark, alerts), root + "/alerts", source, dt.datetime(2024, 1, 2))
+    if weather is not None:
+        sinks.write_snapshot(weather_df(spark, weather), root + "/weather", source, dt.datetime(2024, 1, 2))
+
+
+def test_only_history_or_only_live(spark, tmp):
+    a = [("1", "A", T, None, "Snow", None)]
+    w = [(T, T + dt.timedelta(hours=1), 30.0, "Snow")]
+    for src in ("historical", "live"):
+        root = os.path.join(tmp, src)
+        _silver(spark, root, a, w, source=src)
+        out = gold.run_gold(spark, root + "/alerts", root + "/weather", root + "/gold", 1, export=False)
+        assert out["new_rows"] == 1
+
+
+def test_no_bronze_file_is_empty(spark, tmp):
+    from squall.plans import silver
+    from squall.sources import bronze
+    feed = bronze.live_alert_feed(spark, os.path.join(tmp, "mta_alerts_*.json"))
+    assert silver.live_alerts(feed).count() == 0
