@@ -61,14 +61,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     The directory is read from the session (``spark.checkpoint.dir`` given at
     submit time, or one set earlier with ``setCheckpointDir``). Only when none
-    is set (local runs and tests) a private folder is created and registered,
-    so later calls and ``DataFrame.checkpoint()`` agree.
+    is set and the master is local (local runs and tests) a private folder is
+    created and registered, so later calls and ``DataFrame.checkpoint()``
+    agree; on a cluster a missing setting is an error, never a machine-local
+    folder.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = sc.getConf().get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, fact "
+                                   "staging and stream state must survive executor loss")
             base = tempfile.mkdtemp(prefix="squall-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
