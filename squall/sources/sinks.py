@@ -21,14 +21,20 @@ from squall.sources.snapshots import path_exists
 MAX_PRUNED_DATES = 10_000
 
 
-def write_snapshot(df: DataFrame, root: str, source: str, ingest_ts: dt.datetime) -> str:
-    """One new snapshot partition per run; a re-run of the same snapshot
-    replaces only its own partition (dynamic partition overwrite)."""
+def write_snapshot(df: DataFrame, root: str, source: str, ingest_ts: dt.datetime) -> dict:
+    """S6 + A9: one new snapshot partition per run; a re-run of the same
+    snapshot replaces only its own partition (dynamic partition overwrite).
+
+    Returns ``{"rows": n}`` (rows parsed into the snapshot) from an
+    ``Observation`` on the write itself.
+    """
+    obs = Observation(f"snapshot_{source}_{ingest_ts:%Y%m%d%H%M%S}")
     (df.withColumn("source", F.lit(source))
        .withColumn("ingest_ts", F.lit(ingest_ts).cast("timestamp"))
+       .observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("source", "ingest_ts").parquet(root))
-    return root
+    return {"rows": int(obs.get.get("rows", 0) or 0)}
 
 
 def read_fact(spark, fact_path: str) -> DataFrame | None:

@@ -132,7 +132,7 @@ def test_run_gold_end_to_end(spark, tmp):
     hist_alerts = alert_df(spark, [("h1", "A", T, None, "Snow storm", None)])
     live_alerts = alert_df(spark, [("l1", "B", T + dt.timedelta(hours=30), None, "Signal", "light rain"),
                                    ("h1", "A", T, None, "Snow storm", None)])
-    sinks.write_snapshot(hist_alerts, alerts_root, "historical", dt.datetime(2024, 1, 1))
+    assert sinks.write_snapshot(hist_alerts, alerts_root, "historical", dt.datetime(2024, 1, 1)) == {"rows": 1}
     sinks.write_snapshot(live_alerts, alerts_root, "live", dt.datetime(2024, 1, 2))
     wx_hist = weather_df(spark, [(T, T + dt.timedelta(hours=1), 30.0, "Snow")])
     wx_live = weather_df(spark, [(T + dt.timedelta(hours=30), T + dt.timedelta(hours=31), 50.0, "Rain")])
