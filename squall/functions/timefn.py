@@ -23,13 +23,21 @@ def as_instant(c) -> Column:
     return _col(c).cast("timestamp")
 
 
-def lenient_timestamp(c) -> Column:
+_HAS_OFFSET = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
+def lenient_timestamp(c, source_tz: str | None = None) -> Column:
     """Parse mixed ISO-like text with or without offset; junk -> null.
 
     Offsets (``-04:00``, ``Z``) are honoured, so mixed-offset snapshots land on
-    one UTC instant each; text without an offset is read as UTC.
+    one UTC instant each. Text without an offset is read as UTC, or as wall
+    clock in ``source_tz`` when given (e.g. ``America/New_York``).
     """
-    return F.try_to_timestamp(_col(c).cast("string"))
+    text = _col(c).cast("string")
+    parsed = F.try_to_timestamp(text)
+    if not source_tz:
+        return parsed
+    return F.when(F.trim(text).rlike(_HAS_OFFSET), parsed).otherwise(F.to_utc_timestamp(parsed, source_tz))
 
 
 def strict_timestamp(c, what: str = "timestamp") -> Column:

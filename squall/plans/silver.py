@@ -50,25 +50,26 @@ def live_alerts(feed: DataFrame) -> DataFrame:
     return distinct_rows(live_alert_rows(feed))
 
 
-def historical_alert_rows(records: DataFrame) -> DataFrame:
+def historical_alert_rows(records: DataFrame, source_tz: str | None = None) -> DataFrame:
     """Historical alert records -> ALERT rows, before dedup.
 
     Rename to the contract (P6); lenient UTC parse of the date (E1); end = start
     + 1 h when absent (E4); route list: null -> 'Unknown', split on ' | ',
     strip, drop empty (E10, E13, P10, E12, F2); contract projection (P8).
+    ``source_tz`` reads offset-less dates as wall clock in that zone (default UTC).
     """
     df = rename(records, K.HISTORICAL_ALERT_RENAMES)
     if "routeId" not in df.columns:
         df = df.withColumn("routeId", F.lit(None).cast("string"))
-    df = df.withColumn("start", lenient_timestamp("start"))
+    df = df.withColumn("start", lenient_timestamp("start", source_tz))
     if "end" not in df.columns:
         df = df.withColumn("end", plus_seconds("start", K.DEFAULT_DURATION_SECONDS))
     df = split_routes(df, "routeId")
     return conform(df, schemas.ALERT)
 
 
-def historical_alerts(records: DataFrame) -> DataFrame:
-    return distinct_rows(historical_alert_rows(records))
+def historical_alerts(records: DataFrame, source_tz: str | None = None) -> DataFrame:
+    return distinct_rows(historical_alert_rows(records, source_tz))
 
 
 def live_weather(doc: DataFrame) -> DataFrame:
