@@ -58,3 +58,19 @@ def test_enrich_and_append_equals_batch(spark, tmp):
     streamed = sinks.read_fact(spark, fact).drop("batch_id")
     batch = sinks.fact_rows(gold.combine(alerts, wx), 0).drop("batch_id")
     assert sorted(streamed.collect()) == sorted(batch.select(*streamed.columns).collect())
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, tmp):
+    src = os.path.join(tmp, "bronze")
+    write_lines(os.path.join(src, "poll1.json"), records(5))
+    out = os.path.join(tmp, "silver")
+    stream = T.read_json_stream(spark, src, schemas.HISTORICAL_ALERT_RECORD)
+    q = T.ingest(stream, silver.historical_alert_rows, os.path.join(out, "data"), os.path.join(out, "_ck"),
+                 trigger="1 second")
+    try:
+        q.processAllAvailable()
+        write_lines(os.path.join(src, "poll2.json"), records(3, offset=100))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(os.path.join(out, "data")).select("entity_id").distinct().count() == 8
