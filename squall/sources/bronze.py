@@ -29,34 +29,50 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
     return df.withColumn("ingest_ts", F.col("_metadata.file_modification_time"))
 
 
-def _matches(spark: SparkSession, pattern: str) -> bool:
+def _statuses(spark: SparkSession, pattern: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(p)
-    return found is not None and len(found) > 0
+    return [st for st in (fs.globStatus(p) or []) if st.isFile()]
+
+
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    return bool(_statuses(spark, pattern))
+
+
+def newest_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """S1 / A8 on the file listing: the file(s) with the newest modification
+    time. Only metadata is listed; no data is read."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = [st for p in paths for st in _statuses(spark, p)]
+    if not found:
+        return []
+    newest = max(st.getModificationTime() for st in found)
+    return sorted(str(st.getPath().toString()) for st in found if st.getModificationTime() == newest)
 
 
 def latest_snapshot(df: DataFrame, column: str = "ingest_ts") -> DataFrame:
-    """Keep only the newest snapshot's rows."""
+    """S1 / A8 on a DataFrame: keep only the newest snapshot's rows."""
     return latest_by(df, column)
 
 
+def _read(spark, paths, schema, latest_only: bool, multiline: bool = True) -> DataFrame:
+    if latest_only:
+        paths = newest_files(spark, paths) or paths
+    return read_json(spark, paths, schema, multiline)
+
+
 def live_alert_feed(spark, paths, latest_only: bool = True) -> DataFrame:
-    df = read_json(spark, paths, schemas.LIVE_ALERT_FEED)
-    return latest_snapshot(df) if latest_only else df
+    return _read(spark, paths, schemas.LIVE_ALERT_FEED, latest_only)
 
 
 def live_weather_doc(spark, paths, latest_only: bool = True) -> DataFrame:
-    df = read_json(spark, paths, schemas.LIVE_WEATHER_DOC)
-    return latest_snapshot(df) if latest_only else df
+    return _read(spark, paths, schemas.LIVE_WEATHER_DOC, latest_only)
 
 
 def historical_alert_records(spark, paths, latest_only: bool = True) -> DataFrame:
-    df = read_json(spark, paths, schemas.HISTORICAL_ALERT_RECORD)
-    return latest_snapshot(df) if latest_only else df
+    return _read(spark, paths, schemas.HISTORICAL_ALERT_RECORD, latest_only)
 
 
 def historical_weather_doc(spark, paths, latest_only: bool = True) -> DataFrame:
-    df = read_json(spark, paths, schemas.HISTORICAL_WEATHER_DOC)
-    return latest_snapshot(df) if latest_only else df
+    return _read(spark, paths, schemas.HISTORICAL_WEATHER_DOC, latest_only)
