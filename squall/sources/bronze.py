@@ -29,15 +29,27 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
     return df.withColumn("ingest_ts", F.col("_metadata.file_modification_time"))
 
 
-def _statuses(spark: SparkSession, pattern: str):
+def _glob(spark: SparkSession, pattern: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [st for st in (fs.globStatus(p) or []) if st.isFile()]
+    return fs, list(fs.globStatus(p) or [])
+
+
+def _statuses(spark: SparkSession, pattern: str):
+    """Data files matched by a path, glob or directory (hidden files skipped)."""
+    fs, found = _glob(spark, pattern)
+    files = []
+    for st in found:
+        for f in ([st] if st.isFile() else list(fs.listStatus(st.getPath()))):
+            name = f.getPath().getName()
+            if f.isFile() and not name.startswith(("_", ".")):
+                files.append(f)
+    return files
 
 
 def _matches(spark: SparkSession, pattern: str) -> bool:
-    return bool(_statuses(spark, pattern))
+    return bool(_glob(spark, pattern)[1])
 
 
 def newest_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
