@@ -28,8 +28,8 @@ from squall import constants as K
 from squall.functions.numeric import celsius_to_fahrenheit, code_to_label, round_dp
 from squall.functions.text import (categorise, extract_predicate, null_to_empty, route_from_header,
                                    weather_keyword_predicate)
-from squall.functions.timefn import plus_seconds, round_to, utc_date
-from squall.operators.aggregates import daily_summary, impact_aggregate
+from squall.functions.timefn import plus_seconds, round_to
+from squall.operators.aggregates import impact_aggregate
 from squall.operators.anti_join import anti_join_null_safe
 from squall.operators.dedup import distinct_rows, first_per_key, latest_by
 from squall.operators.reshape import split_routes

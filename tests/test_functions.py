@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from squall.functions import (categorise, code_to_label, epoch_seconds_timestamp, extract_predicate,
                               lenient_timestamp, round_dp, round_to, route_from_header,

@@ -1,6 +1,5 @@
 """Randomised checks against independent Python oracles (one Spark job each)."""
 
-import datetime as dt
 import random
 
 import pandas as pd
