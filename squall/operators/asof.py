@@ -115,15 +115,17 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     spark = left.sparkSession
     tol = int(round(tolerance_seconds * 1_000_000))
     rcols = list(right.columns)
-    order = [F.col(c) if isinstance(c, str) else c for c in (right_order or rcols)]
+    order = [F.col(c) if isinstance(c, str) else c for c in (right_order or [])]
 
     # 1. one right row per instant
     r = right.withColumn(_T, epoch_micros(right_on)).where(F.col(_T).isNotNull())
     if right_unique:
         r = r.select(_T, F.struct(*[F.col(c) for c in rcols]).alias(_ROW))
     else:
-        # first row per instant by (order, row): one struct carries keys and payload
-        keyed = F.min(F.struct(F.struct(*order).alias("__o"), *[F.col(c) for c in rcols])).alias("__best")
+        # first row per instant by (order, row): one struct carries keys and payload;
+        # without an explicit order the row itself is the order
+        lead = [F.struct(*order).alias("__o")] if order else []
+        keyed = F.min(F.struct(*lead, *[F.col(c) for c in rcols])).alias("__best")
         r = (r.groupBy(_T).agg(keyed)
               .select(_T, F.struct(*[F.col("__best").getField(c).alias(c) for c in rcols]).alias(_ROW)))
     row_type = r.schema[_ROW].dataType
