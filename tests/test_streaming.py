@@ -74,3 +74,20 @@ def test_processing_time_trigger_picks_up_new_files(spark, tmp):
     finally:
         q.stop()
     assert spark.read.parquet(os.path.join(out, "data")).select("entity_id").distinct().count() == 8
+
+
+def test_live_feed_documents_stream(spark, tmp):
+    src = os.path.join(tmp, "bronze_feed")
+    os.makedirs(src)
+    for n in range(3):
+        doc = {"entity": [{"id": f"a{n}", "alert": {
+            "headerText": {"translation": [{"text": "[Q] snow"}]},
+            "informedEntity": [{"routeId": None}, {"routeId": "N"}],
+            "activePeriod": [{"start": str(1700000000 + 60 * n)}]}}]}
+        with open(os.path.join(src, f"mta_alerts_{n}.json"), "w") as f:
+            json.dump(doc, f, indent=2)  # multi-line documents
+    out = os.path.join(tmp, "silver_feed")
+    stream = T.read_json_stream(spark, src, schemas.LIVE_ALERT_FEED, multiline=True)
+    T.run_to_end(T.ingest(stream, silver.live_alert_rows, os.path.join(out, "data"), os.path.join(out, "_ck")))
+    got = sorted((r.entity_id, r.routeId) for r in spark.read.parquet(os.path.join(out, "data")).collect())
+    assert got == [(f"a{n}", r) for n in range(3) for r in ("N", "Q")]
