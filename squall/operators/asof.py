@@ -99,7 +99,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     result has all left columns followed by all right columns. ``how='inner'``
     drops left rows without a match (and with a null time); ``'left'`` keeps
     them with null right columns. Rows of ``right`` sharing one instant are
-    reduced to the first by ``right_order`` (default: all right columns);
+    reduced to the first by ``right_order`` then by the row's own values;
     ``right_unique=True`` skips that step when the caller already guarantees
     one row per instant.
 
@@ -161,9 +161,10 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
          .where(F.col(_SIDE) == 0))
 
     # 5. carry across segments: one row per segment (bounded by nseg)
-    per_seg = rs.groupBy(_SEG).agg(
-        F.max_by(F.struct(F.col(_T).alias("t"), F.col(_ROW).alias("r")), F.col(_T)).alias("__last"),
-        F.min_by(F.struct(F.col(_T).alias("t"), F.col(_ROW).alias("r")), F.col(_T)).alias("__first"))
+    # instants are unique on the right, and ``t`` leads the struct, so max/min of
+    # the struct are the last/first right row of the segment
+    tr = F.struct(F.col(_T).alias("t"), F.col(_ROW).alias("r"))
+    per_seg = rs.groupBy(_SEG).agg(F.max(tr).alias("__last"), F.min(tr).alias("__first"))
     seg_ids = spark.range(nseg).select(F.col("id").cast("int").alias(_SEG))
     wc_prev = Window.orderBy(F.col(_SEG).asc()).rowsBetween(Window.unboundedPreceding, -1)
     wc_next = Window.orderBy(F.col(_SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
