@@ -99,3 +99,21 @@ def test_matches_brute_force_on_random_inputs(spark):
         tol = rnd.choice([60, 900, 7200])
         got = run(spark, left, uniq, tol, segments=rnd.choice([1, 2, 7]))
         assert got == brute(left, uniq, tol), f"trial {trial}"
+
+
+def test_hot_instant_and_segment_count_do_not_change_results(spark):
+    from pyspark.sql import functions as F
+    n = 200_000
+    base = F.lit(1_700_000_000_000_000)
+    # a third of the left rows share one instant; the rest spread over ~2 days
+    left = spark.range(n).select(
+        F.col("id").alias("lid"),
+        F.timestamp_micros(F.when(F.col("id") % 3 == 0, base)
+                           .otherwise(base + (F.col("id") * 7919 % 172_800) * 1_000_000)).alias("t"))
+    right = spark.range(20_000).select(
+        F.col("id").alias("rid"),
+        F.timestamp_micros(base + F.col("id") * 8_640_000 - 3_600_000_000).alias("rt"))
+    one = asof_nearest(left, right, "t", "rt", 300, segments=1)
+    many = asof_nearest(left, right, "t", "rt", 300, segments=16)
+    assert one.count() == many.count() > n // 3
+    assert one.exceptAll(many).count() == 0
