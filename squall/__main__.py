@@ -1,7 +1,7 @@
 """spark-submit entry point.
 
-    spark-submit --py-files squall.zip squall/__main__.py silver alerts-live  --bronze 'landing/mta_alerts_*.json' --silver lake/silver/alerts
-    spark-submit --py-files squall.zip squall/__main__.py silver weather-live --bronze 'landing/weather_data_*.json' --silver lake/silver/weather
+    spark-submit --py-files squall.zip squall/__main__.py silver alerts-live  --bronze 'landing/alerts_feed_*.json' --silver lake/silver/alerts
+    spark-submit --py-files squall.zip squall/__main__.py silver weather-live --bronze 'landing/forecast_*.json' --silver lake/silver/weather
     spark-submit --py-files squall.zip squall/__main__.py gold --alerts lake/silver/alerts --weather lake/silver/weather --gold lake/gold --batch-id 42
 
 (``python -m squall ...`` locally; ``squall.zip`` is the zipped package). Prints the run metrics as JSON.

@@ -75,6 +75,9 @@ WMO_CODE_FORECASTS = [
 ]
 WMO_CODE_DEFAULT = "Cloudy/Other"
 
+# Name under which the reporting view is registered (queried by consumers).
+IMPACT_VIEW_NAME = "view_weather_impact"
+
 # Source ranks used when the same record arrives from several snapshots.
 SOURCE_HISTORICAL = "historical"
 SOURCE_LIVE = "live"

@@ -116,5 +116,5 @@ def run_gold(spark: SparkSession, alerts_root: str, weather_root: str, gold_root
     if fact is not None:
         view = sinks.register_view(impact_view(fact))
         if export:
-            metrics["exported"] = sinks.export_csv(view, f"{gold_root}/view_weather_impact_csv")
+            metrics["exported"] = sinks.export_csv(view, f"{gold_root}/impact_export")
     return metrics

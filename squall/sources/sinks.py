@@ -107,7 +107,7 @@ def write_summary(summary: DataFrame, path: str) -> bool:
         summary.unpersist()
 
 
-def register_view(df: DataFrame, name: str = "view_weather_impact") -> DataFrame:
+def register_view(df: DataFrame, name: str = K.IMPACT_VIEW_NAME) -> DataFrame:
     """(re)define the reporting view."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -4,6 +4,7 @@ import glob
 import json
 import os
 
+from squall import constants as K
 from squall.plans import flows
 
 
@@ -15,34 +16,34 @@ def dump(path, obj):
 def test_bronze_to_gold(spark, tmp):
     land = os.path.join(tmp, "landing")
     os.makedirs(land)
-    dump(os.path.join(land, "mta_alerts_1.json"), {"entity": [
+    dump(os.path.join(land, "alerts_feed_1.json"), {"entity": [
         {"id": "a1", "alert": {"headerText": {"translation": [{"text": "Snow delays"}]},
                                "informedEntity": [{"routeId": "A"}],
                                "activePeriod": [{"start": "1700000000"}]}},
         {"id": "a2", "alert": {"headerText": {"translation": [{"text": "[7] signal problem"}]},
                                "descriptionText": {"translation": [{"text": "light rain expected"}]},
                                "informedEntity": [{}], "activePeriod": [{"start": "1700003000"}]}}]})
-    dump(os.path.join(land, "historical_mta_data_1.json"), [
+    dump(os.path.join(land, "alerts_history_1.json"), [
         {"status_id": "h1", "date": "2023-11-14T22:00:00", "affected": "L | N", "header": "Flooding",
          "agency": "Subway"}])
-    dump(os.path.join(land, "weather_data_1.json"), {"properties": {"periods": [
+    dump(os.path.join(land, "forecast_1.json"), {"properties": {"periods": [
         {"startTime": "2023-11-14T17:00:00-05:00", "endTime": "2023-11-14T18:00:00-05:00",
          "temperature": 48, "shortForecast": "Light Rain"}]}})
-    dump(os.path.join(land, "historical_weather_1.json"), {"hourly": {
+    dump(os.path.join(land, "hourly_archive_1.json"), {"hourly": {
         "time": ["2023-11-14T21:00", "2023-11-14T23:00"], "temperature_2m": [10.0, 9.0],
         "precipitation": [0.0, 0.1], "weather_code": [71, 3]}})
     silver = os.path.join(tmp, "silver")
-    assert flows.alerts_live(spark, os.path.join(land, "mta_alerts_*.json"), silver + "/alerts")["rows"] == 2
-    assert flows.alerts_historical(spark, os.path.join(land, "historical_mta_data_*.json"),
+    assert flows.alerts_live(spark, os.path.join(land, "alerts_feed_*.json"), silver + "/alerts")["rows"] == 2
+    assert flows.alerts_historical(spark, os.path.join(land, "alerts_history_*.json"),
                                    silver + "/alerts")["rows"] == 2
-    assert flows.weather_live(spark, os.path.join(land, "weather_data_*.json"), silver + "/weather")["rows"] == 1
-    assert flows.weather_historical(spark, os.path.join(land, "historical_weather_*.json"),
+    assert flows.weather_live(spark, os.path.join(land, "forecast_*.json"), silver + "/weather")["rows"] == 1
+    assert flows.weather_historical(spark, os.path.join(land, "hourly_archive_*.json"),
                                     silver + "/weather")["rows"] == 2
     assert flows.alerts_live(spark, os.path.join(land, "none_*.json"), silver + "/alerts")["written"] is False
     out = flows.gold_run(spark, silver + "/alerts", silver + "/weather", os.path.join(tmp, "gold"), 1)
     assert out["new_rows"] == 4
-    view = sorted((r.routeId, r.weather_category, r.total_alerts) for r in spark.table("view_weather_impact").collect())
+    view = sorted((r.routeId, r.weather_category, r.total_alerts) for r in spark.table(K.IMPACT_VIEW_NAME).collect())
     # a1 (snow, 22:13 UTC) -> 22:00 live hour (Light Rain); a2 (description light rain) -> 23:00 (Cloudy);
     # h1 (flood, 22:00) L and N -> 22:00 live hour
     assert view == [("7", "Cloudy/Other", 1), ("A", "Rain", 1), ("L", "Rain", 1), ("N", "Rain", 1)]
-    assert glob.glob(os.path.join(tmp, "gold", "view_weather_impact_csv", "*.csv"))
+    assert glob.glob(os.path.join(tmp, "gold", "impact_export", "*.csv"))

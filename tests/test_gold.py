@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from squall import constants as K
 from squall import schemas
 from squall.operators.aggregates import daily_summary, impact_aggregate
 from squall.operators.anti_join import anti_join_null_safe
@@ -115,13 +116,13 @@ def test_retried_batch_replaces_itself(spark, tmp):
 
 
 def test_csv_by_name_aligns_swapped_columns(spark, tmp):
-    with open(os.path.join(tmp, "weather_data_a.csv"), "w") as f:
+    with open(os.path.join(tmp, "forecast_a.csv"), "w") as f:
         f.write("startTime,endTime,temperature,shortForecast\n")
         f.write("2026-06-26 15:00:00-04:00,2026-06-26 16:00:00-04:00,79,Mostly Cloudy\n")
-    with open(os.path.join(tmp, "weather_data_b.csv"), "w") as f:
+    with open(os.path.join(tmp, "forecast_b.csv"), "w") as f:
         f.write("shortForecast,temperature,endTime,startTime\n")
         f.write("Partly Sunny,80.5,2026-06-26T17:00:00-04:00,2026-06-26T16:00:00-04:00\n")
-    df = read_csv_by_name(spark, os.path.join(tmp, "weather_data_*.csv"), schemas.WEATHER)
+    df = read_csv_by_name(spark, os.path.join(tmp, "forecast_*.csv"), schemas.WEATHER)
     rows = sorted(df.selectExpr("cast(startTime as timestamp_ntz) s", "temperature", "shortForecast").collect())
     assert [(r.s, r.temperature, r.shortForecast) for r in rows] == [
         (dt.datetime(2026, 6, 26, 19), 79.0, "Mostly Cloudy"), (dt.datetime(2026, 6, 26, 20), 80.5, "Partly Sunny")]
@@ -141,9 +142,9 @@ def test_run_gold_end_to_end(spark, tmp):
     m1 = gold.run_gold(spark, alerts_root, weather_root, gold_root, batch_id=1)
     m2 = gold.run_gold(spark, alerts_root, weather_root, gold_root, batch_id=2)
     assert m1["new_rows"] == 2 and m2["new_rows"] == 0
-    view = spark.table("view_weather_impact").collect()
+    view = spark.table(K.IMPACT_VIEW_NAME).collect()
     assert sorted((r.routeId, r.weather_category) for r in view) == [("A", "Snow"), ("B", "Rain")]
-    csv = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(gold_root, "view_weather_impact_csv", "*.csv"))))
+    csv = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(gold_root, "impact_export", "*.csv"))))
     assert "routeId,weather_start,weather_category,total_alerts" in csv
     assert "A,2024-01-01 12:00:00+00:00,Snow,1" in csv
     summary = spark.read.parquet(os.path.join(gold_root, "daily_summary")).count()

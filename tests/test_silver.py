@@ -23,7 +23,7 @@ def tr(text):
 
 LIVE_FEED = {"header": {"gtfsRealtimeVersion": "2.0"}, "entity": [
     {"id": "two-by-two", "alert": {"headerText": tr("Delays"), "descriptionText": tr("Heavy rain"),
-                                   "informedEntity": [{"routeId": "A", "agencyId": "MTA"}, {"routeId": "C"}],
+                                   "informedEntity": [{"routeId": "A", "agencyId": "A1"}, {"routeId": "C"}],
                                    "activePeriod": [{"start": "1700000000", "end": "1700003600"},
                                                     {"start": "1700086400"}]}},
     {"id": "no-period", "alert": {"headerText": tr("Weather advisory"), "informedEntity": [{"routeId": "F"}]}},
@@ -37,7 +37,7 @@ LIVE_FEED = {"header": {"gtfsRealtimeVersion": "2.0"}, "entity": [
 
 
 def test_live_alerts(spark, tmp):
-    feed = bronze.live_alert_feed(spark, write(tmp, "mta_alerts_1.json", LIVE_FEED))
+    feed = bronze.live_alert_feed(spark, write(tmp, "alerts_feed_1.json", LIVE_FEED))
     rows = silver.live_alerts(feed).collect()
     by = {}
     for r in rows:
@@ -57,7 +57,7 @@ def test_live_alerts(spark, tmp):
 
 
 def test_live_alerts_empty_feed(spark, tmp):
-    feed = bronze.live_alert_feed(spark, write(tmp, "mta_alerts_0.json", {"entity": []}))
+    feed = bronze.live_alert_feed(spark, write(tmp, "alerts_feed_0.json", {"entity": []}))
     assert silver.live_alerts(feed).count() == 0
 
 
@@ -74,7 +74,7 @@ HIST = [
 
 
 def test_historical_alerts(spark, tmp):
-    recs = bronze.historical_alert_records(spark, write(tmp, "historical_mta_data_1.json", HIST))
+    recs = bronze.historical_alert_records(spark, write(tmp, "alerts_history_1.json", HIST))
     rows = silver.historical_alerts(recs).collect()
     got = sorted((r.entity_id, r.routeId) for r in rows)
     assert got == [("1", "L"), ("1", "N"), ("1", "Q"), ("2", "A|B"), ("3", "Unknown"), ("5", "7"), ("5", "G")]
@@ -93,7 +93,7 @@ WEATHER_DOC = {"properties": {"periods": [
 
 
 def test_live_weather_dst_and_rounding(spark, tmp):
-    doc = bronze.live_weather_doc(spark, write(tmp, "weather_data_1.json", WEATHER_DOC))
+    doc = bronze.live_weather_doc(spark, write(tmp, "forecast_1.json", WEATHER_DOC))
     rows = silver.live_weather(doc).selectExpr("cast(startTime as timestamp_ntz) s", "temperature t",
                                               "shortForecast f").collect()
     assert [(r.s, r.t, r.f) for r in rows] == [
@@ -108,7 +108,7 @@ def test_historical_weather(spark, tmp):
                       "temperature_2m": [0.0, -1.5, 10.0, 2.5, None, 3.0, 4.0],
                       "precipitation": [0, 0, 0, 0, 0, 0, 0],
                       "weather_code": [0, 3, 45, 61, 73, 95, None]}}
-    d = bronze.historical_weather_doc(spark, write(tmp, "historical_weather_1.json", doc))
+    d = bronze.historical_weather_doc(spark, write(tmp, "hourly_archive_1.json", doc))
     rows = silver.historical_weather(d).collect()
     assert [r.shortForecast for r in rows] == ["Clear", "Cloudy", "Cloudy/Other", "Rain", "Snow", "Storm",
                                                "Cloudy/Other"]
@@ -120,15 +120,15 @@ def test_historical_weather(spark, tmp):
 def test_historical_weather_unequal_lengths_fail(spark, tmp):
     doc = {"hourly": {"time": ["2012-01-01T00:00", "2012-01-01T01:00"], "temperature_2m": [1.0],
                       "precipitation": [0, 0], "weather_code": [0, 0]}}
-    d = bronze.historical_weather_doc(spark, write(tmp, "historical_weather_2.json", doc))
+    d = bronze.historical_weather_doc(spark, write(tmp, "hourly_archive_2.json", doc))
     with pytest.raises(Exception):
         silver.historical_weather(d).collect()
 
 
 def test_latest_snapshot_picks_newest_file(spark, tmp):
-    old = write(tmp, "weather_data_old.json", WEATHER_DOC)
+    old = write(tmp, "forecast_old.json", WEATHER_DOC)
     new_doc = {"properties": {"periods": [WEATHER_DOC["properties"]["periods"][0]]}}
-    new = write(tmp, "weather_data_new.json", new_doc)
+    new = write(tmp, "forecast_new.json", new_doc)
     os.utime(old, (1_600_000_000, 1_600_000_000))
     doc = bronze.live_weather_doc(spark, [old, new])
     assert silver.live_weather(doc).count() == 1

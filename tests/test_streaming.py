@@ -84,7 +84,7 @@ def test_live_feed_documents_stream(spark, tmp):
             "headerText": {"translation": [{"text": "[Q] snow"}]},
             "informedEntity": [{"routeId": None}, {"routeId": "N"}],
             "activePeriod": [{"start": str(1700000000 + 60 * n)}]}}]}
-        with open(os.path.join(src, f"mta_alerts_{n}.json"), "w") as f:
+        with open(os.path.join(src, f"alerts_feed_{n}.json"), "w") as f:
             json.dump(doc, f, indent=2)  # multi-line documents
     out = os.path.join(tmp, "silver_feed")
     stream = T.read_json_stream(spark, src, schemas.LIVE_ALERT_FEED, multiline=True)
