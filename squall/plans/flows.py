@@ -61,5 +61,20 @@ def weather_historical(spark, bronze_paths, silver_root) -> dict:
                         silver_root, K.SOURCE_HISTORICAL)
 
 
+def import_csv_snapshots(spark, patterns, contract, silver_root: str, source: str) -> dict:
+    """Bring existing CSV snapshots (one file per poll, columns in any order)
+    into the silver layout: aligned by name (S5), each file becomes the
+    snapshot of its modification time (S6). Re-importing replaces the same
+    snapshot partitions."""
+    from squall.sources.snapshots import read_csv_by_name
+    df = read_csv_by_name(spark, patterns, contract)
+    if df is None:
+        return {"rows": 0, "written": False}
+    tagged = df.withColumn("source", F.lit(source))
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source", "ingest_ts").parquet(silver_root))
+    return {"written": True}
+
+
 def gold_run(spark, alerts_root, weather_root, gold_root, batch_id: int, export: bool = True) -> dict:
     return gold.run_gold(spark, alerts_root, weather_root, gold_root, batch_id, export=export)

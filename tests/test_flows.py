@@ -47,3 +47,36 @@ def test_bronze_to_gold(spark, tmp):
     # h1 (flood, 22:00) L and N -> 22:00 live hour
     assert view == [("7", "Cloudy/Other", 1), ("A", "Rain", 1), ("L", "Rain", 1), ("N", "Rain", 1)]
     assert glob.glob(os.path.join(tmp, "gold", "impact_export", "*.csv"))
+
+
+def test_import_csv_snapshots_then_gold(spark, tmp):
+    from squall import schemas
+    from squall.sources.snapshots import live_and_latest_history
+    src = os.path.join(tmp, "csv")
+    os.makedirs(src)
+    with open(os.path.join(src, "forecast_1.csv"), "w") as f:
+        f.write("startTime,endTime,temperature,shortForecast\n"
+                "2026-06-26 15:00:00-04:00,2026-06-26 16:00:00-04:00,79,Mostly Cloudy\n")
+    with open(os.path.join(src, "forecast_2.csv"), "w") as f:
+        f.write("shortForecast,temperature,startTime,endTime\n"
+                "Partly Sunny,80,2026-06-26 15:00:00-04:00,2026-06-26 16:00:00-04:00\n")
+    os.utime(os.path.join(src, "forecast_1.csv"), (1_700_000_000, 1_700_000_000))
+    root = os.path.join(tmp, "silver_weather")
+    assert flows.import_csv_snapshots(spark, os.path.join(src, "forecast_*.csv"), schemas.WEATHER, root, "live")["written"]
+    stacked = live_and_latest_history(spark, root, schemas.WEATHER)
+    assert stacked.count() == 2
+    from squall.plans import gold
+    # the same hour in two snapshots: the newer one wins
+    assert [r.shortForecast for r in gold.prepare_weather(stacked).collect()] == ["Partly Sunny"]
+
+
+def test_both_sides_empty(spark, tmp):
+    from squall import schemas
+    from squall.sources import sinks
+    import datetime as dt
+    a = spark.createDataFrame([], schemas.ALERT)
+    w = spark.createDataFrame([], schemas.WEATHER)
+    sinks.write_snapshot(a, os.path.join(tmp, "a"), "live", dt.datetime(2024, 1, 1))
+    sinks.write_snapshot(w, os.path.join(tmp, "w"), "live", dt.datetime(2024, 1, 1))
+    out = flows.gold_run(spark, os.path.join(tmp, "a"), os.path.join(tmp, "w"), os.path.join(tmp, "g"), 1)
+    assert out["new_rows"] == 0 and out["summary_written"] is False
