@@ -47,6 +47,10 @@ _MATCH = "__asof_match"
 SINGLE_SEGMENT_MAX_BYTES = 32 * 1024 * 1024
 
 
+# Upper bound on segments: the broadcast carry table has one row per segment.
+MAX_SEGMENTS = 100_000
+
+
 def default_segments(spark) -> int:
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -140,6 +144,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         n = 1 if size is not None and size <= SINGLE_SEGMENT_MAX_BYTES else default_segments(spark)
     else:
         n = segments
+    n = max(1, min(n, MAX_SEGMENTS))
     bounds = segment_bounds(times, _T, n)
     nseg = len(bounds) + 1
 

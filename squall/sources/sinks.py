@@ -55,9 +55,10 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
                materialized: bool = False) -> dict:
     """J3 + S7 + A9: append the gold rows whose key is not yet in the fact.
 
-    * When a fact exists, the new rows are checkpointed first (shared checkpoint
-      folder): lineage is cut, an executor loss cannot change them, and they
-      are computed once for the date list, the anti-join and the write.
+    * The new rows are checkpointed first (shared checkpoint folder) unless the
+      caller already did: lineage is cut, an executor loss cannot change them,
+      and they are computed once for the date list, the range sample, the
+      anti-join and the write.
     * The existing fact is read with only the key columns, pruned to the dates
       the batch touches (the key contains weather_start, so equal keys share a
       date) and to the *other* batches, then null-safe anti-joined.
@@ -69,10 +70,10 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
     """
     spark = gold.sparkSession
     rows = fact_rows(gold, batch_id).select(*schemas.FACT.fieldNames())
-    existing = read_fact(spark, fact_path)
-    if existing is not None and not materialized:
+    if not materialized:
         shared_dir(spark)
         rows = rows.checkpoint(eager=True)
+    existing = read_fact(spark, fact_path)
     if existing is not None:
         existing = existing.where(F.col("batch_id") != F.lit(int(batch_id)))
         dates = rows.select("weather_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()
