@@ -8,12 +8,13 @@
   bounded by the watermark, not by history.
 * T3 ``enrich_and_append``: each micro-batch is joined to the nearest weather
   hour (J2) and appended to the fact with the null-safe anti-join (J3). The
-  micro-batch id is the fact's batch id: a replayed batch overwrites its own
-  partitions instead of appending twice.
+  fact's batch id is a per-stream base plus the micro-batch id: a replayed
+  batch overwrites its own partitions instead of appending twice.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,17 +68,28 @@ def dedup_alerts(stream: DataFrame, watermark: str = "2 hours",
             .dropDuplicatesWithinWatermark(list(key)))
 
 
+def stream_batch_base(checkpoint: str) -> int:
+    """Fact batch ids of one stream: a base fixed by its checkpoint location
+    (stable across restarts, distinct between streams) plus the micro-batch id,
+    so two streams appending to one fact never replace each other's batches."""
+    digest = hashlib.sha256(checkpoint.rstrip("/").encode()).digest()
+    return (int.from_bytes(digest[:4], "big") + 1) << 24
+
+
 def enrich_and_append(alerts: DataFrame, weather: DataFrame, fact_path: str, checkpoint: str,
                       tolerance_seconds: float = K.ASOF_TOLERANCE_SECONDS,
                       trigger: str | None = "availableNow") -> StreamingQuery:
     """Per micro-batch, nearest weather (J2) then idempotent append (J3+S7).
 
-    ``weather`` is a static, prepared DataFrame (one row per hour).
+    ``weather`` is a static, prepared DataFrame (one row per hour). A replayed
+    micro-batch has the same id, so it replaces its own fact partitions.
     """
+    base = stream_batch_base(checkpoint)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         prepared = gold.prepare_alerts(batch)
         joined = gold.combine(prepared, weather, tolerance_seconds, unique_weather=True)
-        sinks.append_new(joined, fact_path, batch_id)
+        sinks.append_new(joined, fact_path, base + batch_id)
 
     writer = alerts.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
