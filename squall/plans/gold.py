@@ -50,7 +50,7 @@ def prepare_alerts(stacked: DataFrame) -> DataFrame:
     (entity_id, start, routeId) keeping the first in stack order (A7):
     history before live, older snapshot first.
 
-    Empty text is null, as after the reference's text-file round trip. The key
+    Empty text is null, as after a text-file (CSV) round trip. The key
     compares parsed instants, not their text.
     """
     df = _with_tags(stacked)
