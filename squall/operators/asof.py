@@ -50,6 +50,13 @@ SINGLE_SEGMENT_MAX_BYTES = 32 * 1024 * 1024
 # Upper bound on segments: the broadcast carry table has one row per segment.
 MAX_SEGMENTS = 100_000
 
+# Broadcast plan (no shuffle of the left side) only when the right side is
+# proven small: at most this many right rows (counted) ...
+BROADCAST_RIGHT_MAX_ROWS = 250_000
+# ... and at most this many right rows within any window of three tolerance
+# buckets (counted). Beyond either bound the segment plan runs (also exact).
+BROADCAST_MAX_CANDIDATES = 256
+
 
 def default_segments(spark) -> int:
     try:
@@ -96,7 +103,7 @@ def _with_segment(df: DataFrame, bounds: list[float]) -> DataFrame:
 def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                  tolerance_seconds: float, *, right_order: Sequence[str | Column] | None = None,
                  how: str = "inner", segments: int | None = None,
-                 right_unique: bool = False) -> DataFrame:
+                 right_unique: bool = False, broadcast_right: bool | None = None) -> DataFrame:
     """Attach to each left row the nearest right row within ``tolerance_seconds``.
 
     ``left_on`` / ``right_on`` are timestamp (or timestamp_ntz) columns. The
@@ -107,9 +114,15 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     ``right_unique=True`` skips that step when the caller already guarantees
     one row per instant.
 
-    Both inputs are read up to three times (bounds, distinct instants / right
-    rows, join back); pass materialised frames when they are expensive to
-    recompute.
+    Two exact plans. When the right side is proven small (row count and
+    candidates per tolerance window counted against ``BROADCAST_RIGHT_MAX_ROWS``
+    and ``BROADCAST_MAX_CANDIDATES``) the candidate windows are broadcast and
+    the left side is never shuffled (``_broadcast_plan``); otherwise the
+    segment plan above runs. ``broadcast_right`` forces (True) or forbids
+    (False) the broadcast plan's attempt; the bounds are always checked.
+
+    Both inputs are read up to three times; pass materialised frames when
+    they are expensive to recompute.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -134,6 +147,11 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               .select(_T, F.struct(*[F.col("__best").getField(c).alias(c) for c in rcols]).alias(_ROW)))
     row_type = r.schema[_ROW].dataType
 
+    if broadcast_right is not False:
+        windows = _candidate_windows(right, right_on, r, tol)
+        if windows is not None:
+            return _broadcast_plan(left, left_on, windows, rcols, tol, how)
+
     # 2. distinct left instants
     lt = left.select(epoch_micros(left_on).alias(_T)).where(F.col(_T).isNotNull())
 
@@ -194,3 +212,48 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     joined = left.withColumn(_T, epoch_micros(left_on)).join(matches, _T, how)
     return joined.select(*[F.col(c) for c in left.columns],
                          *[F.col(_MATCH).getField(c).alias(c) for c in rcols])
+
+
+def _bucket(t: Column, width: int) -> Column:
+    """Exact floor(t / width) on integers (also before 1970)."""
+    w = F.lit(width)
+    return ((t - F.pmod(t, w)) / w).cast("long")
+
+
+def _candidate_windows(right: DataFrame, right_on: str, r: DataFrame, tol: int) -> DataFrame | None:
+    """Window table for the broadcast plan, or None when the right side is not
+    provably small. Window ``w`` holds every right row of buckets w-1, w, w+1
+    (bucket width = tolerance), which contains all rows within tolerance of
+    any instant in bucket ``w``. Both bounds are counted before anything is
+    collected or broadcast."""
+    width = max(tol, 1)
+    raw = right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull())
+    if raw.count() > BROADCAST_RIGHT_MAX_ROWS:
+        return None
+    spread = F.explode(F.array(*[_bucket(F.col(_T), width) + F.lit(k) for k in (-1, 0, 1)])).alias("__w")
+    widest = raw.select(spread).groupBy("__w").count().agg(F.max("count").alias("m")).first()
+    if widest is not None and (widest["m"] or 0) > BROADCAST_MAX_CANDIDATES:
+        return None
+    cand = F.struct(F.col(_T).alias("t"), F.col(_ROW).alias("r"))
+    return (r.select(spread, cand.alias("__c"))
+             .groupBy("__w").agg(F.collect_list("__c").alias("__cands")))
+
+
+def _broadcast_plan(left: DataFrame, left_on: str, windows: DataFrame, rcols: list[str], tol: int,
+                    how: str) -> DataFrame:
+    """Each left row looks up its bucket's window in the broadcast table and
+    takes the smallest (distance, later-than-left, time) candidate within
+    tolerance: ties go to the earlier right row. No shuffle of the left side."""
+    width = max(tol, 1)
+    lt = F.col(_T)
+    keyed = left.withColumn(_T, epoch_micros(left_on)).withColumn("__w", _bucket(lt, width))
+    joined = keyed.join(F.broadcast(windows), "__w", "left")
+    scored = F.transform(F.col("__cands"), lambda c: F.struct(
+        F.abs(c["t"] - lt).alias("d"), (c["t"] > lt).cast("int").alias("late"),
+        c["t"].alias("t"), c["r"].alias("r")))
+    best = F.array_min(F.filter(scored, lambda x: x["d"] <= F.lit(tol))).getField("r")
+    out = joined.withColumn(_MATCH, best)
+    if how == "inner":
+        out = out.where(F.col(_MATCH).isNotNull())
+    return out.select(*[F.col(c) for c in left.columns],
+                      *[F.col(_MATCH).getField(c).alias(c) for c in rcols])

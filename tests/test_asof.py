@@ -13,10 +13,15 @@ def at(**kw):
 
 
 def run(spark, left, right, tol=7200, **kw):
+    """Both plans (broadcast windows and segments) must give the same answer."""
     l = spark.createDataFrame(left, "lid int, t timestamp")
     r = spark.createDataFrame(right, "rid int, rt timestamp")
-    out = asof_nearest(l, r, "t", "rt", tol, segments=kw.pop("segments", 3), **kw)
-    return {row.lid: row.rid for row in out.collect()}
+    segs = kw.pop("segments", 3)
+    seg = asof_nearest(l, r, "t", "rt", tol, segments=segs, broadcast_right=False, **kw)
+    bc = asof_nearest(l, r, "t", "rt", tol, segments=segs, broadcast_right=True, **kw)
+    got = {row.lid: row.rid for row in seg.collect()}
+    assert {row.lid: row.rid for row in bc.collect()} == got
+    return got
 
 
 def test_tolerance_is_inclusive(spark):
@@ -113,7 +118,9 @@ def test_hot_instant_and_segment_count_do_not_change_results(spark):
     right = spark.range(20_000).select(
         F.col("id").alias("rid"),
         F.timestamp_micros(base + F.col("id") * 8_640_000 - 3_600_000_000).alias("rt"))
-    one = asof_nearest(left, right, "t", "rt", 300, segments=1)
-    many = asof_nearest(left, right, "t", "rt", 300, segments=16)
-    assert one.count() == many.count() > n // 3
+    one = asof_nearest(left, right, "t", "rt", 300, segments=1, broadcast_right=False)
+    many = asof_nearest(left, right, "t", "rt", 300, segments=16, broadcast_right=False)
+    bc = asof_nearest(left, right, "t", "rt", 300)
+    assert one.count() == many.count() == bc.count() > n // 3
     assert one.exceptAll(many).count() == 0
+    assert one.exceptAll(bc).count() == 0
