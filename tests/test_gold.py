@@ -178,3 +178,13 @@ def test_no_bronze_file_is_empty(spark, tmp):
     from squall.sources import bronze
     feed = bronze.live_alert_feed(spark, os.path.join(tmp, "mta_alerts_*.json"))
     assert silver.live_alerts(feed).count() == 0
+
+
+def test_csv_by_name_missing_and_extra_columns(spark, tmp):
+    with open(os.path.join(tmp, "forecast_c.csv"), "w") as f:
+        f.write("extra,startTime,shortForecast\n")
+        f.write("x,2026-06-26T16:00:00Z,Sunny\n")
+    df = read_csv_by_name(spark, os.path.join(tmp, "forecast_c.csv"), schemas.WEATHER)
+    r = df.selectExpr("cast(startTime as timestamp_ntz) s", "endTime", "temperature", "shortForecast").first()
+    assert (r.s, r.endTime, r.temperature, r.shortForecast) == (dt.datetime(2026, 6, 26, 16), None, None, "Sunny")
+    assert df.columns == schemas.WEATHER.fieldNames() + ["ingest_ts"]
