@@ -56,6 +56,9 @@ BROADCAST_RIGHT_MAX_ROWS = 250_000
 # ... and at most this many right rows within any window of three tolerance
 # buckets (counted). Beyond either bound the segment plan runs (also exact).
 BROADCAST_MAX_CANDIDATES = 256
+# ... and the broadcast (every right row in three windows) estimated below
+# this many bytes (Catalyst's estimate, which over-states, never under-states).
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 def default_segments(spark) -> int:
@@ -227,6 +230,9 @@ def _candidate_windows(right: DataFrame, right_on: str, r: DataFrame, tol: int)
     any instant in bucket ``w``. Both bounds are counted before anything is
     collected or broadcast."""
     width = max(tol, 1)
+    size = estimated_bytes(right)
+    if size is not None and 3 * size > BROADCAST_MAX_BYTES:
+        return None
     raw = right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull())
     if raw.count() > BROADCAST_RIGHT_MAX_ROWS:
         return None
