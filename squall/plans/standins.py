@@ -2,8 +2,8 @@
 
 The driver tables hold no transit or weather data, so each query maps a
 table onto the alert / weather contracts and runs the real operators over the
-**whole** table. Every query has a DuckDB oracle written independently in
-plain SQL (``ORACLES``), except the streaming ones noted in the README.
+**whole** table. Every query, the streaming ones included, has a DuckDB
+oracle written independently in plain SQL (``ORACLES``).
 
 Stand-ins (binding parameters, not fixed values of the reproduced system):
 
