@@ -25,16 +25,24 @@ def as_instant(c) -> Column:
 
 _HAS_OFFSET = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
+# Non-ISO layouts tried after the ISO-8601 parse (US month-first and spelled
+# months); anything else stays null.
+FALLBACK_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "MMMM d, yyyy H:mm", "MMMM d, yyyy",
+                    "MMM d, yyyy"]
+
 
 def lenient_timestamp(c, source_tz: str | None = None) -> Column:
     """Parse mixed ISO-like text with or without offset; junk -> null.
 
     Offsets (``-04:00``, ``Z``) are honoured, so mixed-offset snapshots land on
     one UTC instant each. Text without an offset is read as UTC, or as wall
-    clock in ``source_tz`` when given (e.g. ``America/New_York``).
+    clock in ``source_tz`` when given (e.g. ``America/New_York``). ISO-8601
+    first, then ``FALLBACK_FORMATS``.
     """
     text = _col(c).cast("string")
-    parsed = F.try_to_timestamp(text)
+    trimmed = F.trim(text)
+    parsed = F.coalesce(F.try_to_timestamp(text),
+                        *[F.try_to_timestamp(trimmed, F.lit(fmt)) for fmt in FALLBACK_FORMATS])
     if not source_tz:
         return parsed
     return F.when(F.trim(text).rlike(_HAS_OFFSET), parsed).otherwise(F.to_utc_timestamp(parsed, source_tz))

@@ -123,3 +123,11 @@ def test_lenient_timestamp_source_zone(spark):
     got = one(spark, rows, "s string", lenient_timestamp("s", "America/New_York").cast("timestamp_ntz"))
     assert got == [dt.datetime(2013, 3, 1, 10), dt.datetime(2013, 7, 1, 9), dt.datetime(2013, 3, 1, 5),
                    dt.datetime(2013, 3, 1, 8), None]
+
+
+def test_lenient_timestamp_fallback_layouts(spark):
+    rows = [("3/1/2013 5:00",), ("3/1/2013 17:30:15",), ("3/1/2013",), ("March 1, 2013",), ("Mar 1, 2013",),
+            ("13/45/2013",)]
+    got = one(spark, rows, "s string", lenient_timestamp("s").cast("timestamp_ntz"))
+    assert got == [dt.datetime(2013, 3, 1, 5), dt.datetime(2013, 3, 1, 17, 30, 15), dt.datetime(2013, 3, 1),
+                   dt.datetime(2013, 3, 1), dt.datetime(2013, 3, 1), None]
