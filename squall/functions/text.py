@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from squall import constants as K
 
-# Leading/trailing whitespace in the Unicode sense (Python's str.strip).
-_EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# Leading/trailing whitespace as Python's str.strip() defines it: Unicode white
+# space plus the ASCII separators \x1c-\x1f.
+_EDGE_WHITESPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def _col(c) -> Column:

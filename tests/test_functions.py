@@ -131,3 +131,9 @@ def test_lenient_timestamp_fallback_layouts(spark):
     got = one(spark, rows, "s string", lenient_timestamp("s").cast("timestamp_ntz"))
     assert got == [dt.datetime(2013, 3, 1, 5), dt.datetime(2013, 3, 1, 17, 30, 15), dt.datetime(2013, 3, 1),
                    dt.datetime(2013, 3, 1), dt.datetime(2013, 3, 1), None]
+
+
+def test_strip_matches_python(spark):
+    samples = [" A ", "\x1cB\x1f", "　C ", "\xa0D\x85", "E\n", "  ", "F G"]
+    got = one(spark, [(x,) for x in samples], "s string", strip("s"))
+    assert got == [x.strip() for x in samples]
