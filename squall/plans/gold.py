@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from squall import constants as K
 from squall import schemas
@@ -65,8 +66,12 @@ def prepare_weather(stacked: DataFrame) -> DataFrame:
     """Parse (E1), drop null startTime (F1), one row per hour: live over
     history, then the newest snapshot (duplicate weather hours)."""
     df = _with_tags(stacked)
-    temp = (F.col("temperature").cast("string").try_cast("double") if "temperature" in df.columns
-            else F.lit(None).cast("double"))
+    if "temperature" not in df.columns:
+        temp = F.lit(None).cast("double")
+    elif isinstance(df.schema["temperature"].dataType, NumericType):
+        temp = F.col("temperature").cast("double")
+    else:  # text (e.g. a CSV snapshot): coerce, junk -> null
+        temp = F.col("temperature").cast("string").try_cast("double")
     df = df.select(_time(df, "startTime"), _time(df, "endTime"), temp.alias("temperature"),
                    _text(df, "shortForecast"), _source_rank().alias("_rank"), F.col("ingest_ts").alias("_ingest"))
     df = df.where(F.col("startTime").isNotNull())
