@@ -7,6 +7,7 @@ Silver layout: ``<root>/source=<live|historical>/ingest_ts=<instant>/part-*.parq
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,7 +85,7 @@ def read_csv_by_name(spark: SparkSession, patterns: str | Sequence[str], contrac
         groups.setdefault(_first_line(spark, f), []).append(f)
     out = None
     for header, paths in groups.items():
-        names = [h.strip().strip('"') for h in header.split(",")] if header else []
+        names = [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]))] if header else []
         if not names:
             continue
         text_schema = StructType([StructField(n, schemas.S) for n in names])
