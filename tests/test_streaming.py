@@ -91,3 +91,10 @@ def test_live_feed_documents_stream(spark, tmp):
     T.run_to_end(T.ingest(stream, silver.live_alert_rows, os.path.join(out, "data"), os.path.join(out, "_ck")))
     got = sorted((r.entity_id, r.routeId) for r in spark.read.parquet(os.path.join(out, "data")).collect())
     assert got == [(f"a{n}", r) for n in range(3) for r in ("N", "Q")]
+
+
+def test_stream_batch_bases_are_stable_and_distinct():
+    a = T.stream_batch_base("/shared/ckpt/stream-a")
+    assert a == T.stream_batch_base("/shared/ckpt/stream-a/")
+    assert a != T.stream_batch_base("/shared/ckpt/stream-b")
+    assert a >= 1 << 24 and a % (1 << 24) == 0  # room for 16 M micro-batches per stream
