@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from squall import constants as K
 from squall.plans import gold
+from squall.session import shared_dir
 from squall.sources import sinks
 
 
@@ -85,6 +86,9 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame, fact_path: str, che
     micro-batch has the same id, so it replaces its own fact partitions.
     """
     base = stream_batch_base(checkpoint)
+    # the static side is read by every micro-batch: materialise it once
+    shared_dir(weather.sparkSession)
+    weather = weather.checkpoint(eager=True)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         prepared = gold.prepare_alerts(batch)
