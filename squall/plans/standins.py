@@ -735,6 +735,25 @@ def q_gold_view(spark, d):
     return ntz(spark.read.schema(schemas.FACT).parquet(f"{g_root}/fact").transform(impact_aggregate))
 
 
+def q_csv_by_name(spark, d):
+    """S5 + P9: every view event written as CSV snapshots in two column orders
+    (history and live halves), read back aligned by column name."""
+    from squall.session import fresh_dir
+    from squall.sources.snapshots import read_csv_by_name
+    base = fresh_dir(spark, "csv-snapshots")
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    w = weather(spark, d)
+    text = w.select((F.col("startTime") < F.lit(HISTORY_CUTOFF).cast("timestamp")).alias("_early"),
+                    F.date_format("startTime", iso).alias("startTime"),
+                    F.date_format("endTime", iso).alias("endTime"),
+                    F.col("temperature").cast("string").alias("temperature"), "shortForecast")
+    text.where("_early").drop("_early").write.option("header", True).csv(f"{base}/a")
+    (text.where(~F.col("_early")).select("shortForecast", "temperature", "endTime", "startTime")
+         .write.option("header", True).csv(f"{base}/b"))
+    rows = read_csv_by_name(spark, [f"{base}/a/*.csv", f"{base}/b/*.csv"], schemas.WEATHER)
+    return ntz(rows.select(*K.WEATHER_COLUMNS))
+
+
 # ------------------------------------------------------------ streaming ---
 
 def _records_dir(spark, d, copies: int = 1) -> str:
@@ -832,6 +851,7 @@ QUERIES = {
     "export_rows": q_export_rows,
     "gold_fact": q_gold_fact,
     "gold_view": q_gold_view,
+    "csv_by_name": q_csv_by_name,
     "stream_ingest": q_stream_ingest,
     "stream_dedup": q_stream_dedup,
     "stream_enrich": q_stream_enrich,
@@ -860,6 +880,7 @@ ORACLES = {
     "export_rows": SQL_EXPORT_ROWS,
     "gold_fact": SQL_GOLD_FACT,
     "gold_view": SQL_IMPACT,
+    "csv_by_name": SQL_WEATHER,
     "stream_ingest": SQL_HISTORY_ROWS,
     "stream_dedup": "SELECT DISTINCT * FROM (" + SQL_HISTORY_ROWS + ")",
     "stream_enrich": SQL_STREAM_ENRICH,
