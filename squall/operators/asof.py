@@ -41,9 +41,9 @@ _MATCH = "__asof_match"
 
 
 # Below this many estimated input bytes the sort runs as one segment and the
-# quantile pass is skipped. The estimate is Catalyst's: scan sizes, kept for
-# filters and projections and multiplied for joins, so it over-states, never
-# under-states, what reaches the segment sort.
+# quantile pass is skipped. The estimate is Catalyst's: (compressed) scan sizes,
+# kept for filters and projections and multiplied for joins; a single segment
+# is still a spillable sort, so a low estimate costs parallelism, not memory.
 SINGLE_SEGMENT_MAX_BYTES = 32 * 1024 * 1024
 
 
@@ -57,7 +57,8 @@ BROADCAST_RIGHT_MAX_ROWS = 250_000
 # buckets (counted). Beyond either bound the segment plan runs (also exact).
 BROADCAST_MAX_CANDIDATES = 256
 # ... and the broadcast (every right row in three windows) estimated below
-# this many bytes (Catalyst's estimate, which over-states, never under-states).
+# this many bytes (Catalyst's estimate: a cheap first filter; the counts above
+# are the bound that is relied on).
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
@@ -234,6 +235,8 @@ def _candidate_windows(right: DataFrame, right_on: str, r: DataFrame, tol: int)
     if size is not None and 3 * size > BROADCAST_MAX_BYTES:
         return None
     raw = right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull())
+    # the row count is the proof (file-size estimates can under-state rows):
+    # nothing is grouped before it passes
     if raw.count() > BROADCAST_RIGHT_MAX_ROWS:
         return None
     spread = F.explode(F.array(*[_bucket(F.col(_T), width) + F.lit(k) for k in (-1, 0, 1)])).alias("__w")
