@@ -124,3 +124,8 @@ def test_hot_instant_and_segment_count_do_not_change_results(spark):
     assert one.count() == many.count() == bc.count() > n // 3
     assert one.exceptAll(many).count() == 0
     assert one.exceptAll(bc).count() == 0
+
+
+def test_zero_tolerance_is_exact_match(spark):
+    got = run(spark, [(1, T0), (2, at(seconds=1))], [(10, T0), (11, at(seconds=3))], tol=0)
+    assert got == {1: 10}
