@@ -23,7 +23,8 @@ def as_instant(c) -> Column:
     return _col(c).cast("timestamp")
 
 
-_HAS_OFFSET = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# an offset only counts after a time of day ("2013-03-01" ends in "-01" but has none)
+_HAS_OFFSET = r"[0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 # Non-ISO layouts tried after the ISO-8601 parse (US month-first and spelled
 # months); anything else stays null.

@@ -119,10 +119,11 @@ def test_strip_and_empty(spark):
 
 def test_lenient_timestamp_source_zone(spark):
     rows = [("2013-03-01T05:00:00",), ("2013-07-01 05:00:00",), ("2013-03-01T05:00:00Z",),
-            ("2013-03-01T05:00:00-03:00",), ("junk",)]
+            ("2013-03-01T05:00:00-03:00",), ("junk",), ("2013-03-01",), ("2013-03-01T05:00:00.250+0100",)]
     got = one(spark, rows, "s string", lenient_timestamp("s", "America/New_York").cast("timestamp_ntz"))
     assert got == [dt.datetime(2013, 3, 1, 10), dt.datetime(2013, 7, 1, 9), dt.datetime(2013, 3, 1, 5),
-                   dt.datetime(2013, 3, 1, 8), None]
+                   dt.datetime(2013, 3, 1, 8), None, dt.datetime(2013, 3, 1, 5),
+                   dt.datetime(2013, 3, 1, 4, 0, 0, 250000)]
 
 
 def test_lenient_timestamp_fallback_layouts(spark):
