@@ -24,8 +24,10 @@ def daily_summary(fact: DataFrame, time_col: str = "weather_start", route_col: s
     the rows are partitioned, unlike a floating-point sum.
     """
     temp = F.col(temp_col)
-    mean = (F.avg(temp) if exact_mean_scale is None
-            else F.avg(temp.cast(f"decimal(18,{exact_mean_scale})")).cast("double"))
+    # NaN / infinite readings are skipped like nulls (a missing value, as the
+    # array-library mean treats NaN)
+    mean = (F.avg(F.when(~F.isnan(temp), temp)) if exact_mean_scale is None
+            else F.avg(temp.try_cast(f"decimal(18,{exact_mean_scale})")).cast("double"))
     return (fact.where(F.col(route_col).isNotNull())
             .groupBy(utc_date(time_col).alias("alert_date"), F.col(route_col).alias("routeId"))
             .agg(F.count_distinct(entity_col).alias("entity_id"),

@@ -188,3 +188,14 @@ def test_csv_by_name_missing_and_extra_columns(spark, tmp):
     r = df.selectExpr("cast(startTime as timestamp_ntz) s", "endTime", "temperature", "shortForecast").first()
     assert (r.s, r.endTime, r.temperature, r.shortForecast) == (dt.datetime(2026, 6, 26, 16), None, None, "Sunny")
     assert df.columns == schemas.WEATHER.fieldNames() + ["ingest_ts"]
+
+
+def test_summary_mean_skips_nan_and_infinity(spark):
+    rows = [("1", "A", T, 10.0, "x"), ("2", "A", T, float("nan"), "x"), ("3", "A", T, float("inf"), "x"),
+            ("4", "A", T, 20.0, "x"), ("5", "A", T, None, "x")]
+    df = spark.createDataFrame(rows, "entity_id string, routeId string, weather_start timestamp, "
+                                     "temperature double, shortForecast string")
+    exact = daily_summary(df, exact_mean_scale=2).first()
+    assert exact.entity_id == 5 and exact.temperature == 15.0
+    plain = daily_summary(df.where(~F.isnull("temperature") & (F.col("entity_id") != "3"))).first()
+    assert plain.temperature == 15.0
