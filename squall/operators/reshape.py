@@ -59,7 +59,8 @@ def split_routes(df: DataFrame, column: str = "routeId", separator: str = K.ROUT
     null -> ``fill``; text; split on the literal ``separator`` (so ``A|B``
     stays whole); one row per part; strip whitespace; drop empty parts.
     """
-    pattern = "".join(f"[{ch}]" if not ch.isalnum() and ch != " " else ch for ch in separator)
+    # literal separator for Spark's regex split (Java \Q...\E quoting)
+    pattern = "\\Q" + separator.replace("\\E", "\\E\\\\E\\Q") + "\\E"
     parts = F.split(F.coalesce(F.col(column).cast("string"), F.lit(fill)), pattern)
     out = df.withColumn(column, F.explode(parts)).withColumn(column, strip(column))
     return out.where(F.col(column) != F.lit(""))

@@ -59,3 +59,12 @@ def test_first_per_key_hot_key(spark):
     # hot ids are those with id % 10 < 8; the largest is 19997, so the first ts is 3
     assert [r.ts for r in hot] == [3]
     assert out.count() == 1 + 4000
+
+
+def test_split_routes_literal_separators(spark):
+    from squall.operators.reshape import split_routes
+    for sep in [" | ", "^", "\\", ".*", "a\\Eb"]:
+        text = sep.join(["X", " Y ", "", "Z"])
+        got = [r.routeId for r in split_routes(spark.createDataFrame([(text,)], "routeId string"),
+                                               "routeId", separator=sep).collect()]
+        assert got == [p.strip() for p in text.split(sep) if p.strip()], sep
