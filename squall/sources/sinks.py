@@ -123,7 +123,7 @@ def export_rows(view: DataFrame, order=("routeId", "weather_start", "weather_cat
     for f in view.schema.fields:
         c = F.col(f.name)
         if f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ssxxx")
+            c = F.date_format(c.cast("timestamp"), "yyyy-MM-dd HH:mm:ssxxx")  # wall clock read as UTC
         cols.append(null_to_empty(c).alias(f.name))
     return view.orderBy(*[F.col(c).asc_nulls_first() for c in order if c in view.columns]).select(*cols)
 
