@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import repair
+from squall.llm import packing, repair, shards, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,46 @@ def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files_roundtrip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_repair_tokens": op2_repair_tokens}
+def op3_warc_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back record by record."""
+    return warc.archive_roundtrip(_table(spark, sf_dir, "pages"))
 
-ORACLES: dict[str, str] = {}
+
+ORACLE_OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, url FROM pages),
+d AS (SELECT page_id, url, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, max(page_id) AS first FROM d GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to, url AS target_uri
+FROM d JOIN f USING (payload_digest)
+"""
+
+
+def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into eight shards."""
+    return shards.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and the groups they form."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {
+    "op2_repair_tokens": op2_repair_tokens,
+    "op3_warc_reader": op3_warc_reader,
+    "op4_vector_packing": op4_vector_packing,
+    "op5_external_shuffle": op5_external_shuffle,
+    "op8_simhash_pigeonring": op8_simhash_pigeonring,
+}
+
+ORACLES: dict[str, str] = {
+    "op3_warc_reader": ORACLE_OP3,
+}
