@@ -21,7 +21,7 @@ import squall
 from squall.session import shared_dir
 
 # text handled at once inside a task; longer single texts are handled alone
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -112,11 +112,13 @@ def read_file(uri: str) -> bytes:
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a record batch into runs of rows whose text stays near ``most`` bytes."""
+    """Cut a record batch into runs of rows of about equal text, ``most`` bytes
+    each or a single row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    each = sizes.sum() / max(1, -(-int(sizes.sum()) // most))
     start = used = 0
     for i, n in enumerate(sizes.tolist()):
-        if used and used + n > most:
+        if used and used + n / 2 > each:
             yield batch.slice(start, i - start)
             start, used = i, 0
         used += n

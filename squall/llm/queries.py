@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import packing, repair, shards, simhash, warc
+from squall.llm import packing, repair, shards, simhash, syncmers, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,18 @@ def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncmer fingerprints of all documents and of their edited texts."""
+    return syncmers.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
 def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents and the groups they form."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select(
@@ -53,6 +65,8 @@ QUERIES = {
     "op3_warc_reader": op3_warc_reader,
     "op4_vector_packing": op4_vector_packing,
     "op5_external_shuffle": op5_external_shuffle,
+    "op6_closed_syncmers": op6_closed_syncmers,
+    "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
 }
 

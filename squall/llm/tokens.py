@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from squall.llm.common import SLICE_BYTES, strings
 
 # distinct pieces remembered by a Python worker (bounds its memory)
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_500_000
 
 # A piece as (stem, closing marks). Marks after a letter or digit are tokens of
 # their own, and these letters have one-to-one lower case and no composed forms,
@@ -64,7 +64,7 @@ class TextEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {"": 0}
+        self.known = pa.array([""], pa.large_string())
         self.flat = [np.empty(0, np.uint32)]
         self.counts = [np.zeros(1, np.int64)]
 
@@ -89,8 +89,8 @@ class TextEncoder:
         plain = pc.is_null(parted)
         stem = pc.if_else(plain, words.dictionary, pc.utf8_lower(stem)).dictionary_encode()
         tail = pc.if_else(plain, "", tail).dictionary_encode()
-        one = self._lookup(stem.dictionary.to_pylist())[stem.indices.to_numpy()]
-        two = self._lookup(tail.dictionary.to_pylist())[tail.indices.to_numpy()]
+        one = self._lookup(stem.dictionary)[stem.indices.to_numpy()]
+        two = self._lookup(tail.dictionary)[tail.indices.to_numpy()]
         self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
         both = np.stack([one, two], axis=1).ravel()
         ids, counts = _gather(self.flat[0], self.counts[0], both)
@@ -101,28 +101,31 @@ class TextEncoder:
             self._reset()
         return ids, np.diff(bounds)
 
-    def _lookup(self, words: list[str]) -> np.ndarray:
+    def _lookup(self, words: pa.Array) -> np.ndarray:
         """Index of each piece in the table of encoded pieces; new ones are added.
 
         New pieces are encoded many at a time with a separator between them, a
         mark that none of them holds and that is one token of its own."""
-        known = self.known
-        new = [w for w in words if w not in known]
-        alone = [w for w in new if SEPARATOR in w]
-        many = [w for w in new if SEPARATOR not in w] if alone else new
-        for at in range(0, len(many), 512):
-            run = many[at:at + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast(
-                [f" {SEPARATOR} ".join([*run, ""])], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == self.separator)
-            self._add(run, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
-        for w in alone:
-            ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-            self._add([w], ids, np.array([len(ids)]))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(pc.is_null(at))
+        if len(new):
+            apart = pc.match_substring(new, SEPARATOR)
+            many, alone = new.filter(pc.invert(apart)), new.filter(apart)
+            names = many.to_pylist()
+            for i in range(0, len(names), 512):
+                ids = np.array(self.tokenizer.encode_batch_fast(
+                    [f" {SEPARATOR} ".join([*names[i:i + 512], ""])], add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(ids == self.separator)
+                self._add(np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+            for w in alone.to_pylist():
+                ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
+                self._add(ids, np.array([len(ids)]))
+            added = pa.concat_arrays([many, alone])
+            at = pc.coalesce(at, pc.add(pc.index_in(words, value_set=added), len(self.known)))
+            self.known = pa.concat_arrays([self.known, added])
+        return at.to_numpy(zero_copy_only=False)
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> None:
         self.flat.append(ids)
         self.counts.append(counts)
 
