@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import packing, repair, shards, simhash, syncmers, toxicity, warc
+from squall.llm import mixing, packing, repair, shards, simhash, syncmers, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op10_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mixture of all documents to target weights takes of each."""
+    return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_repair_tokens": op2_repair_tokens,
     "op3_warc_reader": op3_warc_reader,
@@ -68,8 +73,10 @@ QUERIES = {
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
+    "op10_hypergeometric_mixing": op10_hypergeometric_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op3_warc_reader": ORACLE_OP3,
+    "op10_hypergeometric_mixing": mixing.ORACLE,
 }
