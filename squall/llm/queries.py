@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import mixing, packing, repair, shards, simhash, syncmers, toxicity, warc
+from squall.llm import licenses, mixing, packing, pivots, repair, shards, simhash, syncmers, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families named in each document."""
+    return licenses.scan_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files with Re-Pair grammars over all documents, read back."""
     return repair.token_files_roundtrip(_table(spark, sf_dir, "documents"))
@@ -60,12 +65,18 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best rows for every hundredth vector."""
+    return pivots.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mixture of all documents to target weights takes of each."""
     return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_repair_tokens": op2_repair_tokens,
     "op3_warc_reader": op3_warc_reader,
     "op4_vector_packing": op4_vector_packing,
@@ -73,10 +84,12 @@ QUERIES = {
     "op6_closed_syncmers": op6_closed_syncmers,
     "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
+    "op9_pivot_index": op9_pivot_index,
     "op10_hypergeometric_mixing": op10_hypergeometric_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op3_warc_reader": ORACLE_OP3,
+    "op9_pivot_index": pivots.ORACLE,
     "op10_hypergeometric_mixing": mixing.ORACLE,
 }
