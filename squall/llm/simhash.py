@@ -62,19 +62,18 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` (doc_id, text, and any ``row`` column) with the fingerprint as a
-    signed long in place of the text."""
+    """``row`` (the place of the document in its table), doc_id and the
+    fingerprint as a signed long."""
     ship(docs.sparkSession)
-    keep = [c for c in ("row", "doc_id") if c in docs.columns]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fps.view(np.int64))],
-                                             names=[*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(fps.view(np.int64))],
+                                             names=["row", "doc_id", "fp"])
 
-    return (docs.select(*(F.col(c).cast("long") for c in keep), F.col("text").cast("string"))
-            .mapInArrow(of, ", ".join(f"{c} long" for c in [*keep, "fp"])))
+    return (docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+                        F.col("text").cast("string")).mapInArrow(of, "row long, doc_id long, fp long"))
 
 
 def segments(max_bits: int) -> list[int]:
@@ -240,8 +239,8 @@ def _compared(start: np.ndarray, fp: np.ndarray, first: np.ndarray, end: int,
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id (and ``row`` if given), fp, fingerprint as
-    16 hex digits, class label and component_id (smallest doc_id reachable)."""
+    """One row per document: row, doc_id, fp, fingerprint as 16 hex digits, class
+    label and component_id (smallest doc_id reachable)."""
     marked = stage(fingerprints(docs, shingle, seed), "simhash-fp")
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     label = connected(links(distinct.select("fp"), max_bits))
@@ -256,8 +255,9 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed:
 def deduplicate(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
     """Keep of each component the document with the smallest doc_id (nulls
     last; of repeated rows one). ``docs`` must be a table that rereads alike."""
-    rows = docs.withColumn("row", F.monotonically_increasing_id())
-    marked = near_duplicates(rows.select("row", "doc_id", "text"), max_bits, shingle, seed)
+    marked = near_duplicates(docs, max_bits, shingle, seed)
     kept = marked.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row"))
-                                       .alias("m")).select(F.col("m.row").alias("row"))
-    return rows.join(kept, "row", "left_semi").select(*docs.columns)
+                                       .alias("m")).select(F.col("m.row").alias("kept_row"))
+    names = docs.columns  # any names may come in
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("kept_row", F.monotonically_increasing_id())
+    return rows.join(kept, "kept_row", "left_semi").select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

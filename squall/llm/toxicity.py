@@ -260,24 +260,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, statistic, score and predicted for every document; a
-    ``row`` column is passed on if there is one."""
+    """doc_id, held_out, statistic, score and predicted for every document."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    keep = [c for c in ("row", "doc_id") if c in docs.columns]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 z = shared.value.statistics(part.column("text"))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(z),
-                                                  pa.array(shared.value.scores(z))],
-                                                 names=[*keep, "statistic", "score"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(z), pa.array(shared.value.scores(z))],
+                                                 names=["doc_id", "statistic", "score"])
 
-    scored = (docs.select(*(F.col(c).cast("long") for c in keep), F.col("text").cast("string"))
-              .mapInArrow(score, ", ".join(f"{c} long" for c in keep) + ", statistic double, score double"))
-    return scored.select(*keep, (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
+    scored = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+              .mapInArrow(score, "doc_id long, statistic double, score double"))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
