@@ -209,11 +209,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the labelled rows whose fold is not 0."""
     spark = docs.sparkSession
     ship(spark)
+    # labels grow with the corpus, so the join is a shuffle at every size
     marks = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
              .where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .where(fold(F.col("doc_id")) != 0).join(marks, "doc_id"))
+             .where(fold(F.col("doc_id")) != 0).join(marks.hint("merge"), "doc_id"))
     texts = texts.select("text", "toxic", fold(F.col("doc_id")).alias("fold"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
