@@ -92,7 +92,7 @@ def train(docs: DataFrame) -> Scan:
     n = docs.agg(F.sum(F.length(text) - F.length(F.translate(text, "\n", "")) + 1)).first()[0] or 1
     # different lines only: those below a hash bound, of which there are about twice as many as needed
     mark = F.shiftrightunsigned(F.xxhash64("line"), 1)
-    lines = paragraphs(docs).where((F.length("line") > 0) & (mark < F.lit(int(min(1.0, 2 * BACKGROUND / n) * (2**63 - 1)))))
+    lines = paragraphs(docs).where((F.length("line") > 0) & (mark <= F.lit(min(2 * BACKGROUND * 2**63 // n, 2**63 - 1))))
     background = stage(lines.groupBy("line").agg(F.min(mark).alias("mark")).orderBy("mark", "line").limit(BACKGROUND)
                        .select(tokens(F.col("line")).alias("words")).coalesce(1), "licence-background")
     notices = stage(_notices(spark).withColumn("words", tokens(F.col("text"))), "licence-notices")
