@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,12 +49,14 @@ def route_from_header(route, header, pattern: str = K.ROUTE_IN_HEADER_PATTERN,
 
 def contains_any(c, keywords: Iterable[str], case_sensitive: bool = False) -> Column:
     """One column contains any of the keywords (LIKE '%kw%' semantics, 3-valued)."""
-    text = _col(c) if case_sensitive else F.lower(_col(c))
-    expr = None
-    for kw in keywords:
-        term = text.contains(kw if case_sensitive else kw.lower())
-        expr = term if expr is None else (expr | term)
-    return F.lit(False) if expr is None else expr
+    keywords = list(keywords)
+    if not keywords:
+        return F.lit(False)
+    if case_sensitive:
+        return reduce(or_, [_col(c).contains(kw) for kw in keywords])
+    # bound as a lambda variable, so the text is folded once and not per keyword
+    found = F.transform(F.array(F.lower(_col(c))), lambda text: reduce(or_, [text.contains(kw.lower()) for kw in keywords]))
+    return F.element_at(found, 1)
 
 
 def matches_any(columns_to_keywords: Mapping[str, Sequence[str]] | Sequence[tuple],

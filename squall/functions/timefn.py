@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# pandas datetime64[ns] covers about +-292 years around 1970; outside that an
-# epoch value is out of range and coerces to null.
-_MAX_EPOCH_SECONDS = 9.2e9
+# Nanosecond timestamps cover about +-292 years around 1970; by default an epoch
+# value outside that range coerces to null.
+MAX_EPOCH_SECONDS = 9.2e9
 
 
 def _col(c) -> Column:
@@ -58,15 +58,15 @@ def strict_timestamp(c, what: str = "timestamp") -> Column:
                   ).otherwise(parsed)
 
 
-def epoch_seconds_timestamp(c) -> Column:
+def epoch_seconds_timestamp(c, max_seconds: float = MAX_EPOCH_SECONDS) -> Column:
     """E3 + E16: epoch seconds given as text or number -> timestamp.
 
-    Junk, NaN, infinities and out-of-range values become null; fractional
-    seconds are kept.
+    Junk, NaN, infinities and values of ``max_seconds`` or more before or after
+    1970 become null; fractional seconds are kept.
     """
     seconds = _col(c).cast("string").try_cast("double")
     # NaN sorts above every number in Spark, so one comparison rejects it too
-    return F.when(F.abs(seconds) < F.lit(_MAX_EPOCH_SECONDS), F.timestamp_seconds(seconds))
+    return F.when(F.abs(seconds) < F.lit(float(max_seconds)), F.timestamp_seconds(seconds))
 
 
 def plus_seconds(c, seconds: int) -> Column:
@@ -93,7 +93,6 @@ def round_to(c, seconds: int) -> Column:
     half = F.lit(int(seconds) * 500_000)
     m = epoch_micros(c)
     rem = F.pmod(m, unit)
-    q = (m - rem).cast("long") / unit
-    q = q.cast("long")
+    q = F.call_function("div", m - rem, unit)
     up = (rem > half) | ((rem == half) & (F.pmod(q, F.lit(2)) == 1))
     return F.timestamp_micros((q + F.when(up, 1).otherwise(0)) * unit)

@@ -11,23 +11,22 @@ from squall.functions.timefn import utc_date
 
 def daily_summary(fact: DataFrame, time_col: str = "weather_start", route_col: str = "routeId",
                   entity_col: str = "entity_id", temp_col: str = "temperature",
-                  forecast_col: str = "shortForecast", exact_mean_scale: int | None = None) -> DataFrame:
+                  forecast_col: str = "shortForecast", mean_scale: int = 10) -> DataFrame:
     """A1: per (UTC date, route): distinct entities (A2), mean temperature (A3),
     most frequent forecast, ties to the smallest value (A4).
 
     Rows with a null route are not summarised. Output columns:
     alert_date, routeId, entity_id (a count), temperature, shortForecast.
 
-    ``exact_mean_scale=s`` declares that temperatures carry at most ``s``
-    decimals (the contracts round to 2) and computes the mean in decimal
-    arithmetic, rounded half-up at ``s + 4`` places: the same value however
-    the rows are partitioned, unlike a floating-point sum.
+    The mean is an exact decimal sum (``mean_scale`` decimals of a reading
+    count; readings are below 1e18) divided once as doubles: unrounded, and
+    the same however the rows are partitioned, unlike a floating-point sum.
     """
     temp = F.col(temp_col)
     # NaN / infinite readings are skipped like nulls (a missing value, as the
     # array-library mean treats NaN)
-    mean = (F.avg(F.when(~F.isnan(temp), temp)) if exact_mean_scale is None
-            else F.avg(temp.try_cast(f"decimal(18,{exact_mean_scale})")).cast("double"))
+    reading = temp.try_cast(f"decimal({18 + mean_scale},{mean_scale})")
+    mean = F.sum(reading).cast("double") / F.nullif(F.count(reading), F.lit(0))
     return (fact.where(F.col(route_col).isNotNull())
             .groupBy(utc_date(time_col).alias("alert_date"), F.col(route_col).alias("routeId"))
             .agg(F.count_distinct(entity_col).alias("entity_id"),

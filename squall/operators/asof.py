@@ -40,13 +40,6 @@ _ROW = "__asof_row"
 _MATCH = "__asof_match"
 
 
-# Below this many estimated input bytes the sort runs as one segment and the
-# quantile pass is skipped. The estimate is Catalyst's: (compressed) scan sizes,
-# kept for filters and projections and multiplied for joins; a single segment
-# is still a spillable sort, so a low estimate costs parallelism, not memory.
-SINGLE_SEGMENT_MAX_BYTES = 32 * 1024 * 1024
-
-
 # Upper bound on segments: the broadcast carry table has one row per segment.
 MAX_SEGMENTS = 100_000
 
@@ -56,10 +49,10 @@ BROADCAST_RIGHT_MAX_ROWS = 250_000
 # ... and at most this many right rows within any window of three tolerance
 # buckets (counted). Beyond either bound the segment plan runs (also exact).
 BROADCAST_MAX_CANDIDATES = 256
-# ... and the broadcast (every right row in three windows) estimated below
-# this many bytes (Catalyst's estimate: a cheap first filter; the counts above
-# are the bound that is relied on).
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# ... and at most this many bytes in the broadcast (every right row stands in
+# three windows), measured on the rows' text form.
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+_ROW_OVERHEAD = 64
 
 
 def default_segments(spark) -> int:
@@ -70,15 +63,6 @@ def default_segments(spark) -> int:
     return max(1, 2 * parts)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None when unavailable."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        return None
-
-
 def segment_bounds(times: DataFrame, column: str, segments: int) -> list[float]:
     """Approximate quantile cut points of ``column`` (one aggregate job).
 
@@ -116,13 +100,14 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     them with null right columns. Rows of ``right`` sharing one instant are
     reduced to the first by ``right_order`` then by the row's own values;
     ``right_unique=True`` skips that step when the caller already guarantees
-    one row per instant.
-
-    Two exact plans. When the right side is proven small (row count and
-    candidates per tolerance window counted against ``BROADCAST_RIGHT_MAX_ROWS``
-    and ``BROADCAST_MAX_CANDIDATES``) the candidate windows are broadcast and
-    the left side is never shuffled (``_broadcast_plan``); otherwise the
-    segment plan above runs. ``broadcast_right`` forces (True) or forbids
+    one row per instant; if that promise is broken the row taken at a repeated
+    instant is unspecified and may differ between the plans.
+
+    Two exact plans. When the right side is proven small (rows, bytes and
+    candidates per tolerance window measured against the ``BROADCAST_*``
+    bounds) the candidate windows are broadcast and the left side is never
+    shuffled (``_broadcast_plan``); otherwise the segment plan above runs, at
+    any size over ``default_segments`` segments. ``broadcast_right`` forces (True) or forbids
     (False) the broadcast plan's attempt; the bounds are always checked.
 
     Both inputs are read up to three times; pass materialised frames when
@@ -161,12 +146,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 
     # 3. balanced segment bounds over both sides
     times = lt.unionByName(right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull()))
-    if segments is None:
-        size = estimated_bytes(times)
-        n = 1 if size is not None and size <= SINGLE_SEGMENT_MAX_BYTES else default_segments(spark)
-    else:
-        n = segments
-    n = max(1, min(n, MAX_SEGMENTS))
+    n = max(1, min(default_segments(spark) if segments is None else segments, MAX_SEGMENTS))
     bounds = segment_bounds(times, _T, n)
     nseg = len(bounds) + 1
 
@@ -221,23 +201,21 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
 def _bucket(t: Column, width: int) -> Column:
     """Exact floor(t / width) on integers (also before 1970)."""
     w = F.lit(width)
-    return ((t - F.pmod(t, w)) / w).cast("long")
+    return F.call_function("div", t - F.pmod(t, w), w)
 
 
 def _candidate_windows(right: DataFrame, right_on: str, r: DataFrame, tol: int) -> DataFrame | None:
     """Window table for the broadcast plan, or None when the right side is not
     provably small. Window ``w`` holds every right row of buckets w-1, w, w+1
     (bucket width = tolerance), which contains all rows within tolerance of
-    any instant in bucket ``w``. Both bounds are counted before anything is
+    any instant in bucket ``w``. All bounds are measured before anything is
     collected or broadcast."""
     width = max(tol, 1)
-    size = estimated_bytes(right)
-    if size is not None and 3 * size > BROADCAST_MAX_BYTES:
-        return None
     raw = right.select(epoch_micros(right_on).alias(_T)).where(F.col(_T).isNotNull())
-    # the row count is the proof (file-size estimates can under-state rows):
-    # nothing is grouped before it passes
-    if raw.count() > BROADCAST_RIGHT_MAX_ROWS:
+    row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in right.columns]))) + _ROW_OVERHEAD
+    size = right.where(F.col(right_on).isNotNull()).agg(F.count(F.lit(1)).alias("n"),
+                                                        F.sum(row_bytes.cast("long")).alias("b")).first()
+    if size["n"] > BROADCAST_RIGHT_MAX_ROWS or 3 * (size["b"] or 0) > BROADCAST_MAX_BYTES:
         return None
     spread = F.explode(F.array(*[_bucket(F.col(_T), width) + F.lit(k) for k in (-1, 0, 1)])).alias("__w")
     widest = raw.select(spread).groupBy("__w").count().agg(F.max("count").alias("m")).first()
@@ -256,13 +234,14 @@ def _broadcast_plan(left: DataFrame, left_on: str, windows: DataFrame, rcols: li
     width = max(tol, 1)
     lt = F.col(_T)
     keyed = left.withColumn(_T, epoch_micros(left_on)).withColumn("__w", _bucket(lt, width))
-    joined = keyed.join(F.broadcast(windows), "__w", "left")
+    joined = keyed.join(F.broadcast(windows), "__w", how)
     scored = F.transform(F.col("__cands"), lambda c: F.struct(
         F.abs(c["t"] - lt).alias("d"), (c["t"] > lt).cast("int").alias("late"),
         c["t"].alias("t"), c["r"].alias("r")))
-    best = F.array_min(F.filter(scored, lambda x: x["d"] <= F.lit(tol))).getField("r")
-    out = joined.withColumn(_MATCH, best)
-    if how == "inner":
-        out = out.where(F.col(_MATCH).isNotNull())
+    best = F.array_min(F.filter(scored, lambda x: x["d"] <= F.lit(tol)))
+    # an array of the best candidate or of none: scored once per left row
+    found = F.filter(F.array(best), lambda x: x.isNotNull())
+    out = (joined.withColumn("__best", (F.explode if how == "inner" else F.explode_outer)(found))
+           .withColumn(_MATCH, F.col("__best").getField("r")))
     return out.select(*[F.col(c) for c in left.columns],
                       *[F.col(_MATCH).getField(c).alias(c) for c in rcols])

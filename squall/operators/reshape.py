@@ -62,5 +62,5 @@ def split_routes(df: DataFrame, column: str = "routeId", separator: str = K.ROUT
     # literal separator for Spark's regex split (Java \Q...\E quoting)
     pattern = "\\Q" + separator.replace("\\E", "\\E\\\\E\\Q") + "\\E"
     parts = F.split(F.coalesce(F.col(column).cast("string"), F.lit(fill)), pattern)
-    out = df.withColumn(column, F.explode(parts)).withColumn(column, strip(column))
-    return out.where(F.col(column) != F.lit(""))
+    kept = F.filter(F.transform(parts, strip), lambda part: part != F.lit(""))
+    return df.withColumn(column, F.explode(kept))

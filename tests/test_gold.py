@@ -118,14 +118,14 @@ def test_retried_batch_replaces_itself(spark, tmp):
 def test_csv_by_name_aligns_swapped_columns(spark, tmp):
     with open(os.path.join(tmp, "forecast_a.csv"), "w") as f:
         f.write("startTime,endTime,temperature,shortForecast\n")
-        f.write("2026-06-26 15:00:00-04:00,2026-06-26 16:00:00-04:00,79,Mostly Cloudy\n")
+        f.write("2031-03-05 09:00:00-04:00,2031-03-05 10:00:00-04:00,61,Patchy Fog\n")
     with open(os.path.join(tmp, "forecast_b.csv"), "w") as f:
         f.write("shortForecast,temperature,endTime,startTime\n")
-        f.write("Partly Sunny,80.5,2026-06-26T17:00:00-04:00,2026-06-26T16:00:00-04:00\n")
+        f.write("Windy,62.5,2031-03-05T11:00:00-04:00,2031-03-05T10:00:00-04:00\n")
     df = read_csv_by_name(spark, os.path.join(tmp, "forecast_*.csv"), schemas.WEATHER)
     rows = sorted(df.selectExpr("cast(startTime as timestamp_ntz) s", "temperature", "shortForecast").collect())
     assert [(r.s, r.temperature, r.shortForecast) for r in rows] == [
-        (dt.datetime(2026, 6, 26, 19), 79.0, "Mostly Cloudy"), (dt.datetime(2026, 6, 26, 20), 80.5, "Partly Sunny")]
+        (dt.datetime(2031, 3, 5, 13), 61.0, "Patchy Fog"), (dt.datetime(2031, 3, 5, 14), 62.5, "Windy")]
 
 
 def test_run_gold_end_to_end(spark, tmp):
@@ -176,17 +176,17 @@ def test_only_history_or_only_live(spark, tmp):
 def test_no_bronze_file_is_empty(spark, tmp):
     from squall.plans import silver
     from squall.sources import bronze
-    feed = bronze.live_alert_feed(spark, os.path.join(tmp, "mta_alerts_*.json"))
+    feed = bronze.live_alert_feed(spark, os.path.join(tmp, "feed_*.json"))
     assert silver.live_alerts(feed).count() == 0
 
 
 def test_csv_by_name_missing_and_extra_columns(spark, tmp):
     with open(os.path.join(tmp, "forecast_c.csv"), "w") as f:
         f.write("extra,startTime,shortForecast\n")
-        f.write("x,2026-06-26T16:00:00Z,Sunny\n")
+        f.write("x,2031-03-05T16:00:00Z,Windy\n")
     df = read_csv_by_name(spark, os.path.join(tmp, "forecast_c.csv"), schemas.WEATHER)
     r = df.selectExpr("cast(startTime as timestamp_ntz) s", "endTime", "temperature", "shortForecast").first()
-    assert (r.s, r.endTime, r.temperature, r.shortForecast) == (dt.datetime(2026, 6, 26, 16), None, None, "Sunny")
+    assert (r.s, r.endTime, r.temperature, r.shortForecast) == (dt.datetime(2031, 3, 5, 16), None, None, "Windy")
     assert df.columns == schemas.WEATHER.fieldNames() + ["ingest_ts"]
 
 
@@ -195,7 +195,7 @@ def test_summary_mean_skips_nan_and_infinity(spark):
             ("4", "A", T, 20.0, "x"), ("5", "A", T, None, "x")]
     df = spark.createDataFrame(rows, "entity_id string, routeId string, weather_start timestamp, "
                                      "temperature double, shortForecast string")
-    exact = daily_summary(df, exact_mean_scale=2).first()
+    exact = daily_summary(df).first()
     assert exact.entity_id == 5 and exact.temperature == 15.0
     plain = daily_summary(df.where(~F.isnull("temperature") & (F.col("entity_id") != "3"))).first()
     assert plain.temperature == 15.0
