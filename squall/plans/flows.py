@@ -10,7 +10,6 @@ same snapshot. Nothing is written for an empty result (F6).
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,21 +21,18 @@ from squall.plans import gold, silver
 from squall.sources import bronze, sinks
 
 
-def _snapshot_time(df: DataFrame) -> dt.datetime | None:
-    row = df.agg(F.max("ingest_ts").alias("t")).first()
-    return row["t"] if row is not None else None
-
-
 def _silver_flow(spark: SparkSession, read: Callable, transform: Callable[[DataFrame], DataFrame],
                  bronze_paths: str | Sequence[str], silver_root: str, source: str) -> dict:
-    raw = read(spark, bronze_paths)
-    taken = _snapshot_time(raw)
-    if taken is None:
-        return {"rows": 0, "written": False}
-    rows = distinct_rows(transform(raw.drop("ingest_ts")))
-    if rows.isEmpty():
+    """Newest bronze file -> one snapshot partition. Bronze is parsed once: the
+    snapshot time comes from the file listing, the row count from the write. An
+    empty result writes no file and leaves no snapshot (F6)."""
+    files, taken = bronze.newest_snapshot(spark, bronze_paths)
+    if not files:
         return {"rows": 0, "written": False}
+    rows = distinct_rows(transform(read(spark, files, latest_only=False).drop("ingest_ts")))
     out = sinks.write_snapshot(rows, silver_root, source, taken)
+    if not out["rows"]:
+        return {"rows": 0, "written": False}
     return {**out, "written": True, "snapshot": taken}
 
 
@@ -78,3 +74,11 @@ def import_csv_snapshots(spark, patterns, contract, silver_root: str, source: st
 
 def gold_run(spark, alerts_root, weather_root, gold_root, batch_id: int, export: bool = True) -> dict:
     return gold.run_gold(spark, alerts_root, weather_root, gold_root, batch_id, export=export)
+
+
+def run_all(spark, alert_bronze, weather_bronze, silver_root: str, gold_root: str, batch_id: int,
+            export: bool = True) -> dict:
+    """One poll: both live silver flows, then gold."""
+    return {"alerts": alerts_live(spark, alert_bronze, f"{silver_root}/alerts"),
+            "weather": weather_live(spark, weather_bronze, f"{silver_root}/weather"),
+            "gold": gold_run(spark, f"{silver_root}/alerts", f"{silver_root}/weather", gold_root, batch_id, export)}

@@ -15,7 +15,7 @@ from squall.operators.asof import asof_nearest
 from squall.operators.dedup import first_per_key
 from squall.operators.reshape import rename
 from squall.sources import sinks
-from squall.session import shared_dir
+from squall.session import fresh_dir, remove_dir, shared_dir
 from squall.sources.snapshots import live_and_latest_history
 
 
@@ -105,21 +105,23 @@ def run_gold(spark: SparkSession, alerts_root: str, weather_root: str, gold_root
     weather = live_and_latest_history(spark, weather_root, schemas.WEATHER)
     if alerts is None or weather is None:
         return {"status": "missing silver input"}
-    # The as-of join reads each input more than once (bounds, distinct
-    # instants, join back); the prepared frames are aggregations, so they are
-    # materialised once in the shared checkpoint folder (lineage cut, safe
-    # against executor loss) instead of being recomputed.
+    # weather is read several times by the join (bounds, windows): materialised
+    # once; alert text is written once, as the joined rows that feed the fact
+    # and the summary
     shared_dir(spark)
-    prepared_alerts = prepare_alerts(alerts).checkpoint(eager=True)
     prepared_weather = prepare_weather(weather).checkpoint(eager=True)
-    # the joined rows feed both the fact and the summary: materialise once
-    gold = combine(prepared_alerts, prepared_weather, tolerance_seconds, unique_weather=True).checkpoint(eager=True)
+    staged = fresh_dir(spark, "gold-rows")
+    (combine(prepare_alerts(alerts), prepared_weather, tolerance_seconds, unique_weather=True)
+     .write.mode("overwrite").parquet(staged))
+    gold = spark.read.schema(schemas.GOLD).parquet(staged)
     metrics = sinks.append_new(gold, f"{gold_root}/fact", batch_id, materialized=True)
     fact = sinks.read_fact(spark, f"{gold_root}/fact")
-    summary_written = sinks.write_summary(summarize(gold), f"{gold_root}/daily_summary")
-    metrics["summary_written"] = summary_written
+    metrics["summary_written"] = sinks.write_summary(summarize(gold), f"{gold_root}/daily_summary")
+    remove_dir(spark, staged)
     if fact is not None:
-        view = sinks.register_view(impact_view(fact))
+        # the catalog's view needs a file to take its columns from
+        view = (sinks.register_view(impact_view(fact)) if fact.isEmpty()
+                else sinks.create_view(spark, f"{gold_root}/fact"))
         if export:
             metrics["exported"] = sinks.export_csv(view, f"{gold_root}/impact_export")
     return metrics

@@ -7,11 +7,12 @@ oracle written independently in plain SQL (``ORACLES``).
 
 Stand-ins (binding parameters, not fixed values of the reproduced system):
 
-* alerts  = ``events`` of type ``error``: entity_id = event_id, routeId =
+* alerts  = ``events`` with an even event_id: entity_id = event_id, routeId =
   'R' || user_id % 20 (null for 0), start = ts, end = ts + 1 h, header =
   a phrase chosen by ``props.k``, description = the whole ``documents.text``
-  with doc_id = event_id (null when there is none).
-* weather = ``events`` of type ``view``: startTime = ts, endTime = ts + 1 h,
+  with 2 * doc_id = event_id (null when there is none), so every document is
+  some alert's description.
+* weather = the other ``events``: startTime = ts, endTime = ts + 1 h,
   temperature = value, shortForecast = a forecast chosen by ``props.k``.
 
 Timestamps in the tables are ``timestamp_ntz``; they are read as UTC and
@@ -31,6 +32,7 @@ from squall.functions.text import (categorise, extract_predicate, null_to_empty,
 from squall.functions.timefn import plus_seconds, round_to
 from squall.operators.aggregates import impact_aggregate
 from squall.operators.anti_join import anti_join_null_safe
+from squall.operators.asof import asof_nearest
 from squall.operators.dedup import distinct_rows, first_per_key, latest_by
 from squall.operators.reshape import split_routes
 from squall.operators.union import stack
@@ -47,7 +49,6 @@ HEADER_PHRASES = ["Delays due to heavy rain", "Signal problems at [A] station",
 ASOF_TOLERANCE_S = 600        # 10 minutes: the view events are dense enough for misses and hits
 ROUTE_BUCKETS = 20
 HISTORY_CUTOFF = "2024-01-16 00:00:00"
-STREAM_WATERMARK = "45 days"
 
 
 # ---------------------------------------------------------------- helpers ---
@@ -117,8 +118,8 @@ def _sql_wmo(col: str) -> str:
 # ------------------------------------------------------------ stand-ins ---
 
 def alerts(spark: SparkSession, d: str, extra=()) -> DataFrame:
-    ev = _read(spark, d, "events").where(F.col("event_type") == "error")
-    docs = _read(spark, d, "documents").select("doc_id", "text")
+    ev = _read(spark, d, "events").where(F.col("event_id") % 2 == 0)
+    docs = _read(spark, d, "documents").select((F.col("doc_id") * 2).alias("doc_id"), "text")
     r = F.col("user_id") % ROUTE_BUCKETS
     return (ev.join(docs, ev["event_id"] == docs["doc_id"], "left")
             .select(F.col("event_id").cast("string").alias("entity_id"),
@@ -135,13 +136,13 @@ SELECT CAST(e.event_id AS VARCHAR) AS entity_id,
        e.ts AS start, e.ts + INTERVAL 1 HOUR AS "end",
        {_sql_pick(HEADER_PHRASES, f"({_SQL_K.replace('props', 'e.props')} % {len(HEADER_PHRASES)})")} AS header_text,
        d.text AS description_text
-FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id
-WHERE e.event_type = 'error'
+FROM events e LEFT JOIN documents d ON 2 * d.doc_id = e.event_id
+WHERE e.event_id % 2 = 0
 """
 
 
 def weather(spark: SparkSession, d: str) -> DataFrame:
-    ev = _read(spark, d, "events").where(F.col("event_type") == "view")
+    ev = _read(spark, d, "events").where(F.col("event_id") % 2 == 1)
     return ev.select(F.col("ts").cast("timestamp").alias("startTime"),
                      plus_seconds("ts", 3600).alias("endTime"),
                      F.col("value").alias("temperature"),
@@ -151,13 +152,16 @@ def weather(spark: SparkSession, d: str) -> DataFrame:
 SQL_WEATHER = f"""
 SELECT ts AS startTime, ts + INTERVAL 1 HOUR AS endTime, value AS temperature,
        {_sql_pick(FORECASTS, f"({_SQL_K} % {len(FORECASTS)})")} AS shortForecast
-FROM events WHERE event_type = 'view'
+FROM events WHERE event_id % 2 = 1
 """
 
-SQL_ASOF = f"""
-WITH a AS ({SQL_ALERTS}), w AS ({SQL_WEATHER}),
+
+def _sql_asof(alerts_sql: str) -> str:
+    """Nearest weather of each alert (entity and route) within the tolerance."""
+    return f"""
+WITH a AS ({alerts_sql}), w AS ({SQL_WEATHER}),
 c AS (
-  SELECT a.*, w.*, row_number() OVER (PARTITION BY a.entity_id
+  SELECT a.*, w.*, row_number() OVER (PARTITION BY a.entity_id, a.routeId
            ORDER BY abs(epoch_us(a.start) - epoch_us(w.startTime)), w.startTime) AS rn
   FROM a JOIN w ON w.startTime BETWEEN a.start - INTERVAL {ASOF_TOLERANCE_S} SECOND
                                    AND a.start + INTERVAL {ASOF_TOLERANCE_S} SECOND)
@@ -167,6 +171,9 @@ FROM c WHERE rn = 1
 """
 
 
+SQL_ASOF = _sql_asof(SQL_ALERTS)
+
+
 def _gold(spark, d) -> DataFrame:
     return gold.combine(alerts(spark, d), weather(spark, d), ASOF_TOLERANCE_S)
 
@@ -179,42 +186,31 @@ def q_asof_nearest(spark, d):
 
 
 def q_asof_daily_summary(spark, d):
-    """J2, E5, A1–A4 (exact decimal mean: stand-in temperatures have 2 decimals)."""
+    """J2, E5, A1–A4."""
     return gold.summarize(_gold(spark, d))
 
 
-_SQL_SUMMARY_MICRO = f"""
+# readings have two decimals, so the decimal sum is exact and the mean is one division
+SQL_SUMMARY = f"""
 WITH m AS ({SQL_ASOF}),
 g AS (SELECT CAST(weather_start AS DATE) AS alert_date, routeId, entity_id, temperature, shortForecast
       FROM m WHERE routeId IS NOT NULL),
 agg AS (SELECT alert_date, routeId, COUNT(DISTINCT entity_id) AS entity_id,
-               SUM(CAST(ROUND(temperature * 100) AS BIGINT)) AS cents, COUNT(temperature) AS n
+               CAST(SUM(CAST(temperature AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(COUNT(temperature), 0) AS temperature
         FROM g GROUP BY alert_date, routeId),
-mean AS (SELECT *, CASE WHEN n > 0 THEN (2 * cents * 10000 + n) // (2 * n) END AS micro FROM agg),
 fc AS (SELECT alert_date, routeId, shortForecast, COUNT(*) AS n FROM g
        WHERE shortForecast IS NOT NULL GROUP BY alert_date, routeId, shortForecast),
 md AS (SELECT alert_date, routeId, shortForecast FROM (
          SELECT *, row_number() OVER (PARTITION BY alert_date, routeId ORDER BY n DESC, shortForecast) AS rn
          FROM fc) WHERE rn = 1)
-SELECT mean.alert_date, mean.routeId, mean.entity_id, CAST(micro AS DOUBLE) / 1000000.0 AS temperature,
-       md.shortForecast, micro
-FROM mean LEFT JOIN md ON md.alert_date = mean.alert_date AND md.routeId = mean.routeId
-"""
-
-SQL_SUMMARY = f"""
-SELECT alert_date, routeId, entity_id, temperature, shortForecast FROM ({_SQL_SUMMARY_MICRO})
+SELECT agg.alert_date, agg.routeId, agg.entity_id, agg.temperature, md.shortForecast
+FROM agg LEFT JOIN md ON md.alert_date = agg.alert_date AND md.routeId = agg.routeId
 """
 
 
-def q_impact_view(spark, d):
-    """E6, F3, E14, E15, A5, S9 over the fact rows of the stand-in gold."""
-    from squall.sources.sinks import fact_rows
-    fact = fact_rows(_gold(spark, d), 0)
-    return ntz(impact_aggregate(fact))
-
-
-SQL_IMPACT = f"""
-WITH m AS ({SQL_ASOF}),
+def _sql_impact(asof_sql: str) -> str:
+    return f"""
+WITH m AS ({asof_sql}),
 f AS (SELECT entity_id, routeId, {_sql_round('weather_start', K.FACT_ROUND_SECONDS)} AS weather_start,
              header_text, description_text, shortForecast FROM m)
 SELECT routeId, weather_start, {_sql_category('shortForecast')} AS weather_category,
@@ -226,6 +222,16 @@ GROUP BY 1, 2, 3
 """
 
 
+def q_impact_view(spark, d):
+    """E6, F3, E14, E15, A5, S9 over the fact rows of the stand-in gold."""
+    from squall.sources.sinks import fact_rows
+    fact = fact_rows(_gold(spark, d), 0)
+    return ntz(impact_aggregate(fact))
+
+
+SQL_IMPACT = _sql_impact(SQL_ASOF)
+
+
 def q_forecast_category(spark, d):
     """E14 over every event's stand-in forecast."""
     ev = _read(spark, d, "events")
@@ -266,8 +272,8 @@ WITH b AS (SELECT CAST(e.event_id AS VARCHAR) AS entity_id,
                   CASE WHEN e.value < 250 THEN 'Subway' ELSE 'Bus' END AS agency,
                   {_sql_pick(HEADER_PHRASES, f"({_SQL_K.replace('props', 'e.props')} % {len(HEADER_PHRASES)})")} AS header_text,
                   d.text AS description_text
-           FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id
-           WHERE e.event_type = 'error')
+           FROM events e LEFT JOIN documents d ON 2 * d.doc_id = e.event_id
+           WHERE e.event_id % 2 = 0)
 SELECT entity_id, agency, header_text FROM b
 WHERE agency = '{K.EXTRACT_AGENCY}' AND ({_sql_like_any('header_text', K.EXTRACT_KEYWORDS, lower=False)}
                                         OR {_sql_like_any('description_text', K.EXTRACT_KEYWORDS, lower=False)})
@@ -499,9 +505,9 @@ SELECT DISTINCT entity_id, routeId, start, "end", header_text, description_text
 
 
 def _weather_doc(spark, d) -> DataFrame:
-    """One forecast document per view event: two periods with a -05:00 offset
+    """One forecast document per event: two periods with a -05:00 offset
     (the second one hour later), junk times for some."""
-    ev = _read(spark, d, "events").where(F.col("event_type") == "view")
+    ev = _read(spark, d, "events")
     k = _k()
     wall = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     t0 = F.col("ts")
@@ -523,7 +529,7 @@ def q_period_rows(spark, d):
 
 
 SQL_PERIOD_ROWS = f"""
-WITH e AS (SELECT ts, value, {_SQL_K} AS k FROM events WHERE event_type = 'view')
+WITH e AS (SELECT ts, value, {_SQL_K} AS k FROM events)
 SELECT CASE WHEN k % 10 = 0 THEN NULL ELSE date_trunc('second', ts) + INTERVAL 5 HOUR END AS startTime,
        date_trunc('second', ts) + INTERVAL 6 HOUR AS endTime,
        round_even(value * 100.0, 0) / 100.0 AS temperature,
@@ -582,8 +588,11 @@ SELECT event_id, round_even((value * 1.8 + 32.0) * 100.0, 0) / 100.0 AS temperat
 """
 
 
-def _history_records(spark, d, whole: bool = False) -> DataFrame:
+def _history_records(spark, d, whole: bool = False, planned: bool = False) -> DataFrame:
     ev = _read(spark, d, "events")
+    if planned:
+        ahead = F.make_dt_interval(days=F.when(F.col("event_id") % 7 == 0, 14).otherwise(0))
+        ev = ev.withColumn("ts", F.col("ts") + ahead)
     if not whole:
         ev = ev.where(F.col("ts") < F.lit(HISTORY_CUTOFF).cast("timestamp_ntz"))
     return ev.select(
@@ -669,20 +678,204 @@ WHERE date_trunc('day', ts) = (SELECT max(date_trunc('day', ts)) FROM events)
 """
 
 
+def _numbered_lines(spark, path: str, columns) -> DataFrame:
+    """The lines of exported CSV files in file order, numbered (a report)."""
+    from pyspark.sql import Window
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    lines = files.select("file", F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("at", "line")).where("at > 0")
+    schema = ", ".join(f"{c} string" for c in columns)
+    parsed = lines.withColumn("r", F.from_csv("line", schema, {"emptyValue": "", "nullValue": "\u0001"}))
+    position = F.row_number().over(Window.orderBy("file", "at")).alias("position")
+    return parsed.select(position, *[null_to_empty(F.col("r").getField(c)).alias(c) for c in columns])
+
+
+def q_export_csv(spark, d):
+    """The reporting view exported as CSV and read back with the
+    place of every line."""
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    view = impact_aggregate(sinks.fact_rows(_gold(spark, d), 0))
+    path = fresh_dir(spark, "export") + "/csv"
+    sinks.export_csv(view, path)
+    return _numbered_lines(spark, path, view.columns)
+
+
+SQL_EXPORT_CSV = f"""
+WITH v AS ({SQL_IMPACT})
+SELECT CAST(row_number() OVER (ORDER BY routeId NULLS FIRST, weather_start, weather_category) AS INTEGER) AS position,
+       COALESCE(routeId, '') AS routeId, strftime(weather_start, '%Y-%m-%d %H:%M:%S+00:00') AS weather_start,
+       weather_category, CAST(total_alerts AS VARCHAR) AS total_alerts
+FROM v
+"""
+
+
+def q_summary_table(spark, d):
+    """The summary replaces an older one and is read back."""
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    path = fresh_dir(spark, "summary") + "/daily"
+    rows = gold.summarize(_gold(spark, d))
+    sinks.write_summary(rows.withColumn("shortForecast", F.lit("older")), path)
+    sinks.write_summary(rows, path)
+    return spark.read.schema(schemas.SUMMARY).parquet(path)
+
+
+def q_reporting_view(spark, d):
+    """The catalog's view over the fact files, as another session sees it."""
+    import uuid
+    from squall.session import configure, fresh_dir
+    from squall.sources import sinks
+    path = fresh_dir(spark, "view") + "/fact"
+    sinks.append_new(_gold(spark, d), path, 1)
+    name = f"impact_{uuid.uuid4().hex[:12]}"
+    sinks.create_view(spark, path, name)
+    return ntz(configure(spark.newSession()).table(name))
+
+
+def q_run_metrics(spark, d):
+    """Rows parsed into snapshots and new fact rows, as the runs count them."""
+    import datetime as dt
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    base = fresh_dir(spark, "metrics")
+    out = [("alerts", sinks.write_snapshot(alerts(spark, d), f"{base}/a", K.SOURCE_LIVE, dt.datetime(2024, 2, 1))["rows"]),
+           ("weather", sinks.write_snapshot(weather(spark, d), f"{base}/w", K.SOURCE_LIVE, dt.datetime(2024, 2, 1))["rows"]),
+           ("new", sinks.append_new(_event_gold(spark, d), f"{base}/fact", 1)["new_rows"]),
+           ("repeated", sinks.append_new(_event_gold(spark, d), f"{base}/fact", 2)["new_rows"])]
+    return spark.createDataFrame(out, "run string, n long")
+
+
+SQL_RUN_METRICS = """
+SELECT 'alerts' AS run, COUNT(*) AS n FROM events WHERE event_id % 2 = 0
+UNION ALL SELECT 'weather', COUNT(*) FROM events WHERE event_id % 2 = 1
+UNION ALL SELECT 'new', COUNT(*) FROM events
+UNION ALL SELECT 'repeated', 0
+"""
+
+
+def q_empty_guards(spark, d):
+    """every stage with rows and without; nothing is written without."""
+    from squall.plans import flows
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    from squall.sources.snapshots import path_exists
+    base = fresh_dir(spark, "guards")
+    rows = _gold(spark, d)
+    none = rows.where(F.col("temperature") < -1)  # event values are not negative
+    out = [(name, bool(done), path_exists(spark, path)) for name, done, path in (
+        ("summary", sinks.write_summary(gold.summarize(rows), f"{base}/s1"), f"{base}/s1"),
+        ("summary of nothing", sinks.write_summary(gold.summarize(none), f"{base}/s0"), f"{base}/s0"),
+        ("export", sinks.export_csv(impact_aggregate(rows), f"{base}/e1"), f"{base}/e1"),
+        ("export of nothing", sinks.export_csv(impact_aggregate(none), f"{base}/e0"), f"{base}/e0"),
+        ("silver without files", flows.alerts_live(spark, f"{base}/none_*", f"{base}/v0")["written"], f"{base}/v0"),
+        ("gold without silver", "new_rows" in gold.run_gold(spark, f"{base}/a", f"{base}/w", f"{base}/g", 1), f"{base}/g"))]
+    return spark.createDataFrame(out, "stage string, done boolean, on_disk boolean")
+
+
+SQL_EMPTY_GUARDS = f"""
+WITH n AS (SELECT (SELECT COUNT(*) FROM ({SQL_SUMMARY})) > 0 AS s, (SELECT COUNT(*) FROM ({SQL_IMPACT})) > 0 AS e)
+SELECT 'summary' AS stage, s AS done, s AS on_disk FROM n UNION ALL SELECT 'export', e, e FROM n
+UNION ALL SELECT unnest(['summary of nothing', 'export of nothing', 'silver without files', 'gold without silver']), false, false
+"""
+
+
+def q_asof_segments(spark, d):
+    """J2, segment plan: every event on both sides, a third of the left ones at
+    one instant, the right ones seven minutes later."""
+    ev = _read(spark, d, "events")
+    hot = F.lit(HISTORY_CUTOFF).cast("timestamp")
+    left = ev.select("event_id", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("ts").cast("timestamp")).alias("t"))
+    right = ev.select(F.col("event_id").alias("near_id"), plus_seconds("ts", 420).alias("near_t"), F.col("value").alias("near_value"))
+    return ntz(asof_nearest(left, right, "t", "near_t", ASOF_TOLERANCE_S, right_order=["near_id"], how="left",
+                            broadcast_right=False))
+
+
+SQL_ASOF_SEGMENTS = f"""
+WITH l AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '{HISTORY_CUTOFF}' ELSE ts END AS t FROM events),
+r AS (SELECT event_id AS near_id, ts + INTERVAL 420 SECOND AS near_t, value AS near_value FROM events),
+i AS (SELECT DISTINCT t FROM l),
+c AS (SELECT i.t, r.*, row_number() OVER (PARTITION BY i.t ORDER BY abs(epoch_us(i.t) - epoch_us(near_t)), near_t, near_id) AS rn
+      FROM i JOIN r ON near_t BETWEEN i.t - INTERVAL {ASOF_TOLERANCE_S} SECOND AND i.t + INTERVAL {ASOF_TOLERANCE_S} SECOND)
+SELECT l.event_id, l.t, near_id, near_t, near_value FROM l LEFT JOIN c ON c.t = l.t AND rn = 1
+"""
+
+
+def q_fact_null_dates(spark, d):
+    """Rows without weather_start appended twice; a third batch retried
+    with fewer dates replaces all of its first try."""
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    path = fresh_dir(spark, "fact-nulls") + "/fact"
+    some = F.col("entity_id").cast("long") % 4 == 0
+    rows = _event_gold(spark, d).withColumn("weather_start", F.when(~some, F.col("weather_start")))
+    sinks.append_new(rows, path, 1)
+    sinks.append_new(rows, path, 2)
+    other = rows.withColumn("header_text", F.lit("batch 3"))
+    sinks.append_new(other, path, 3)
+    sinks.append_new(other.where(F.col("start") < F.lit(HISTORY_CUTOFF).cast("timestamp")), path, 3)
+    return ntz(sinks.read_fact(spark, path).select("entity_id", "routeId", "weather_start", "header_text", "temperature",
+                                                  "weather_date", "batch_id"))
+
+
+SQL_FACT_NULL_DATES = f"""
+WITH e AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS routeId,
+                  CASE WHEN user_id % 4 <> 0 THEN {_sql_round('ts', K.FACT_ROUND_SECONDS)} END AS weather_start, ts,
+                  {_sql_pick(HEADER_PHRASES, f"({_SQL_K} % {len(HEADER_PHRASES)})")} AS header_text, value AS temperature
+           FROM events)
+SELECT entity_id, routeId, weather_start, header_text, temperature, CAST(weather_start AS DATE) AS weather_date,
+       CAST(1 AS BIGINT) AS batch_id FROM e
+UNION ALL
+SELECT entity_id, routeId, weather_start, 'batch 3', temperature, CAST(weather_start AS DATE), 3 FROM e
+WHERE ts < TIMESTAMP '{HISTORY_CUTOFF}'
+"""
+
+
+def q_json_documents(spark, d):
+    """Multi-line JSON documents (arrays of up to 500 records) written from
+    every event, read with the bronze reader, then the silver transform."""
+    from squall.session import fresh_dir
+    from squall.sources import bronze
+    path = fresh_dir(spark, "json-documents") + "/docs"
+    recs = _history_records(spark, d, whole=True)
+    doc = (F.col("status_id").cast("long") / 500).cast("long")
+    docs = (recs.groupBy(doc.alias("doc")).agg(F.collect_list(F.to_json(F.struct(*recs.columns))).alias("r"))
+            .select("doc", F.concat(F.lit("[\n"), F.concat_ws(",\n", "r"), F.lit("\n]")).alias("value")))
+    docs.write.partitionBy("doc").text(path)
+    feed = bronze.read_json(spark, f"{path}/doc=*", schemas.HISTORICAL_ALERT_RECORD)
+    return ntz(silver.historical_alert_rows(feed.drop("ingest_ts")))
+
+
+def q_newest_files(spark, d):
+    """Three polls land as files; only the newest one is read."""
+    from squall.session import fresh_dir
+    from squall.sources import bronze
+    path = fresh_dir(spark, "newest-files")
+    recs = _history_records(spark, d, whole=True)
+    for poll in range(3):
+        (recs.where(F.col("status_id").cast("long") % 3 == poll).coalesce(1)  # a poll is one file
+         .write.json(f"{path}/poll={poll}"))
+    feed = bronze.read_feed(spark, f"{path}/poll=*", schemas.HISTORICAL_ALERT_RECORD, latest_only=True, multiline=False)
+    return feed.select("status_id", "affected", "header", "description")
+
+
+SQL_NEWEST_FILES = f"""
+SELECT CAST(event_id AS VARCHAR) AS status_id,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE 'R' || CAST(user_id % 5 AS VARCHAR) || ' | Q' END AS affected,
+       {_sql_pick(HEADER_PHRASES, f"({_SQL_K} % {len(HEADER_PHRASES)})")} AS header, event_type AS description
+FROM events WHERE event_id % 3 = 2
+"""
+
+
 def q_export_rows(spark, d):
-    """S10 text form (E17, O1) of the daily summary."""
-    s = q_asof_daily_summary(spark, d).withColumn(
-        "temperature", F.col("temperature").cast("decimal(20,6)"))  # exact: the mean has 6 decimals
+    """The daily summary as text."""
+    s = q_asof_daily_summary(spark, d).drop("temperature")
     return s.select(*[null_to_empty(c).alias(c) for c in s.columns])
 
 
 SQL_EXPORT_ROWS = f"""
-WITH s AS ({_SQL_SUMMARY_MICRO})
+WITH s AS ({SQL_SUMMARY})
 SELECT COALESCE(CAST(alert_date AS VARCHAR), '') AS alert_date, COALESCE(routeId, '') AS routeId,
-       COALESCE(CAST(entity_id AS VARCHAR), '') AS entity_id,
-       COALESCE(CAST(micro // 1000000 AS VARCHAR) || '.' || lpad(CAST(micro % 1000000 AS VARCHAR), 6, '0'), '')
-         AS temperature,
-       COALESCE(shortForecast, '') AS shortForecast
+       COALESCE(CAST(entity_id AS VARCHAR), '') AS entity_id, COALESCE(shortForecast, '') AS shortForecast
 FROM s
 """
 
@@ -732,11 +925,11 @@ def q_gold_view(spark, d):
                          w_root, K.SOURCE_LIVE, old)
     sinks.write_snapshot(w.where(F.col("startTime") >= cut), w_root, K.SOURCE_LIVE, live)
     gold.run_gold(spark, a_root, w_root, g_root, batch_id=1, tolerance_seconds=ASOF_TOLERANCE_S)
-    return ntz(spark.read.schema(schemas.FACT).parquet(f"{g_root}/fact").transform(impact_aggregate))
+    return ntz(spark.table(K.IMPACT_VIEW_NAME))
 
 
 def q_csv_by_name(spark, d):
-    """S5 + P9: every view event written as CSV snapshots in two column orders
+    """S5 + P9: the weather rows written as CSV snapshots in two column orders
     (history and live halves), read back aligned by column name."""
     from squall.session import fresh_dir
     from squall.sources.snapshots import read_csv_by_name
@@ -754,16 +947,38 @@ def q_csv_by_name(spark, d):
     return ntz(rows.select(*K.WEATHER_COLUMNS))
 
 
+def q_csv_alerts(spark, d):
+    """S5 with ordinary text: alerts with whole documents (quotes, commas, line
+    breaks) in two column orders. Empty text comes back as null."""
+    from squall.session import fresh_dir
+    from squall.sources.snapshots import read_csv_by_name
+    base = fresh_dir(spark, "csv-alerts")
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    text = alerts(spark, d).withColumn("_early", F.col("start") < F.lit(HISTORY_CUTOFF).cast("timestamp"))
+    text = text.withColumns({c: F.date_format(c, iso) for c in ("start", "end")})
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    text.where("_early").select(*K.ALERT_COLUMNS).write.options(**options).csv(f"{base}/a")
+    text.where("NOT _early").select(*reversed(K.ALERT_COLUMNS)).write.options(**options).csv(f"{base}/b")
+    rows = read_csv_by_name(spark, [f"{base}/a/*.csv", f"{base}/b/*.csv"], schemas.ALERT)
+    return ntz(rows.select(*K.ALERT_COLUMNS))
+
+
 # ------------------------------------------------------------ streaming ---
 
-def _records_dir(spark, d, copies: int = 1) -> str:
-    """Every event written as a historical alert record (JSON lines) into a
-    new folder of the shared directory, ``copies`` times (re-polled snapshots)."""
+POLLS = 5
+
+
+def _polls_dir(spark, d) -> str:
+    """Every event as a historical alert record in JSON-lines files: five polls,
+    each one file, each repeating a part of the one before; in every poll the
+    whole month, and every seventh alert planned two weeks ahead."""
     from squall.session import fresh_dir
-    path = fresh_dir(spark, "bronze-records")
-    recs = _history_records(spark, d, whole=True)
-    for i in range(copies):
-        recs.write.mode("append").json(f"{path}/poll={i}")
+    path = fresh_dir(spark, "bronze-polls")
+    recs = _history_records(spark, d, whole=True, planned=True)
+    turn = F.col("status_id").cast("long") % POLLS
+    for poll in range(POLLS):
+        (recs.where((turn == poll) | (turn == (poll + POLLS - 1) % POLLS)).coalesce(1)  # a poll is one file
+         .write.json(f"{path}/poll={poll}"))
     return path
 
 
@@ -772,42 +987,74 @@ def q_stream_ingest(spark, d):
     rows with a file-source stream, availableNow, Parquet sink."""
     from squall.session import fresh_dir
     from squall.streaming import incremental as T
-    src = _records_dir(spark, d)
+    src = fresh_dir(spark, "bronze-records")
+    _history_records(spark, d, whole=True).write.mode("append").json(f"{src}/records")
     out = fresh_dir(spark, "silver-stream")
     stream = T.read_json_stream(spark, f"{src}/*", schemas.HISTORICAL_ALERT_RECORD)
     T.run_to_end(T.ingest(stream, silver.historical_alert_rows, f"{out}/data", f"{out}/_checkpoint"))
     return ntz(spark.read.schema(schemas.ALERT).parquet(f"{out}/data"))
 
 
+def _stream_polls(spark, d, silver_root: str, checkpoint: str) -> None:
+    from squall.streaming import incremental as T
+    stream = T.read_json_stream(spark, f"{_polls_dir(spark, d)}/*", schemas.HISTORICAL_ALERT_RECORD, max_files_per_trigger=1)
+    T.run_to_end(T.ingest_snapshots(stream, silver.historical_alert_rows, silver_root, checkpoint,
+                                    dedup_key=K.ALERT_DEDUP_KEY))
+
+
 def q_stream_dedup(spark, d):
-    """The same records polled twice; repeats dropped within the watermark."""
+    """T1 + T2: five overlapping polls in five micro-batches; silver holds each
+    alert once, planned and out-of-order ones included."""
     from squall.session import fresh_dir
-    from squall.streaming import incremental as T
-    src = _records_dir(spark, d, copies=2)
     out = fresh_dir(spark, "silver-dedup")
-    stream = T.read_json_stream(spark, f"{src}/*", schemas.HISTORICAL_ALERT_RECORD)
-    transform = lambda s: T.dedup_alerts(silver.historical_alert_rows(s), STREAM_WATERMARK)
-    T.run_to_end(T.ingest(stream, transform, f"{out}/data", f"{out}/_checkpoint"))
-    return ntz(spark.read.schema(schemas.ALERT).parquet(f"{out}/data"))
+    _stream_polls(spark, d, f"{out}/alerts", f"{out}/_checkpoint")
+    return ntz(spark.read.schema(schemas.ALERT).parquet(f"{out}/alerts").select(*K.ALERT_COLUMNS))
 
 
 def q_stream_enrich(spark, d):
-    """Silver alert snapshots streamed through J2 + J3 into the fact."""
+    """Alert files in four micro-batches; half of the weather lands only
+    after them, and a restart of the stream matches the alerts that waited."""
+    import datetime as dt
     from squall.session import fresh_dir
+    from squall.sources import sinks
     from squall.streaming import incremental as T
     base = fresh_dir(spark, "gold-stream")
-    alerts(spark, d).write.parquet(f"{base}/silver_alerts")
-    stream = T.read_parquet_stream(spark, f"{base}/silver_alerts", schemas.ALERT)
-    wx = gold.prepare_weather(weather(spark, d))
-    T.run_to_end(T.enrich_and_append(stream, wx, f"{base}/fact", f"{base}/_checkpoint", ASOF_TOLERANCE_S))
-    from squall.sources import sinks
+    a, w = alerts(spark, d), weather(spark, d)
+    for i in range(4):
+        a.where(F.col("entity_id").cast("long") % 8 == 2 * i).coalesce(1).write.parquet(f"{base}/silver_alerts/poll={i}")
+    cut = F.lit(HISTORY_CUTOFF).cast("timestamp")
+    sinks.write_snapshot(w.where(F.col("startTime") >= cut), f"{base}/weather", K.SOURCE_LIVE, dt.datetime(2024, 2, 1))
+
+    def run():
+        stream = T.read_parquet_stream(spark, f"{base}/silver_alerts/*", schemas.ALERT, max_files_per_trigger=1)
+        T.run_to_end(T.enrich_and_append(stream, T.silver_weather(spark, f"{base}/weather"), f"{base}/fact",
+                                         f"{base}/_checkpoint", ASOF_TOLERANCE_S))
+
+    run()
+    sinks.write_snapshot(w.where(F.col("startTime") < cut), f"{base}/weather", K.SOURCE_LIVE, dt.datetime(2024, 2, 2))
+    run()
     fact = sinks.read_fact(spark, f"{base}/fact")
     return ntz(fact.select("entity_id", "routeId", "start", "weather_start", "weather_end", "temperature",
                            "shortForecast", "weather_date"))
 
 
-SQL_HISTORY_ROWS = f"""
-WITH h AS (SELECT CAST(event_id AS VARCHAR) AS entity_id, ts AS start, ts + INTERVAL 1 HOUR AS "end",
+def q_stream_to_gold(spark, d):
+    """T1 + T2 into silver snapshots, weather beside them, then the gold run:
+    the reporting view over streamed alerts."""
+    import datetime as dt
+    from squall.session import fresh_dir
+    from squall.sources import sinks
+    base = fresh_dir(spark, "stream-gold")
+    _stream_polls(spark, d, f"{base}/alerts", f"{base}/_checkpoint")
+    sinks.write_snapshot(weather(spark, d), f"{base}/weather", K.SOURCE_LIVE, dt.datetime(2024, 2, 1))
+    gold.run_gold(spark, f"{base}/alerts", f"{base}/weather", f"{base}/gold", batch_id=1, export=False,
+                  tolerance_seconds=ASOF_TOLERANCE_S)
+    return ntz(impact_aggregate(sinks.read_fact(spark, f"{base}/gold/fact")))
+
+
+def _sql_history_rows(ts: str = "ts") -> str:
+    return f"""
+WITH h AS (SELECT CAST(event_id AS VARCHAR) AS entity_id, {ts} AS start, {ts} + INTERVAL 1 HOUR AS "end",
                   CASE WHEN event_type = 'signup' THEN 'Unknown'
                        ELSE 'R' || CAST(user_id % 5 AS VARCHAR) || ' | Q' END AS affected,
                   {_sql_pick(HEADER_PHRASES, f"({_SQL_K} % {len(HEADER_PHRASES)})")} AS header_text,
@@ -819,6 +1066,10 @@ SELECT entity_id, trim(part) AS routeId, start, "end", header_text, description_
 WHERE trim(part) <> ''
 """
 
+
+SQL_HISTORY_ROWS = _sql_history_rows()
+SQL_POLLED_ROWS = _sql_history_rows("(ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL 14 DAY ELSE INTERVAL 0 DAY END)")
+
 SQL_STREAM_ENRICH = f"""
 WITH m AS ({SQL_ASOF})
 SELECT entity_id, routeId, start, {_sql_round('weather_start', K.FACT_ROUND_SECONDS)} AS weather_start,
@@ -855,6 +1106,17 @@ QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_dedup": q_stream_dedup,
     "stream_enrich": q_stream_enrich,
+    "stream_to_gold": q_stream_to_gold,
+    "asof_segments": q_asof_segments,
+    "csv_alerts": q_csv_alerts,
+    "fact_null_dates": q_fact_null_dates,
+    "json_documents": q_json_documents,
+    "newest_files": q_newest_files,
+    "summary_table": q_summary_table,
+    "reporting_view": q_reporting_view,
+    "export_csv": q_export_csv,
+    "run_metrics": q_run_metrics,
+    "empty_guards": q_empty_guards,
 }
 
 ORACLES = {
@@ -882,6 +1144,18 @@ ORACLES = {
     "gold_view": SQL_IMPACT,
     "csv_by_name": SQL_WEATHER,
     "stream_ingest": SQL_HISTORY_ROWS,
-    "stream_dedup": "SELECT DISTINCT * FROM (" + SQL_HISTORY_ROWS + ")",
+    "stream_dedup": SQL_POLLED_ROWS,
     "stream_enrich": SQL_STREAM_ENRICH,
+    "stream_to_gold": _sql_impact(_sql_asof(SQL_POLLED_ROWS)),
+    "asof_segments": SQL_ASOF_SEGMENTS,
+    "csv_alerts": f"""SELECT entity_id, routeId, start, "end", NULLIF(header_text, '') AS header_text,
+                      NULLIF(description_text, '') AS description_text FROM ({SQL_ALERTS})""",
+    "fact_null_dates": SQL_FACT_NULL_DATES,
+    "json_documents": SQL_HISTORY_ROWS,
+    "newest_files": SQL_NEWEST_FILES,
+    "summary_table": SQL_SUMMARY,
+    "reporting_view": SQL_IMPACT,
+    "export_csv": SQL_EXPORT_CSV,
+    "run_metrics": SQL_RUN_METRICS,
+    "empty_guards": SQL_EMPTY_GUARDS,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
@@ -84,13 +86,30 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_dir(spark: SparkSession, prefix: str) -> str:
-    """A new, unique folder under the shared directory."""
+    """A new, unique folder under the shared directory, made through its own
+    file system. It is removed when the driver process ends: DataFrames that
+    read it lazily are in use until then."""
     path = shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    _file_system(spark, path).mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+    atexit.register(_remove_at_exit, spark, path)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a working folder that nothing reads any more."""
+    _file_system(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the session may already be gone
+        remove_dir(spark, path)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin a frame whose source yields fewer splits than there are
     cores (e.g. one large file with few row groups), before CPU-heavy per-row

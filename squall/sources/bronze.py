@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
 
     Adds ``ingest_ts`` = the file's modification time, the snapshot clock.
     No matching file gives an empty frame with the schema (not an error).
+    A multi-line document is parsed by one task; large archives should land as
+    JSON lines (``multiline=False``), which are split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     existing = [p for p in paths if _matches(spark, p)]
@@ -52,15 +55,20 @@ def _matches(spark: SparkSession, pattern: str) -> bool:
     return bool(_glob(spark, pattern)[1])
 
 
-def newest_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+def newest_snapshot(spark: SparkSession, paths: str | Sequence[str]) -> tuple[list[str], dt.datetime | None]:
     """S1 / A8 on the file listing: the file(s) with the newest modification
-    time. Only metadata is listed; no data is read."""
+    time, and that time (UTC). Only metadata is listed; no data is read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     found = [st for p in paths for st in _statuses(spark, p)]
     if not found:
-        return []
+        return [], None
     newest = max(st.getModificationTime() for st in found)
-    return sorted(str(st.getPath().toString()) for st in found if st.getModificationTime() == newest)
+    files = sorted(str(st.getPath().toString()) for st in found if st.getModificationTime() == newest)
+    return files, dt.datetime.fromtimestamp(newest / 1000, dt.timezone.utc).replace(tzinfo=None)
+
+
+def newest_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    return newest_snapshot(spark, paths)[0]
 
 
 def latest_snapshot(df: DataFrame, column: str = "ingest_ts") -> DataFrame:
@@ -68,23 +76,24 @@ def latest_snapshot(df: DataFrame, column: str = "ingest_ts") -> DataFrame:
     return latest_by(df, column)
 
 
-def _read(spark, paths, schema, latest_only: bool, multiline: bool = True) -> DataFrame:
+def read_feed(spark, paths, schema, latest_only: bool = True, multiline: bool = True) -> DataFrame:
+    """S1 + S4: the newest file (or all files) of a feed."""
     if latest_only:
         paths = newest_files(spark, paths) or paths
     return read_json(spark, paths, schema, multiline)
 
 
 def live_alert_feed(spark, paths, latest_only: bool = True) -> DataFrame:
-    return _read(spark, paths, schemas.LIVE_ALERT_FEED, latest_only)
+    return read_feed(spark, paths, schemas.LIVE_ALERT_FEED, latest_only)
 
 
 def live_weather_doc(spark, paths, latest_only: bool = True) -> DataFrame:
-    return _read(spark, paths, schemas.LIVE_WEATHER_DOC, latest_only)
+    return read_feed(spark, paths, schemas.LIVE_WEATHER_DOC, latest_only)
 
 
 def historical_alert_records(spark, paths, latest_only: bool = True) -> DataFrame:
-    return _read(spark, paths, schemas.HISTORICAL_ALERT_RECORD, latest_only)
+    return read_feed(spark, paths, schemas.HISTORICAL_ALERT_RECORD, latest_only)
 
 
 def historical_weather_doc(spark, paths, latest_only: bool = True) -> DataFrame:
-    return _read(spark, paths, schemas.HISTORICAL_WEATHER_DOC, latest_only)
+    return read_feed(spark, paths, schemas.HISTORICAL_WEATHER_DOC, latest_only)

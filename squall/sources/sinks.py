@@ -41,7 +41,7 @@ def read_fact(spark, fact_path: str) -> DataFrame | None:
     """The fact table, or ``None`` only when it does not exist yet."""
     if not path_exists(spark, fact_path):
         return None
-    return spark.read.schema(schemas.FACT).parquet(fact_path)
+    return spark.read.schema(schemas.FACT).parquet(fact_path).select(*schemas.FACT.fieldNames())
 
 
 def fact_rows(gold: DataFrame, batch_id: int) -> DataFrame:
@@ -61,11 +61,13 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
       anti-join and the write.
     * The existing fact is read with only the key columns, pruned to the dates
       the batch touches (the key contains weather_start, so equal keys share a
-      date) and to the *other* batches, then null-safe anti-joined.
-    * The write replaces only this batch's partitions (dynamic overwrite), so a
-      retried batch replaces itself instead of appending twice.
+      date, and null dates meet null dates) and to the *other* batches, then
+      null-safe anti-joined. Beyond ``MAX_PRUNED_DATES`` dates it is read
+      unpruned, with the same result.
+    * A batch owns the folder ``batch_id=<id>``, which the write replaces as a
+      whole: a retried batch replaces itself, whatever dates it held before.
 
-    ``materialized=True`` tells it ``gold`` is already checkpointed by the caller.
+    ``materialized=True`` tells it ``gold`` is already materialised by the caller.
     Returns ``{"new_rows": n}`` collected through an ``Observation`` (no extra job).
     """
     spark = gold.sparkSession
@@ -76,9 +78,10 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
     existing = read_fact(spark, fact_path)
     if existing is not None:
         existing = existing.where(F.col("batch_id") != F.lit(int(batch_id)))
-        dates = rows.select("weather_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()
+        dates = [r[0] for r in rows.select("weather_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()]
         if len(dates) <= MAX_PRUNED_DATES:
-            existing = existing.where(F.col("weather_date").isin([r[0] for r in dates if r[0] is not None]))
+            touched = F.col("weather_date").isin([d for d in dates if d is not None])
+            existing = existing.where(touched | F.col("weather_date").isNull() if None in dates else touched)
         rows = anti_join_null_safe(rows, existing.select(*key), key)
     obs = Observation(f"fact_append_{batch_id}")
     # range-cluster by date before the partitioned write: each task covers a
@@ -86,8 +89,8 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
     # date holding a large share of the rows is split over several tasks
     rows = rows.repartitionByRange("weather_date", "weather_start", "entity_id")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("weather_date", "batch_id").parquet(fact_path))
+    (rows.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("weather_date").parquet(f"{fact_path}/batch_id={int(batch_id)}"))
     got = obs.get
     return {"new_rows": int(got.get("new_rows", 0) or 0)}
 
@@ -109,11 +112,39 @@ def write_summary(summary: DataFrame, path: str) -> bool:
 
 
 def register_view(df: DataFrame, name: str = K.IMPACT_VIEW_NAME) -> DataFrame:
-    """(re)define the reporting view."""
+    """S9 for this session: (re)define the reporting view as a temporary view."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_contains(column: str, keywords) -> str:
+    return "(" + " OR ".join(f"contains(lower({column}), {_sql_text(k.lower())})" for k in keywords) + ")"
+
+
+def impact_view_sql(fact_path: str) -> str:
+    """The reporting view over the fact files as one SQL query."""
+    cases = " ".join(f"WHEN {_sql_contains('shortForecast', kws)} THEN {_sql_text(label)}"
+                     for kws, label in K.FORECAST_CATEGORY_RULES)
+    return (f"SELECT routeId, weather_start, CASE {cases} ELSE {_sql_text(K.FORECAST_CATEGORY_DEFAULT)} END "
+            f"AS weather_category, count(DISTINCT entity_id) AS total_alerts FROM parquet.`{fact_path}` "
+            f"WHERE {_sql_contains('header_text', K.HEADER_WEATHER_KEYWORDS)} "
+            f"OR {_sql_contains('description_text', K.DESCRIPTION_WEATHER_KEYWORDS)} GROUP BY ALL")
+
+
+def create_view(spark, fact_path: str, name: str = K.IMPACT_VIEW_NAME) -> DataFrame:
+    """S9 in the catalog: (re)define the reporting view over the fact files, so
+    other sessions can query it and always see the current fact. With a
+    persistent catalog (Hive support) it outlives the job; the in-memory
+    catalog keeps it for the application. The fact must hold a file."""
+    spark.catalog.dropTempView(name)  # it would hide the catalog's view
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {impact_view_sql(fact_path)}")
+    return spark.table(name)
+
+
 def export_rows(view: DataFrame, order=("routeId", "weather_start", "weather_category")) -> DataFrame:
     """E17 + O1: every column as text, null -> '', in report order.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,44 +46,41 @@ def live_and_latest_history(spark: SparkSession, root: str, contract: StructType
     return hist.unionByName(live)
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
+def _header_groups(spark: SparkSession, patterns: list[str]) -> dict[str, list[str]]:
+    """Files by their header line, found by one distributed read of the files'
+    first blocks. Only file names and headers reach the driver."""
+    lines = (spark.read.text(patterns)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+             .where(F.col("at") == 0))
+    # a block is read by one task from its first line on, so the first value seen is the header
+    first = lines.groupBy("file").agg(F.first("value").alias("header"))
+    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return {r["header"]: [unquote(f) for f in r["files"]] for r in sorted(rows, key=lambda r: r["files"])}
 
 
-def _list_files(spark: SparkSession, pattern: str) -> list[str]:
+def _any_file(spark: SparkSession, pattern: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(p) or []
-    return sorted(str(s.getPath().toString()) for s in statuses if s.isFile())
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or [])
 
 
 def read_csv_by_name(spark: SparkSession, patterns: str | Sequence[str], contract: StructType) -> DataFrame | None:
     """CSV snapshots with a header, columns aligned by **name**.
 
     Spark's CSV reader binds a schema by position, so files are grouped by
-    their header line (only the first line of each file is read, on the
-    driver, through the file system API), each group is read with its own
-    column order, parsed to the contract types, and the groups are stacked
-    by name. A contract column a file lacks is null (P9). Timestamps may carry
+    their header line, each group is read with its own column order, parsed to
+    the contract types, and the groups are stacked by name. Records follow the
+    usual quoting: a quoted field may hold commas, line breaks and doubled
+    quotes. A contract column a file lacks is null (P9). Timestamps may carry
     offsets and are parsed to UTC (E1); numbers coerce (E16).
     """
     patterns = [patterns] if isinstance(patterns, str) else list(patterns)
-    files = [f for pat in patterns for f in _list_files(spark, pat)]
-    if not files:
+    patterns = [p for p in patterns if _any_file(spark, p)]
+    if not patterns:
+        return None
+    groups = _header_groups(spark, patterns)
+    if not groups:
         return None
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(_first_line(spark, f), []).append(f)
     out = None
     for header, paths in groups.items():
         names = [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]))] if header else []
@@ -90,7 +88,8 @@ def read_csv_by_name(spark: SparkSession, patterns: str | Sequence[str], contrac
             continue
         text_schema = StructType([StructField(n, schemas.S) for n in names])
         raw = (spark.read.schema(text_schema).option("header", True).option("enforceSchema", True)
-               .option("mode", "PERMISSIVE").csv(paths)
+               .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+               .option("multiLine", True).csv(paths)
                .withColumn("ingest_ts", F.col("_metadata.file_modification_time")))
         cols = []
         for f in contract.fields:

@@ -1,21 +1,26 @@
 """The polling loop re-expressed as Structured Streaming jobs.
 
-* T1 ``ingest``: bronze files -> silver rows, incrementally (file source keeps
-  track of what it has read in the checkpoint). ``trigger="once"`` style runs
-  use ``availableNow``; a schedule uses ``processingTime``.
-* T2 ``dedup_alerts``: re-polled snapshots repeat alerts; drop repeats of the
-  (entity_id, start, routeId) key within an event-time watermark, so state is
-  bounded by the watermark, not by history.
+* T1 ``ingest_snapshots``: bronze files -> silver snapshot partitions that the
+  gold run reads (``source=live/ingest_ts=...``). The file source keeps track of
+  what it has read in the checkpoint. ``ingest`` writes plain Parquet instead.
+* T2: with ``dedup_key``, an alert that silver already holds is not written
+  again. Known keys are looked up in silver itself (null-safe anti-join), not in
+  watermarked state: ``start`` is a service period, so planned work lies days
+  ahead and back-fills lie far behind, and no first-seen alert may count as late.
 * T3 ``enrich_and_append``: each micro-batch is joined to the nearest weather
-  hour (J2) and appended to the fact with the null-safe anti-join (J3). The
-  fact's batch id is a per-stream base plus the micro-batch id: a replayed
-  batch overwrites its own partitions instead of appending twice.
+  hour (J2) and appended to the fact with the null-safe anti-join (J3). Weather
+  is read anew for every micro-batch. Alerts whose hour has not landed wait in a
+  pending table and join the next batch, or the next start of the stream.
+
+A replayed micro-batch has the same number, so it replaces its own snapshot,
+fact batch and pending rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +28,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from squall import constants as K
+from squall import schemas
+from squall.operators.anti_join import anti_join_null_safe
+from squall.operators.asof import asof_nearest
+from squall.operators.dedup import distinct_rows, first_per_key
+from squall.operators.reshape import rename
 from squall.plans import gold
 from squall.session import shared_dir
 from squall.sources import sinks
+from squall.sources.snapshots import live_and_latest_history, path_exists
+
+INGESTED = "_ingested"
 
 
 def _trigger(writer, trigger: str | None):
@@ -36,20 +49,25 @@ def _trigger(writer, trigger: str | None):
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType, multiline: bool = False,
                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Bronze JSON files as a stream, with the file's time in ``_ingested``."""
     reader = spark.readStream.schema(schema).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return reader.json(path).withColumn(INGESTED, F.col("_metadata.file_modification_time"))
 
 
-def read_parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def read_parquet_stream(spark: SparkSession, path: str, schema: StructType,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_path: str,
            checkpoint: str, trigger: str | None = "availableNow",
            partition_by: tuple[str, ...] = ()) -> StreamingQuery:
-    """Apply a silver transform to new bronze files and append Parquet."""
+    """T1 into plain Parquet: apply a silver transform to new bronze files."""
     writer = (transform(stream).writeStream.format("parquet").outputMode("append")
               .option("path", sink_path).option("checkpointLocation", checkpoint))
     if partition_by:
@@ -57,16 +75,41 @@ def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_
     return _trigger(writer, trigger).start()
 
 
-def dedup_alerts(stream: DataFrame, watermark: str = "2 hours",
-                 key=tuple(K.ALERT_DEDUP_KEY), time_col: str = "start") -> DataFrame:
-    """Drop repeated alert keys seen within the watermark.
+def _snapshot_instant(newest: dt.datetime, batch_id: int) -> dt.datetime:
+    """The newest file time of a micro-batch (milliseconds), made distinct
+    between batches by microseconds; the same when a batch is replayed."""
+    return newest.replace(microsecond=newest.microsecond // 1000 * 1000 + batch_id % 1000)
+
 
-    Rows without an event time cannot be placed against the watermark and are
-    dropped first (the batch path drops them too, F1).
+def ingest_snapshots(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], silver_root: str,
+                     checkpoint: str, source: str = K.SOURCE_LIVE, dedup_key: Sequence[str] | None = None,
+                     trigger: str | None = "availableNow") -> StreamingQuery:
+    """T1 (+T2): every micro-batch of bronze files becomes one silver snapshot.
+
+    ``stream`` comes from ``read_json_stream``; ``transform`` is a silver
+    transform. With ``dedup_key`` (for alerts ``K.ALERT_DEDUP_KEY``) only rows
+    whose key no other snapshot of ``source`` holds are written, one row per key;
+    rows without a ``start`` are dropped as in the batch path (F1).
     """
-    return (stream.where(F.col(time_col).isNotNull())
-            .withWatermark(time_col, watermark)
-            .dropDuplicatesWithinWatermark(list(key)))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = batch.agg(F.max(INGESTED).cast("timestamp_ntz").alias("t")).first()["t"]
+        if newest is None:
+            return
+        taken = _snapshot_instant(newest, batch_id)
+        rows = distinct_rows(transform(batch.drop(INGESTED)))
+        if dedup_key:
+            rows = first_per_key(rows.where(F.col("start").isNotNull()), list(dedup_key))
+            if path_exists(spark, silver_root):
+                tags = schemas.SNAPSHOT_TAGS.fields
+                known = (spark.read.schema(StructType(list(rows.schema.fields) + tags)).parquet(silver_root)
+                         .where((F.col("source") == source) & (F.col("ingest_ts") != F.lit(taken).cast("timestamp"))))
+                rows = anti_join_null_safe(rows, known.select(*dedup_key), list(dedup_key))
+        sinks.write_snapshot(rows, silver_root, source, taken)
+
+    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
 
 
 def stream_batch_base(checkpoint: str) -> int:
@@ -74,27 +117,122 @@ def stream_batch_base(checkpoint: str) -> int:
     (stable across restarts, distinct between streams) plus the micro-batch id,
     so two streams appending to one fact never replace each other's batches."""
     digest = hashlib.sha256(checkpoint.rstrip("/").encode()).digest()
-    return (int.from_bytes(digest[:4], "big") + 1) << 24
+    return (int.from_bytes(digest[:3], "big") + 1) << 38
+
+
+# micro-batches count up from a stream's base, restarts from the middle of its range
+_RETRY_BASE = 1 << 37
+
+
+def silver_weather(spark: SparkSession, weather_root: str) -> Callable[[], DataFrame]:
+    """Prepared weather from the silver snapshots as they are when it is called."""
+    def read() -> DataFrame:
+        stacked = live_and_latest_history(spark, weather_root, schemas.WEATHER)
+        return gold.prepare_weather(spark.createDataFrame([], schemas.WEATHER) if stacked is None else stacked)
+    return read
+
+
+class _Pending:
+    """Alerts that wait for their weather hour: one folder per round."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+
+    def rounds(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        done = [n for n in names if n.startswith("round=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, f"{n}/_SUCCESS"))]
+        return sorted(int(n.split("=")[1]) for n in done)
+
+    def read(self, number: int) -> DataFrame:
+        return self.spark.read.schema(schemas.ALERT).parquet(f"{self.root}/round={number}")
+
+    def write(self, rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/round={number}")
+
+    def drop(self, numbers: list[int]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for n in numbers:
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/round={n}")
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def enrich_and_append(alerts: DataFrame, weather: DataFrame, fact_path: str, checkpoint: str,
-                      tolerance_seconds: float = K.ASOF_TOLERANCE_SECONDS,
-                      trigger: str | None = "availableNow") -> StreamingQuery:
+def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataFrame], fact_path: str, checkpoint: str,
+                      tolerance_seconds: float = K.ASOF_TOLERANCE_SECONDS, trigger: str | None = "availableNow",
+                      pending_path: str | None = None, expire_after_seconds: float | None = None,
+                      on_batch: Callable[[dict], None] | None = None) -> StreamingQuery:
     """Per micro-batch, nearest weather (J2) then idempotent append (J3+S7).
 
-    ``weather`` is a static, prepared DataFrame (one row per hour). A replayed
-    micro-batch has the same id, so it replaces its own fact partitions.
+    ``weather`` gives prepared weather (one row per hour): a function is called
+    for every micro-batch (``silver_weather``), a DataFrame stays as it is.
+    Alerts without an hour within the tolerance wait below ``pending_path``
+    (default: beside the checkpoint) and are tried again with every later batch
+    and when the stream is started. They wait without end, unless
+    ``expire_after_seconds`` is set: then an alert that starts this much before
+    the newest weather hour is given up and counted.
+
+    An alert key (entity, start, route) that the fact holds is not added again,
+    so of a re-polled alert the first version stays, as in the batch run.
+    ``on_batch`` receives counts: ``new_rows``, ``pending``, ``expired``.
     """
+    spark = alerts.sparkSession
     base = stream_batch_base(checkpoint)
-    # the static side is read by every micro-batch: materialise it once
-    shared_dir(weather.sparkSession)
-    weather = weather.checkpoint(eager=True)
+    pending = _Pending(spark, pending_path or f"{checkpoint.rstrip('/')}-pending")
+    shared_dir(spark)
+    refresh = weather if callable(weather) else (lambda: weather)
+    fixed = None if callable(weather) else weather.checkpoint(eager=True)
+
+    def match(waiting: DataFrame | None, batch: DataFrame | None, number: int) -> None:
+        hours = refresh().checkpoint(eager=True) if fixed is None else fixed
+        parts = [p.withColumn("_late", F.lit(i)) for i, p in enumerate((waiting, batch)) if p is not None]
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        # what waits came first and stays; then one row per alert key
+        rows = first_per_key(rows, K.ALERT_DEDUP_KEY, order=["_late"]).select(*K.ALERT_COLUMNS)
+        fact = sinks.read_fact(spark, fact_path)
+        if fact is not None:
+            known = fact.where(F.col("batch_id") != F.lit(base + number)).select(*K.ALERT_DEDUP_KEY)
+            rows = anti_join_null_safe(rows, known, list(K.ALERT_DEDUP_KEY))
+        joined = asof_nearest(rows.checkpoint(eager=True), hours, "start", "startTime", tolerance_seconds, how="left",
+                              right_unique=True)
+        joined = rename(joined, {"startTime": "weather_start", "endTime": "weather_end"}).checkpoint(eager=True)
+        out = sinks.append_new(joined.where(F.col("weather_start").isNotNull()), fact_path, base + number, materialized=True)
+        left = joined.where(F.col("weather_start").isNull()).select(*K.ALERT_COLUMNS)
+        out["expired"] = 0
+        if expire_after_seconds is not None:
+            newest = hours.agg(F.max(F.unix_micros("startTime"))).first()[0]
+            if newest is not None:
+                old = F.unix_micros("start") < F.lit(newest - int(expire_after_seconds * 1_000_000))
+                out["expired"] = left.where(old).count()
+                left = left.where(~old)
+        pending.write(left, number)
+        out["pending"] = pending.read(number).count()
+        if on_batch:
+            on_batch(out)
+
+    def order() -> list[int]:
+        """Pending rounds in the order they were written: each restart's round
+        carries the micro-batch it followed."""
+        return sorted(pending.rounds(), key=lambda n: (n - _RETRY_BASE) // 1024 + 0.5 if n >= _RETRY_BASE else n)
+
+    def retry() -> None:
+        rounds = order()
+        if rounds and not pending.read(rounds[-1]).isEmpty():
+            after = rounds[-1] if rounds[-1] < _RETRY_BASE else (rounds[-1] - _RETRY_BASE) // 1024
+            tried = [n for n in rounds if n >= _RETRY_BASE and (n - _RETRY_BASE) // 1024 == after]
+            match(pending.read(rounds[-1]), None, max(tried, default=_RETRY_BASE + after * 1024 - 1) + 1)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        prepared = gold.prepare_alerts(batch)
-        joined = gold.combine(prepared, weather, tolerance_seconds, unique_weather=True)
-        sinks.append_new(joined, fact_path, base + batch_id)
+        rounds = [n for n in order() if n != batch_id]
+        later = [n for n in rounds if (n if n < _RETRY_BASE else (n - _RETRY_BASE) // 1024) > batch_id]
+        before = [n for n in rounds if n not in later]
+        match(pending.read(before[-1]) if before else None, gold.prepare_alerts(batch), batch_id)
+        pending.drop(before[:-1])  # the last one is needed if this batch is replayed
 
+    retry()
     writer = alerts.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 

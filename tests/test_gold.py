@@ -1,9 +1,11 @@
 """Gold: stacking, keyed dedup, summary, view, idempotent fact, export (FIXTURES cases)."""
 
+import csv
 import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from squall import constants as K
@@ -115,6 +117,65 @@ def test_retried_batch_replaces_itself(spark, tmp):
     assert sinks.read_fact(spark, path).count() == 4
 
 
+def test_retry_with_fewer_dates_replaces_the_batch(spark, tmp):
+    path = os.path.join(tmp, "fact")
+    day = F.col("weather_start") + F.make_dt_interval(days=F.col("entity_id").cast("int"))
+    rows = gold_rows(spark, 3).withColumn("weather_start", day)
+    assert sinks.append_new(rows, path, 5) == {"new_rows": 3}
+    assert sinks.append_new(rows.where("entity_id = '1'"), path, 5) == {"new_rows": 1}
+    assert [r.entity_id for r in sinks.read_fact(spark, path).collect()] == ["1"]
+    assert sinks.append_new(rows.where("false"), path, 5) == {"new_rows": 0}
+    assert sinks.read_fact(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("bound", [10_000, 0])
+def test_null_dates_append_once_on_both_sides_of_the_bound(spark, tmp, monkeypatch, bound):
+    monkeypatch.setattr(sinks, "MAX_PRUNED_DATES", bound)
+    path = os.path.join(tmp, "fact")
+    rows = gold_rows(spark, 4).withColumn("weather_start", F.when(F.col("entity_id") > "1", F.col("weather_start")))
+    assert sinks.append_new(rows, path, 1) == {"new_rows": 4}
+    assert sinks.append_new(rows, path, 2) == {"new_rows": 0}
+    assert sinks.read_fact(spark, path).where("weather_date IS NULL").count() == 2
+
+
+def test_view_is_seen_by_other_sessions_and_follows_the_fact(spark, tmp):
+    path = os.path.join(tmp, "fact")
+    sinks.append_new(gold_rows(spark, 2, "Snow storm"), path, 1)
+    view = sinks.create_view(spark, path, "impact_shared")
+    assert view.columns == schemas.VIEW.fieldNames()
+    sinks.append_new(gold_rows(spark, 3, "Snow storm"), path, 2)
+    got = spark.newSession().table("impact_shared").collect()
+    assert sum(r.total_alerts for r in got) == 3
+    assert sorted(got, key=str) == sorted(impact_aggregate(sinks.read_fact(spark, path)).collect(), key=str)
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp):
+    with open(os.path.join(tmp, "alerts.csv"), "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["entity_id", "start", "header_text", "description_text"])
+        w.writerow(["1", "2031-01-01T00:00:00Z", 'Say "Snow", twice', "line one\nline two, still two"])
+        w.writerow(["2", "2031-01-01T01:00:00Z", "plain", ""])
+    rows = sorted(read_csv_by_name(spark, os.path.join(tmp, "*.csv"), schemas.ALERT).collect(), key=lambda r: r.entity_id)
+    assert [(r.entity_id, r.header_text, r.description_text) for r in rows] == [
+        ("1", 'Say "Snow", twice', "line one\nline two, still two"), ("2", "plain", None)]
+    assert all(r.start is not None for r in rows)
+
+
+def test_csv_names_with_spaces(spark, tmp):
+    os.makedirs(os.path.join(tmp, "a folder"))
+    with open(os.path.join(tmp, "a folder", "x y%20.csv"), "w") as f:
+        f.write("startTime,shortForecast\n2031-01-01T00:00:00Z,Fog\n")
+    assert read_csv_by_name(spark, os.path.join(tmp, "a folder", "*.csv"), schemas.WEATHER).first().shortForecast == "Fog"
+
+
+def test_mean_is_not_rounded(spark):
+    rows = [(str(i), "A", T, x, "x") for i, x in enumerate([70.1, 70.2, 70.1])] + [("9", "B", T, 1.23456, "x")]
+    df = spark.createDataFrame(rows, "entity_id string, routeId string, weather_start timestamp, "
+                                     "temperature double, shortForecast string")
+    got = {r.routeId: r.temperature for r in daily_summary(df).collect()}
+    assert got == {"A": 210.4 / 3, "B": 1.23456}
+
+
 def test_csv_by_name_aligns_swapped_columns(spark, tmp):
     with open(os.path.join(tmp, "forecast_a.csv"), "w") as f:
         f.write("startTime,endTime,temperature,shortForecast\n")

@@ -4,9 +4,11 @@ import datetime as dt
 import json
 import os
 
+from squall import constants as K
 from squall import schemas
 from squall.plans import gold, silver
 from squall.sources import bronze, sinks
+from squall.sources.snapshots import live_and_latest_history
 from squall.streaming import incremental as T
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -24,24 +26,104 @@ def write_lines(path, recs):
         f.write("\n".join(json.dumps(r) for r in recs))
 
 
+def snapshots(spark, root):
+    return spark.read.schema(schemas.ALERT).parquet(root).select(*schemas.ALERT.fieldNames())
+
+
+def poll_stream(spark, src, root, ck):
+    stream = T.read_json_stream(spark, src, schemas.HISTORICAL_ALERT_RECORD, max_files_per_trigger=1)
+    T.run_to_end(T.ingest_snapshots(stream, silver.historical_alert_rows, root, ck, dedup_key=K.ALERT_DEDUP_KEY))
+
+
 def test_ingest_and_dedup_equal_batch(spark, tmp):
-    src = os.path.join(tmp, "bronze")
+    src, root, ck = (os.path.join(tmp, x) for x in ("bronze", "silver", "_ck"))
     write_lines(os.path.join(src, "poll1.json"), records(20))
     write_lines(os.path.join(src, "poll2.json"), records(20, offset=10))  # 10 repeated alerts
-    stream = T.read_json_stream(spark, src, schemas.HISTORICAL_ALERT_RECORD, max_files_per_trigger=1)
-    out = os.path.join(tmp, "silver")
-    q = T.ingest(stream, lambda s: T.dedup_alerts(silver.historical_alert_rows(s), "1 day"),
-                 os.path.join(out, "data"), os.path.join(out, "_ck"))
-    T.run_to_end(q)
-    got = spark.read.parquet(os.path.join(out, "data"))
+    poll_stream(spark, src, root, ck)
+    got = snapshots(spark, root)
     batch = silver.historical_alerts(bronze.read_json(spark, src, schemas.HISTORICAL_ALERT_RECORD, multiline=False))
     assert got.count() == batch.count() == 45
     assert sorted(got.collect()) == sorted(batch.drop("ingest_ts").collect())
-    # a re-run from the same checkpoint adds nothing
-    T.run_to_end(T.ingest(T.read_json_stream(spark, src, schemas.HISTORICAL_ALERT_RECORD),
-                          lambda s: T.dedup_alerts(silver.historical_alert_rows(s), "1 day"),
-                          os.path.join(out, "data"), os.path.join(out, "_ck")))
-    assert spark.read.parquet(os.path.join(out, "data")).count() == 45
+    poll_stream(spark, src, root, ck)  # a re-run from the same checkpoint adds nothing
+    assert snapshots(spark, root).count() == 45
+    # the snapshots are those that the gold run reads
+    assert live_and_latest_history(spark, root, schemas.ALERT).count() == 45
+
+
+def test_no_first_seen_alert_is_late(spark, tmp):
+    """Six alerts over five polls; the second poll plans work 14 days ahead."""
+    src, root, ck = (os.path.join(tmp, x) for x in ("bronze", "silver", "_ck"))
+    starts = [T0, T0 + dt.timedelta(days=14), T0 + dt.timedelta(hours=1), T0 - dt.timedelta(days=30), T0, T0]
+    polls = [[0], [0, 1], [1, 2], [3], [4, 5, 0]]
+    for n, ids in enumerate(polls):
+        write_lines(os.path.join(src, f"poll{n}.json"), [
+            {"status_id": str(i), "date": starts[i].isoformat(), "affected": "A", "header": f"h{i}", "agency": "Subway"}
+            for i in ids])
+        poll_stream(spark, src, root, ck)
+    assert sorted(r.entity_id for r in snapshots(spark, root).collect()) == list("012345")
+
+
+def test_files_of_one_time_do_not_replace_each_other(spark, tmp):
+    src, root, ck = (os.path.join(tmp, x) for x in ("bronze", "silver", "_ck"))
+    for n in range(4):
+        write_lines(os.path.join(src, f"poll{n}.json"), records(2, offset=10 * n))
+        os.utime(os.path.join(src, f"poll{n}.json"), (1_700_000_000, 1_700_000_000))
+    poll_stream(spark, src, root, ck)
+    assert snapshots(spark, root).select("entity_id").distinct().count() == 8
+
+
+def _alert(i, start, header="Snow"):
+    return (str(i), "A", start, None, header, None)
+
+
+def _enrich(spark, tmp, counts=None, **kw):
+    stream = T.read_parquet_stream(spark, os.path.join(tmp, "alerts", "*"), schemas.ALERT, max_files_per_trigger=1)
+    T.run_to_end(T.enrich_and_append(stream, T.silver_weather(spark, os.path.join(tmp, "weather")), os.path.join(tmp, "fact"),
+                                     os.path.join(tmp, "_ck"), on_batch=counts.append if counts is not None else None, **kw))
+    return sorted((r.entity_id, r.header_text) for r in sinks.read_fact(spark, os.path.join(tmp, "fact")).collect())
+
+
+def _land(spark, tmp, name, rows):
+    spark.createDataFrame(rows, schemas.ALERT).coalesce(1).write.parquet(os.path.join(tmp, "alerts", name))
+
+
+def _hour(spark, tmp, n, start):
+    wx = spark.createDataFrame([(start, start + dt.timedelta(hours=1), 30.0, "Snow")], schemas.WEATHER)
+    sinks.write_snapshot(wx, os.path.join(tmp, "weather"), "live", dt.datetime(2024, 1, 1) + dt.timedelta(hours=n))
+
+
+def test_alerts_wait_for_their_weather_hour(spark, tmp):
+    day = dt.timedelta(days=1)
+    counts = []
+    _hour(spark, tmp, 0, T0)
+    _land(spark, tmp, "p0", [_alert(1, T0), _alert(2, T0 + day), _alert(3, T0 + 2 * day)])
+    assert _enrich(spark, tmp, counts) == [("1", "Snow")]
+    assert counts[-1] == {"new_rows": 1, "expired": 0, "pending": 2}
+    _hour(spark, tmp, 1, T0 + day)
+    assert _enrich(spark, tmp, counts) == [("1", "Snow"), ("2", "Snow")]      # a restart without new alerts
+    assert _enrich(spark, tmp, counts) == [("1", "Snow"), ("2", "Snow")]
+    _hour(spark, tmp, 2, T0 + 2 * day)
+    _land(spark, tmp, "p1", [_alert(4, T0), _alert(1, T0, "changed")])
+    assert _enrich(spark, tmp, counts) == [("1", "Snow"), ("2", "Snow"), ("3", "Snow"), ("4", "Snow")]
+    assert counts[-1]["pending"] == 0
+    batch = gold.combine(gold.prepare_alerts(spark.read.parquet(os.path.join(tmp, "alerts", "*"))),
+                         T.silver_weather(spark, os.path.join(tmp, "weather"))())
+    assert batch.count() == 4
+
+
+def test_waiting_alerts_can_expire(spark, tmp):
+    counts = []
+    _hour(spark, tmp, 0, T0)
+    _land(spark, tmp, "p0", [_alert(1, T0 - dt.timedelta(days=9)), _alert(2, T0 + dt.timedelta(days=1))])
+    assert _enrich(spark, tmp, counts, expire_after_seconds=3 * 86400) == []
+    assert counts == [{"new_rows": 0, "expired": 1, "pending": 1}]
+
+
+def test_first_version_of_an_alert_stays(spark, tmp):
+    _hour(spark, tmp, 0, T0)
+    for n, header in enumerate(["first", "second", "third"]):
+        _land(spark, tmp, f"p{n}", [_alert(7, T0, header)])
+        assert _enrich(spark, tmp) == [("7", "first")]
 
 
 def test_enrich_and_append_equals_batch(spark, tmp):
@@ -97,4 +179,4 @@ def test_stream_batch_bases_are_stable_and_distinct():
     a = T.stream_batch_base("/shared/ckpt/stream-a")
     assert a == T.stream_batch_base("/shared/ckpt/stream-a/")
     assert a != T.stream_batch_base("/shared/ckpt/stream-b")
-    assert a >= 1 << 24 and a % (1 << 24) == 0  # room for 16 M micro-batches per stream
+    assert a % (1 << 38) == 0 and a + (1 << 38) < 1 << 63  # room for every micro-batch and restart
