@@ -82,9 +82,11 @@ def compress(ids: np.ndarray, min_uses: int = MIN_USES, max_rounds: int = MAX_RO
         chosen = keep[rank]
         at, rank = at[chosen], rank[chosen]
         a, b = pairs[keep] >> np.uint32(16), pairs[keep] & np.uint32(0xFFFF)
-        s[at] = (n + np.cumsum(keep) - 1)[rank]
+        s[at] = (n + np.cumsum(keep) - 1).astype(np.uint32)[rank]
         before = len(s)
-        s = np.delete(s, at + 1)
+        rest = np.ones(before, bool)
+        rest[at + 1] = False
+        s = s[rest]
         left.append(a), right.append(b), lengths.append(sizes[a] + sizes[b])
         sizes = np.concatenate([sizes, lengths[-1]])
         n += len(a)
@@ -116,9 +118,11 @@ def _occurrences(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.nd
     own = slot(pairs)[::-1]
     held[own], ranks[own] = pairs[::-1], np.arange(len(pairs), dtype=np.int32)[::-1]
     of = slot(keys)
-    rank = np.where(held[of] == keys, ranks[of], _NONE)
-    edge = np.array([_NONE])
-    best = (rank < np.concatenate([edge, rank[:-1]])) & (rank <= np.concatenate([rank[1:], edge])) & (rank != _NONE)
+    best = held[of] == keys
+    rank = ranks[of]
+    rank[~best] = _NONE
+    best[1:] &= rank[1:] < rank[:-1]
+    best[:-1] &= rank[:-1] <= rank[1:]
     at = np.flatnonzero(best)
     return at, rank[at]
 
