@@ -80,3 +80,39 @@ def test_both_sides_empty(spark, tmp):
     sinks.write_snapshot(w, os.path.join(tmp, "w"), "live", dt.datetime(2024, 1, 1))
     out = flows.gold_run(spark, os.path.join(tmp, "a"), os.path.join(tmp, "w"), os.path.join(tmp, "g"), 1)
     assert out["new_rows"] == 0 and out["summary_written"] is False
+
+
+def _feed(path, *alerts):
+    dump(path, {"entity": [{"id": i, "alert": {"headerText": {"translation": [{"text": text}]},
+                                               "informedEntity": [{"routeId": route}],
+                                               "activePeriod": [{"start": str(start)}]}} for i, route, text, start in alerts]})
+
+
+def _forecast(path, *hours):
+    dump(path, {"properties": {"periods": [{"startTime": s, "endTime": s, "temperature": t, "shortForecast": f}
+                                           for s, t, f in hours]}})
+
+
+def test_command_line_run_stream_and_import(spark, tmp):
+    from squall.__main__ import main
+    land, silver, gold_root = (os.path.join(tmp, x) for x in ("landing", "silver", "gold"))
+    os.makedirs(land)
+    _feed(os.path.join(land, "feed_1.json"), ("a", "Q", "Snow delays", 1900000000))
+    _forecast(os.path.join(land, "wx_1.json"), ("2030-03-17T17:00:00Z", 41, "Blowing Snow"))
+    out = main(["run", "--alert-bronze", f"{land}/feed_*.json", "--weather-bronze", f"{land}/wx_*.json", "--silver", silver,
+                "--gold", gold_root, "--batch-id", "1"])
+    assert out["alerts"]["rows"] == out["weather"]["rows"] == out["gold"]["new_rows"] == 1
+    view = spark.newSession().table(K.IMPACT_VIEW_NAME).collect()
+    assert [(r.routeId, r.weather_category) for r in view] == [("Q", "Snow")]
+    # the stream reads the same landing folder: alert a is in silver already
+    _feed(os.path.join(land, "feed_2.json"), ("a", "Q", "Snow delays", 1900000000), ("b", "L", "Storm", 1900000600),
+          ("c", "L", "Storm", 1900090000))
+    out = main(["stream", "--alert-bronze", f"{land}/feed_*.json", "--silver", silver, "--gold", gold_root,
+                "--checkpoint", os.path.join(tmp, "_ck")])
+    assert out == {"new_rows": 1, "pending": 1, "expired": 0}
+    with open(os.path.join(tmp, "wx.csv"), "w") as f:
+        f.write("shortForecast,startTime,endTime,temperature\nFog,2030-03-18T18:00:00Z,2030-03-18T19:00:00Z,40\n")
+    assert main(["import-csv", "weather", "--csv", os.path.join(tmp, "wx.csv"), "--silver", silver + "/weather"])["written"]
+    out = main(["stream", "--alert-bronze", f"{land}/feed_*.json", "--silver", silver, "--gold", gold_root,
+                "--checkpoint", os.path.join(tmp, "_ck")])
+    assert out == {"new_rows": 1, "pending": 0, "expired": 0}
