@@ -15,7 +15,8 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import squall
 from squall.session import shared_dir
@@ -74,6 +75,22 @@ def stage(df: DataFrame, prefix: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def placed(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` and a column that tells its rows apart, the same in every scan.
+
+    It is a hash of the file and the row's index in it, so it depends neither on
+    how files are split nor on how many executors there are. A frame that is not
+    read straight from Parquet is written to the shared folder first. Use it
+    together with a key of the row where all rows of a corpus meet.
+    """
+    mark = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    try:
+        df.select(mark)
+    except AnalysisException:
+        df = stage(df, "input")
+    return df, mark
+
+
 def task_file(folder: str, suffix: str, pid: int, seq: int, token: str) -> str:
     return f"{folder}/{pid:06d}-{token}-{seq:06d}{suffix}"
 

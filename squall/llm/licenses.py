@@ -19,7 +19,7 @@ notice list and the sample.
 
 Edge cases: null and empty texts are ``none``; repeated rows give a row each;
 ties go to the first paragraph; an empty table gives no row; other input columns
-are ignored. The input must be a table that rereads alike (files do).
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,15 +28,16 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from squall.llm.common import stage
+from squall.llm.common import placed, stage
 from squall.llm.license_texts import NOTICES
 
 BACKGROUND = 2000      # corpus paragraphs in the training set
 VARIANTS = 12          # of each notice; the last quarter only calibrates
+SLOTS = 48             # background paragraphs that variants stand in
 FEATURES = 1 << 12
-WINDOW, STEP = 96, 64  # words
+WINDOW, STEP = 32, 16  # words
 CONFIRMED = 0.6        # share of word pairs
 LIKELY = 0.5           # probability of being a licence at all
 PRECISION = 0.99       # share of held-out foreign paragraphs that a family must keep out
@@ -62,8 +63,8 @@ def grams(words: Column) -> Column:
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(row, doc_id, paragraph, line) of all lines of all texts."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-                       F.col("text").cast("string"))
+    docs, place = placed(docs)
+    rows = docs.select(place.alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
 
 
@@ -108,13 +109,14 @@ def train(docs: DataFrame) -> Scan:
     cues = sorted(r["word"] for r in rare.where(~function_words & (F.length("word") > 1)).collect())  # words of the notices
 
     # variants: each word stays with probability 0.85, before some words of the background
-    some = background.where(F.size("words") > 3).limit(VARIANTS * 4).select(
-        F.collect_list(F.slice("words", 1, 12)).alias("around"))
-    base = notices.crossJoin(some).withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
+    some = background.where(F.size("words") > 3).select(F.slice("words", 1, 20).alias("around"))
+    some = some.withColumn("slot", F.row_number().over(Window.orderBy(F.xxhash64("around")))).where(F.col("slot") <= SLOTS)
     draw = lambda *c: F.pmod(F.xxhash64("notice", "variant", *c), F.lit(1000))
+    base = (notices.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
+            .withColumn("slot", F.when(F.col("variant") % 3 == 1, F.pmod(draw(F.lit("around")), F.lit(SLOTS)) + 1))
+            .join(some, "slot", "left"))
     kept = F.filter("words", lambda w, i: (F.col("variant") == 0) | (draw(i) < 850))
-    around = F.when((F.col("variant") % 3 == 1) & (F.size("around") > 0),
-                    F.element_at("around", (F.pmod(draw(F.lit("around")), F.greatest(F.size("around"), F.lit(1))) + 1).cast("int")))
+    around = F.col("around")
     examples = base.select("family", "variant", F.concat(kept, F.coalesce(around, F.array().cast("array<string>"))).alias("words"))
     negative = background.select(F.lit("none").alias("family"), F.pmod(F.xxhash64("words"), F.lit(VARIANTS)).cast("int").alias("variant"),
                                  "words", ).where(~_like_notice(F.col("words"), cues))
@@ -206,14 +208,16 @@ def scan_documents(docs: DataFrame, scan: Scan | None = None) -> DataFrame:
     """One row per document: doc_id, license (families in order, ``unknown`` or
     ``none``), paragraph, probability and similarity of the surest paragraph,
     and how many paragraphs are licence-like."""
+    docs, place = placed(docs)
     scan = scan or train(docs)
     found = scan_paragraphs(docs, scan)
     best = F.max(F.struct((F.col("family") != "unknown").alias("sure"), "probability", (-F.col("paragraph")).alias("first"),
                           "similarity")).alias("b")
     known = F.array_sort(F.collect_set(F.when(F.col("family") != "unknown", F.col("family"))))
-    per = found.groupBy("row").agg(known.alias("known"), best, F.count("*").alias("n"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"))
-    return rows.join(per, "row", "left").select(
+    per = (found.groupBy("row", "doc_id").agg(known.alias("known"), best, F.count("*").alias("n"))
+           .withColumnsRenamed({"row": "r", "doc_id": "d"}))
+    rows = docs.select(place.alias("row"), F.col("doc_id").cast("long"))
+    return rows.join(per, (F.col("row") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left").select(
         "doc_id", F.when(F.col("n").isNull(), "none").when(F.size("known") == 0, "unknown")
         .otherwise(F.array_join("known", ",")).alias("license"),
         (-F.col("b.first")).cast("int").alias("paragraph"), F.col("b.probability").alias("probability"),

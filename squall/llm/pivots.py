@@ -22,8 +22,7 @@ part; shorter vectors are filled up with zeros; ties go to the smaller vec_id
 (nulls last); equal vectors are rows of their own; rows that share a vec_id are
 told apart by their place, so each is a candidate for the others; with fewer
 rows than k all are returned; an empty table gives no row. Scores must fit 64
-bits, else the search stops with an error. Other input columns are ignored; the
-input must be a table that rereads alike (files do).
+bits, else the search stops with an error. Other input columns are ignored.
 """
 
 from __future__ import annotations

@@ -23,16 +23,16 @@ def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, read back record by record."""
-    return warc.archive_roundtrip(_table(spark, sf_dir, "pages"))
+    return warc.archive_roundtrip(_table(spark, sf_dir, "pages")).drop("target_uri")
 
 
 ORACLE_OP3 = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html, url FROM pages),
-d AS (SELECT page_id, url, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
 f AS (SELECT payload_digest, max(page_id) AS first FROM d GROUP BY payload_digest)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to, url AS target_uri
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
 FROM d JOIN f USING (payload_digest)
 """
 

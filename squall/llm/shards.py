@@ -1,7 +1,7 @@
 """Two-pass external shuffle of a corpus into shards.
 
 Pass one scatters every record to a bucket chosen uniformly by a seeded hash of
-the record's place in its table, so equal keys, texts and sources spread like
+the record's place (its file and row), so equal keys, texts and sources spread like
 any others. The number of buckets follows from the corpus size so that one
 bucket fits in a task's memory. Pass two takes each bucket as a whole, orders it
 by a seeded Fisher-Yates shuffle and writes it. Buckets laid end to end are one
@@ -14,7 +14,6 @@ equal texts together.
 Edge cases: null text has size 1 and checksum 0 like an empty one; repeated rows
 and null doc_ids are records of their own; with fewer rows than shards the last
 shards are empty; an empty table gives no row. Other input columns are ignored.
-The input must be a table that rereads alike (files do).
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from squall.llm.common import scratch, ship
+from squall.llm.common import placed, scratch, ship
 
 BUCKET_BYTES = 24 << 20
 SEED = 20240607
@@ -44,8 +43,8 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = S
     shard, and return the table read back: doc_id, text, shard, slot."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
-                       F.monotonically_increasing_id().alias("place"))
+    docs, place = placed(docs)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), place.alias("place"))
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16)).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     scattered = rows.withColumn("bucket", F.pmod(F.xxhash64("place", F.lit(seed)), F.lit(buckets)).cast("int"))

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from squall.llm.common import ship, stage
+from squall.llm.common import placed, ship, stage
 from squall.llm.components import connected
 
 BITS = 64
@@ -65,6 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     """``row`` (the place of the document in its table), doc_id and the
     fingerprint as a signed long."""
     ship(docs.sparkSession)
+    docs, place = placed(docs)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,8 +73,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(fps.view(np.int64))],
                                              names=["row", "doc_id", "fp"])
 
-    return (docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-                        F.col("text").cast("string")).mapInArrow(of, "row long, doc_id long, fp long"))
+    return (docs.select(place.alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+           .mapInArrow(of, "row long, doc_id long, fp long"))
 
 
 def segments(max_bits: int) -> list[int]:
@@ -254,10 +255,13 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed:
 
 def deduplicate(docs: DataFrame, max_bits: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
     """Keep of each component the document with the smallest doc_id (nulls
-    last; of repeated rows one). ``docs`` must be a table that rereads alike."""
+    last; of repeated rows one)."""
+    docs, place = placed(docs)
     marked = near_duplicates(docs, max_bits, shingle, seed)
     kept = marked.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row"))
-                                       .alias("m")).select(F.col("m.row").alias("kept_row"))
+                                       .alias("m")).select(F.col("m.row").alias("kept_row"), F.col("m.doc_id").alias("kept_id"))
     names = docs.columns  # any names may come in
-    rows = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("kept_row", F.monotonically_increasing_id())
-    return rows.join(kept, "kept_row", "left_semi").select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
+    rows = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), place.alias("kept_row"),
+                       F.col("doc_id").cast("long").alias("own_id"))
+    rows = rows.join(kept, (rows["kept_row"] == kept["kept_row"]) & F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

@@ -14,8 +14,7 @@ that does not agree stops the read.
 Edge cases: null html counts as empty; a null page_id is written without its
 header and read back as null (it counts as the smallest when a response is
 chosen); a revisit of a response without page_id has a null refers_to; an empty
-table gives no file and no row. Other input columns are ignored. The input must
-be a table that rereads alike (files do).
+table gives no file and no row. Other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from squall.llm.common import attempt_token, create_file, open_stream, scratch, ship, stage, task_file
+from squall.llm.common import attempt_token, create_file, open_stream, placed, scratch, ship, stage, task_file
 
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20  # compressed size at which a task begins the next file
@@ -76,8 +75,9 @@ def record_bytes(row: dict) -> bytes:
 def with_originals(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Pages with ``original`` (page_id, place): the record a revisit refers to,
     null for responses."""
+    pages, place = placed(pages)
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"),
-                        F.monotonically_increasing_id().alias("place"))
+                        place.alias("place"))
     rows = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn(
         "long", F.coalesce(F.octet_length("html"), F.lit(0)) >= min_bytes)
     # groups are reduced before the shuffle; a group's row goes to every salt, so
