@@ -92,14 +92,15 @@ class TextEncoder:
         one = self._lookup(stem.dictionary)[stem.indices.to_numpy()]
         two = self._lookup(tail.dictionary)[tail.indices.to_numpy()]
         self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
-        both = np.stack([one, two], axis=1).ravel()
-        ids, counts = _gather(self.flat[0], self.counts[0], both)
-        ids, counts = _gather(ids, counts.reshape(-1, 2).sum(axis=1), words.indices.to_numpy())
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        bounds = upto[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+        table = _lists(np.concatenate([[0], np.cumsum(self.counts[0])]), pa.array(self.flat[0]))
+        both = table.take(pa.array(np.stack([one, two], axis=1).ravel()))
+        each = _lists(both.offsets.to_numpy()[::2], both.values)  # a stem's ids, then its marks'
+        ids = each.take(words.indices)
+        upto = ids.offsets.to_numpy()
+        bounds = upto[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()].astype(np.int64)
         if len(self.known) > CACHE_PIECES:
             self._reset()
-        return ids, np.diff(bounds)
+        return ids.values.to_numpy(), np.diff(bounds)
 
     def _lookup(self, words: pa.Array) -> np.ndarray:
         """Index of each piece in the table of encoded pieces; new ones are added.
@@ -130,14 +131,8 @@ class TextEncoder:
         self.counts.append(counts)
 
 
-def _gather(flat: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``at`` of a ragged array after each other, and their lengths."""
-    starts = np.cumsum(counts) - counts
-    n = counts[at]
-    upto = np.cumsum(n)
-    if not len(n) or not upto[-1]:
-        return flat[:0], n
-    return flat[np.repeat(starts[at] - upto + n, n) + np.arange(upto[-1])], n
+def _lists(ends: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
 
 
 def _cut(text: str, most: int = SLICE_BYTES):
