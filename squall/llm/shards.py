@@ -57,7 +57,9 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = S
     def order(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         n = table.num_rows
-        table = table.take(pa.array(fisher_yates(n, seed, bucket)))
+        # rows arrive in any order; the shuffle starts from the order of their places
+        arrived = np.argsort(table.column("place").to_numpy(), kind="stable")
+        table = table.take(pa.array(arrived[fisher_yates(n, seed, bucket)]))
         first, whole = table.column("first")[0].as_py(), table.column("total")[0].as_py()
         at = np.arange(first, first + n, dtype=np.int64)
         shard = shard_of(at, whole, shards)
@@ -65,7 +67,7 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = S
                          "shard": pa.array(shard.astype(np.int32)), "slot": at - shard_start(shard, whole, shards)})
 
     # the bounds are joined after the scatter; one small row per bucket
-    joined = scattered.drop("place").join(F.broadcast(bounds) if buckets <= 50_000 else bounds, "bucket")
+    joined = scattered.join(F.broadcast(bounds) if buckets <= 50_000 else bounds, "bucket")
     (joined.groupBy("bucket").applyInArrow(order, "doc_id long, text string, shard int, slot long")
      .write.partitionBy("shard").parquet(path))
     return spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
