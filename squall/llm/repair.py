@@ -35,7 +35,7 @@ from squall.llm.common import (attempt_token, read_file, scratch, ship, slices,
                                write_file)
 from squall.llm.tokens import default_tokenizer, encoder
 
-SHARD_IDS = 1 << 21
+SHARD_IDS = 1 << 20
 INDEX_STEP = 1024
 MIN_USES = 4
 MAX_ROUNDS = 16

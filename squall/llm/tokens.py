@@ -24,7 +24,8 @@ CACHE_PIECES = 1_500_000
 # their own, and these letters have one-to-one lower case and no composed forms,
 # so encoding the lower-cased stem and the marks apart keeps the ids. Pieces of
 # any other form are encoded as they are.
-STEM = "^(?P<stem>[0-9A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]*)$"
+STEM = "^(?P<stem>[0-9A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,!?;:)]*)$"
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 SEPARATOR = "|"
 
 _LOADED: dict[str, "TextEncoder"] = {}
@@ -57,12 +58,23 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.by_piece = word_bounded(json.load(f))
+            spec = json.load(f)
+        self.by_piece = word_bounded(spec)
+        self.word_end = self._word_ends((spec.get("model") or {}).get("end_of_word_suffix"))
         mark = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
         self.by_piece &= len(mark) == 1
         self.separator = mark[0]
         self._reset()
 
+    def _word_ends(self, suffix: str | None) -> np.ndarray | None:
+        """Which ids end a word, if the vocabulary marks that."""
+        if not suffix:
+            return None
+        vocabulary = self.tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return ends
+
     def _reset(self) -> None:
         self.known = pa.array([""], pa.large_string())
         self.flat = [np.empty(0, np.uint32)]
@@ -89,8 +101,9 @@ class TextEncoder:
         plain = pc.is_null(parted)
         stem = pc.if_else(plain, words.dictionary, pc.utf8_lower(stem)).dictionary_encode()
         tail = pc.if_else(plain, "", tail).dictionary_encode()
-        one = self._lookup(stem.dictionary)[stem.indices.to_numpy()]
-        two = self._lookup(tail.dictionary)[tail.indices.to_numpy()]
+        # one lookup for both: it hashes the whole table of known pieces
+        at = self._lookup(pa.concat_arrays([stem.dictionary, tail.dictionary]))
+        one, two = at[stem.indices.to_numpy()], at[len(stem.dictionary) + tail.indices.to_numpy()]
         self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
         table = _lists(np.concatenate([[0], np.cumsum(self.counts[0])]), pa.array(self.flat[0]))
         both = table.take(pa.array(np.stack([one, two], axis=1).ravel()))
@@ -105,27 +118,40 @@ class TextEncoder:
     def _lookup(self, words: pa.Array) -> np.ndarray:
         """Index of each piece in the table of encoded pieces; new ones are added.
 
-        New pieces are encoded many at a time with a separator between them, a
-        mark that none of them holds and that is one token of its own."""
+        New pieces are encoded many at a time. Pieces of letters only are one word
+        each, so the ids that end a word part them; others have a separator
+        between them, a mark that none of them holds and that is one token."""
         at = pc.index_in(words, value_set=self.known)
         new = words.filter(pc.is_null(at))
         if len(new):
             apart = pc.match_substring(new, SEPARATOR)
-            many, alone = new.filter(pc.invert(apart)), new.filter(apart)
-            names = many.to_pylist()
-            for i in range(0, len(names), 512):
-                ids = np.array(self.tokenizer.encode_batch_fast(
-                    [f" {SEPARATOR} ".join([*names[i:i + 512], ""])], add_special_tokens=False)[0].ids, np.uint32)
+            plain = pc.match_substring_regex(new, LETTERS) if self.word_end is not None else pc.is_null(new)
+            kinds = [new.filter(plain), new.filter(pc.and_not(pc.invert(apart), plain)), new.filter(apart)]
+            for run in _runs(kinds[0]):
+                ids = self._ids(" ".join(run))
+                ends = np.flatnonzero(self.word_end[ids])
+                if len(ends) == len(run):
+                    self._add(ids, np.diff(ends, prepend=-1))
+                else:
+                    self._each(run)
+            for run in _runs(kinds[1]):
+                ids = self._ids(f" {SEPARATOR} ".join([*run, ""]))
                 ends = np.flatnonzero(ids == self.separator)
                 self._add(np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
-            for w in alone.to_pylist():
-                ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-                self._add(ids, np.array([len(ids)]))
-            added = pa.concat_arrays([many, alone])
+            self._each(kinds[2].to_pylist())
+            added = pa.concat_arrays(kinds)
             at = pc.coalesce(at, pc.add(pc.index_in(words, value_set=added), len(self.known)))
             self.known = pa.concat_arrays([self.known, added])
         return at.to_numpy(zero_copy_only=False)
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _each(self, words: list[str]) -> None:
+        for w in words:
+            ids = self._ids(w)
+            self._add(ids, np.array([len(ids)]))
+
     def _add(self, ids: np.ndarray, counts: np.ndarray) -> None:
         self.flat.append(ids)
         self.counts.append(counts)
@@ -135,6 +161,11 @@ def _lists(ends: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
 
 
+def _runs(words: pa.Array, n: int = 512):
+    names = words.to_pylist()
+    return (names[i:i + n] for i in range(0, len(names), n))
+
+
 def _cut(text: str, most: int = SLICE_BYTES):
     """A very long text in parts that end at a space."""
     start = 0
