@@ -91,7 +91,8 @@ def _with_segment(df: DataFrame, bounds: list[float]) -> DataFrame:
 def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                  tolerance_seconds: float, *, right_order: Sequence[str | Column] | None = None,
                  how: str = "inner", segments: int | None = None,
-                 right_unique: bool = False, broadcast_right: bool | None = None) -> DataFrame:
+                 right_unique: bool = False, broadcast_right: bool | None = None,
+                 windows: DataFrame | None = None) -> DataFrame:
     """Attach to each left row the nearest right row within ``tolerance_seconds``.
 
     ``left_on`` / ``right_on`` are timestamp (or timestamp_ntz) columns. The
@@ -111,7 +112,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     (False) the broadcast plan's attempt; the bounds are always checked.
 
     Both inputs are read up to three times; pass materialised frames when
-    they are expensive to recompute.
+    they are expensive to recompute. ``windows`` is what ``candidate_windows``
+    gave for this right side and tolerance: joins against one right side then
+    neither measure nor group it again.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -123,6 +126,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     rcols = list(right.columns)
     order = [F.col(c) if isinstance(c, str) else c for c in (right_order or [])]
 
+    if windows is not None:
+        return _broadcast_plan(left, left_on, windows, rcols, tol, how)
+
     # 1. one right row per instant
     r = right.withColumn(_T, epoch_micros(right_on)).where(F.col(_T).isNotNull())
     if right_unique:
@@ -204,6 +210,15 @@ def _bucket(t: Column, width: int) -> Column:
     return F.call_function("div", t - F.pmod(t, w), w)
 
 
+def candidate_windows(right: DataFrame, right_on: str, tolerance_seconds: float) -> DataFrame | None:
+    """The broadcast plan's windows over a right side with one row per instant,
+    or None when it is not proven small. Materialise them to use them often."""
+    tol = int(round(tolerance_seconds * 1_000_000))
+    r = (right.withColumn(_T, epoch_micros(right_on)).where(F.col(_T).isNotNull())
+         .select(_T, F.struct(*[F.col(c) for c in right.columns]).alias(_ROW)))
+    return _candidate_windows(right, right_on, r, tol)
+
+
 def _candidate_windows(right: DataFrame, right_on: str, r: DataFrame, tol: int) -> DataFrame | None:
     """Window table for the broadcast plan, or None when the right side is not
     provably small. Window ``w`` holds every right row of buckets w-1, w, w+1

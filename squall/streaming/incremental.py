@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from squall import constants as K
 from squall import schemas
 from squall.operators.anti_join import anti_join_null_safe
-from squall.operators.asof import asof_nearest
+from squall.operators.asof import asof_nearest, candidate_windows
 from squall.operators.dedup import distinct_rows, first_per_key
 from squall.operators.reshape import rename
 from squall.plans import gold
@@ -125,13 +125,34 @@ _RETRY_BASE = 1 << 37
 
 
 def silver_weather(spark: SparkSession, weather_root: str) -> Callable[[], DataFrame]:
-    """Prepared weather from the silver snapshots as they are when it is called."""
+    """Prepared weather from the silver snapshots as they are when it is called;
+    the same frame again while the snapshot files stay as they are."""
+    last: list = [None, None]
+
     def read() -> DataFrame:
-        stacked = live_and_latest_history(spark, weather_root, schemas.WEATHER)
-        return gold.prepare_weather(spark.createDataFrame([], schemas.WEATHER) if stacked is None else stacked)
+        found = _listing(spark, weather_root)
+        if last[0] != found:
+            stacked = live_and_latest_history(spark, weather_root, schemas.WEATHER)
+            empty = spark.createDataFrame([], schemas.WEATHER)
+            last[:] = found, gold.prepare_weather(empty if stacked is None else stacked).checkpoint(eager=True)
+        return last[1]
     return read
 
 
+def _listing(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+    """Files below a folder with their times (names only; nothing is read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getModificationTime()))
+    return sorted(out)
+
+
 class _Pending:
     """Alerts that wait for their weather hour: one folder per round."""
 
@@ -168,7 +189,8 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
     """Per micro-batch, nearest weather (J2) then idempotent append (J3+S7).
 
     ``weather`` gives prepared weather (one row per hour): a function is called
-    for every micro-batch (``silver_weather``), a DataFrame stays as it is.
+    for every micro-batch (``silver_weather``), a DataFrame stays as it is. The
+    join's windows are built when the function returns another frame.
     Alerts without an hour within the tolerance wait below ``pending_path``
     (default: beside the checkpoint) and are tried again with every later batch
     and when the stream is started. They wait without end, unless
@@ -183,11 +205,19 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
     base = stream_batch_base(checkpoint)
     pending = _Pending(spark, pending_path or f"{checkpoint.rstrip('/')}-pending")
     shared_dir(spark)
-    refresh = weather if callable(weather) else (lambda: weather)
     fixed = None if callable(weather) else weather.checkpoint(eager=True)
+    known_hours: list = [None, None]  # a weather frame and its windows
+
+    def current() -> tuple[DataFrame, DataFrame | None]:
+        """The weather now, and its windows, built when it changes."""
+        hours = weather() if fixed is None else fixed
+        if hours is not known_hours[0]:
+            windows = candidate_windows(hours, "startTime", tolerance_seconds)
+            known_hours[:] = hours, None if windows is None else windows.checkpoint(eager=True)
+        return known_hours[0], known_hours[1]
 
     def match(waiting: DataFrame | None, batch: DataFrame | None, number: int) -> None:
-        hours = refresh().checkpoint(eager=True) if fixed is None else fixed
+        hours, windows = current()
         parts = [p.withColumn("_late", F.lit(i)) for i, p in enumerate((waiting, batch)) if p is not None]
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         # what waits came first and stays; then one row per alert key
@@ -197,7 +227,7 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
             known = fact.where(F.col("batch_id") != F.lit(base + number)).select(*K.ALERT_DEDUP_KEY)
             rows = anti_join_null_safe(rows, known, list(K.ALERT_DEDUP_KEY))
         joined = asof_nearest(rows.checkpoint(eager=True), hours, "start", "startTime", tolerance_seconds, how="left",
-                              right_unique=True)
+                              right_unique=True, windows=windows)
         joined = rename(joined, {"startTime": "weather_start", "endTime": "weather_end"}).checkpoint(eager=True)
         out = sinks.append_new(joined.where(F.col("weather_start").isNotNull()), fact_path, base + number, materialized=True)
         left = joined.where(F.col("weather_start").isNull()).select(*K.ALERT_COLUMNS)
