@@ -128,6 +128,13 @@ def read_file(uri: str) -> bytes:
         return f.read()
 
 
+def folder_files(uri: str, suffix: str) -> list[pa.NativeFile]:
+    """The files of a folder that Spark has written, open; none if there is no such folder."""
+    store, path = _located(uri)
+    found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return [store.open_input_file(f.path) for f in found if f.is_file and f.path.endswith(suffix)]
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into runs of rows of about equal text, ``most`` bytes
     each or a single row."""

@@ -13,8 +13,12 @@ once, in the counts as well. A logistic curve turns it into a
 score; the curve is fitted on labelled rows that the counts have not seen.
 
 All counts come from distributed aggregation over every labelled training row.
-The event table has ``SLOTS`` hashed places: events that meet in one are counted
-together, so the model that is sent to the tasks has a fixed greatest size.
+The model is two tables, one row for every counted event and every context, and
+grows with the corpus: continuation counts, discounts and totals are grouped and
+joined in Spark, and neither driver nor tasks hold it whole. Texts are scored in
+chunks of ``CHUNK_ROWS`` rows of a file: the different events of each chunk are
+joined to the tables and written to a folder of the chunk, which the task that
+scores the chunk's rows reads.
 
 Edge cases: null and empty texts have statistic 0 and thus the curve's score for
 no evidence; null labels are no labels; a doc_id labelled more than once counts
@@ -31,12 +35,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, functions as F
 
-from squall.llm.common import ship, slices, stage, strings
+from squall.llm.common import folder_files, placed, scratch, ship, slices, stage, strings
 
 ORDER = 5
-SLOTS = 1 << 22
+CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
+CHUNK_FILES = 8        # hashed parts of a chunk's events, so that tasks write alike
 FOLDS = 5
 CALIBRATION_FOLD = 1   # training rows kept from the counts and used for the curve
 PRIOR_WORDS = 30.0     # added to a document's length
@@ -102,16 +108,39 @@ def count_events(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.nda
     return codes[first], counts.astype(np.int64)
 
 
+def text_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct events of some texts as code points (n, ORDER), and their hashes."""
+    distinct, _, _ = words(texts)
+    codes, _ = events(distinct.to_pylist())
+    h, first = np.unique(code_hash(codes), return_index=True)
+    return codes[first], h
+
+
+def text_statistics(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Length-normalised log-likelihood difference of each text, from the values
+    of its events (by ascending hash; others have 0)."""
+    distinct, at, bounds = words(texts)
+    codes, word = events(distinct.to_pylist())
+    value = np.bincount(word, _find(keys, values, code_hash(codes), np.float32(0)), len(distinct))
+    value = np.maximum(value - MARGIN, 0)
+    doc, at = in_documents(at, bounds, len(distinct))
+    n = len(bounds) - 1
+    return np.bincount(doc, value[at], n) / (np.bincount(doc, minlength=n) + PRIOR_WORDS)
+
+
+def event_names(codes: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(codes).view(f"<U{ORDER}").ravel().tolist(), pa.string())
+
+
 @dataclass
 class Model:
     """Log-likelihood differences (toxic minus ordinary) of counted events, and
-    of any other event after a counted context."""
+    of any other event after a counted context, in memory."""
 
     events: np.ndarray
     event_value: np.ndarray
     contexts: np.ndarray
     context_value: np.ndarray
-    curve: tuple[float, float] = field(default=(0.0, -50.0))
 
     def word_values(self, distinct: list[str]) -> np.ndarray:
         codes, word = events(distinct)
@@ -119,19 +148,45 @@ class Model:
         value = _find(self.events, self.event_value, code_hash(codes), value)
         return np.bincount(word, value, len(distinct))
 
+
+@dataclass
+class Tables:
+    """The same as staged tables (event, value) and (context, value), and the
+    curve; no tables if there were no labels of both classes."""
+
+    events: DataFrame | None = None
+    contexts: DataFrame | None = None
+    curve: tuple[float, float] = field(default=(0.0, -50.0))
+
+    def valued(self, wanted: DataFrame) -> DataFrame:
+        """``wanted`` (event and other columns) with the values that are not 0."""
+        context = self.contexts.withColumnRenamed("value", "other")
+        return (wanted.withColumn("context", F.substring("event", 1, ORDER - 1))
+                .join(self.events, "event", "left").join(context, "context", "left")
+                .withColumn("value", F.coalesce("value", "other")).drop("context", "other").where("value <> 0"))
+
     def statistics(self, texts: pa.Array) -> np.ndarray:
-        """Length-normalised log-likelihood difference of each text."""
-        distinct, at, bounds = words(texts)
-        value = np.maximum(self.word_values(distinct.to_pylist()) - MARGIN, 0)
-        doc, at = in_documents(at, bounds, len(distinct))
-        n = len(bounds) - 1
-        return np.bincount(doc, value[at], n) / (np.bincount(doc, minlength=n) + PRIOR_WORDS)
+        """Of a few texts on the driver."""
+        keys, values = np.empty(0, np.uint64), np.empty(0, np.float32)
+        if self.events is not None:
+            codes, h = text_events(texts)
+            wanted = pa.table({"event": event_names(codes), "h": pa.array(h.view(np.int64))})
+            got = self.valued(self.events.sparkSession.createDataFrame(wanted)).select("h", "value").toArrow()
+            keys, values = _by_hash([got])
+        return text_statistics(texts, keys, values)
 
     def scores(self, statistics: np.ndarray) -> np.ndarray:
         a, b = self.curve
         return 1.0 / (1.0 + np.exp(-np.clip(a * statistics + b, -60, 60)))
 
 
+def _by_hash(tables: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
+    h = np.concatenate([t.column("h").to_numpy() for t in tables] or [np.empty(0, np.int64)]).view(np.uint64)
+    value = np.concatenate([t.column("value").to_numpy() for t in tables] or [np.empty(0, np.float32)])
+    order = np.argsort(h)
+    return h[order], value[order]
+
+
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default) -> np.ndarray:
     if not len(keys):
         return np.broadcast_to(default, wanted.shape).copy()
@@ -151,7 +206,8 @@ def _groups(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def estimate(codes: np.ndarray, counts: np.ndarray) -> Model:
-    """The models from distinct events (n, ORDER) and class counts (n, 2)."""
+    """The models from distinct events (n, ORDER) and class counts (n, 2) in
+    memory; ``estimate_tables`` does the same in Spark."""
     # shared orders below the highest: how many different characters precede
     shared = []   # from the longest to the shortest: (group of each longer row, rows)
     rows = codes
@@ -205,53 +261,81 @@ def fit_curve(z: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[f
     return a, b
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the labelled rows whose fold is not 0."""
-    spark = docs.sparkSession
-    ship(spark)
-    # labels grow with the corpus, so the join is a shuffle at every size
-    marks = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-             .where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .where(fold(F.col("doc_id")) != 0).join(marks.hint("merge"), "doc_id"))
-    texts = texts.select("text", "toxic", fold(F.col("doc_id")).alias("fold"))
+def _table_discount(df: DataFrame, *columns: str) -> list[float]:
+    """``_discount`` of columns of a table."""
+    once, twice = ([F.sum((F.col(c) == k).cast("long")) for c in columns] for k in (1, 2))
+    row = df.agg(*once, *twice).first()
+    return [x / (x + 2 * y) if x and y else 0.5 for x, y in zip(row[:len(columns)], row[len(columns):])]
+
+
+def estimate_tables(counted: DataFrame) -> Tables:
+    """The models from the staged table of all events: event, ordinary, toxic."""
+    # shared orders below the highest: how many different characters precede
+    shared = {}
+    rows, name = counted, "event"
+    for order in range(ORDER - 1, 0, -1):
+        rows = stage(rows.groupBy(F.substring(name, 2, order).alias("gram")).agg(F.count("*").alias("n")), "toxicity-order")
+        shared[order], name = rows, "gram"
+    size = shared[1].agg(F.sum(F.col("n") + 0.5)).first()[0]
+    below = shared[1].select(F.col("gram").alias("suffix"), ((F.col("n") + 0.5) / size).alias("below"))
+    for order in range(2, ORDER):
+        (d,) = _table_discount(shared[order], "n")
+        rows = shared[order].withColumn("context", F.substring("gram", 1, order - 1)).withColumn("suffix", F.substring("gram", 2, order - 1))
+        context = rows.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+        p = F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total") + d * F.col("types") / F.col("total") * F.col("below")
+        below = rows.join(context, "context").join(below, "suffix").select(F.col("gram").alias("suffix"), p.alias("below"))
+    # the highest order, each class by itself
+    rows = counted.withColumn("context", F.substring("event", 1, ORDER - 1)).withColumn("suffix", F.substring("event", 2, ORDER - 1))
+    classes = ("ordinary", "toxic")
+    discounts = dict(zip(classes, _table_discount(counted, *classes)))
+    context = rows.groupBy("context").agg(*(F.sum(c).alias(f"{c}_total") for c in classes),
+                                          *(F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in classes))
+    for c, d in discounts.items():
+        total = F.col(f"{c}_total")
+        context = context.withColumn(f"{c}_share", F.when(total > 0, d * F.col(f"{c}_types") / total).otherwise(1.0))
+    context = stage(context, "toxicity-contexts")
+    log = {c: F.log(F.greatest(F.col(c) - d, F.lit(0.0)) / F.greatest(F.col(f"{c}_total"), F.lit(1))
+                    + F.col(f"{c}_share") * F.col("below")) for c, d in discounts.items()}
+    events = rows.join(context, "context").join(below, "suffix").select("event", (log["toxic"] - log["ordinary"]).cast("float").alias("value"))
+    return Tables(stage(events, "toxicity-events"), context.select(
+        "context", (F.log("toxic_share") - F.log("ordinary_share")).cast("float").alias("value")))
+
+
+def count_table(texts: DataFrame) -> DataFrame:
+    """Every event of labelled texts (text, toxic) with its counts: event, ordinary, toxic."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 codes, n = count_events(part.column("text"), part.column("toxic").to_numpy(zero_copy_only=False))
-                names = np.ascontiguousarray(codes).view(f"<U{ORDER}").ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(n[:, 0]),
-                                                  pa.array(n[:, 1])], names=["event", "ordinary", "toxic"])
-
-    counted = (texts.where(F.col("fold") != CALIBRATION_FOLD)
-               .mapInArrow(count, "event string, ordinary long, toxic long"))
-    table = (counted.groupBy("event").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-             .groupBy(F.pmod(F.xxhash64("event"), F.lit(SLOTS)).alias("slot"))
-             .agg(F.max_by("event", F.struct(F.col("ordinary") + F.col("toxic"), "event")).alias("event"),
-                  F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-             .select("event", "ordinary", "toxic").toArrow())  # SLOTS rows at most
-    names = table.column("event").to_pylist()
-    counts = np.stack([table.column(c).to_numpy() for c in ("ordinary", "toxic")], axis=1).astype(np.int64)
-    if not len(names) or not counts.sum(axis=0).all():
-        return Model(*(np.empty(0, t) for t in (np.uint64, np.float32, np.uint64, np.float32)))
-    codes = np.frombuffer("".join(names).encode("utf-32-le"), "<u4").reshape(-1, ORDER)
-    order = np.lexsort(codes.T)  # rows come in any order; sums of floats must not
-    model = estimate(codes[order], counts[order])
+                yield pa.RecordBatch.from_arrays([event_names(codes), pa.array(n[:, 0]), pa.array(n[:, 1])],
+                                                 names=["event", "ordinary", "toxic"])
 
-    low, high = BIN_RANGE
-    shared = spark.sparkContext.broadcast(model)
+    return stage(texts.mapInArrow(count, "event string, ordinary long, toxic long")
+                 .groupBy("event").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "toxicity-counts")
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                z = shared.value.statistics(part.column("text"))
-                at = np.clip((z - low) / (high - low) * BINS, 0, BINS - 1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(at), part.column("toxic")], names=["bin", "toxic"])
 
-    held = (texts.where(F.col("fold") == CALIBRATION_FOLD).mapInArrow(measure, "bin int, toxic int")
-            .groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toArrow())  # BINS rows at most
+def train(docs: DataFrame, labels: DataFrame) -> Tables:
+    """Fit on the labelled rows whose fold is not 0."""
+    ship(docs.sparkSession)
+    marks = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+             .where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    # labels grow with the corpus, so the join is a shuffle at every size
+    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+             .where(~fold(F.col("doc_id")).isin(0, CALIBRATION_FOLD)).join(marks.hint("merge"), "doc_id"))
+    counted = count_table(texts.select("text", "toxic"))
+    if not all(counted.agg(F.sum("ordinary"), F.sum("toxic")).first()):
+        return Tables()
+    model = estimate_tables(counted)
+
+    low, high = BIN_RANGE
+    place = F.floor((F.col("statistic") - low) / (high - low) * BINS).cast("int")
+    # only numbers meet the labels here
+    held = (statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model)
+            .join(marks.hint("merge"), "doc_id")
+            .groupBy(F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place)).alias("bin"))
+            .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toArrow())  # BINS rows at most
     toxic, n = (held.column(c).to_numpy().astype(float) for c in ("toxic", "n"))
     if toxic.sum() and (n - toxic).sum():
         z = low + (held.column("bin").to_numpy() + 0.5) * (high - low) / BINS
@@ -260,35 +344,86 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, statistic, score and predicted for every document."""
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+def with_chunks(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column for the rows that are looked up together, the same
+    in every scan, and its name."""
+    docs, _ = placed(docs)
+    name = "chunk"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    chunk = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+    return docs.select("*", chunk.alias(name)), name
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def look_up(docs: DataFrame, chunk: str, model: Tables) -> str:
+    """Write the values of all events of ``docs``; a folder for each chunk."""
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, np.empty(0, np.uint64)
         for batch in batches:
-            for part in slices(batch, "text"):
-                z = shared.value.statistics(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(z), pa.array(shared.value.scores(z))],
-                                                 names=["doc_id", "statistic", "score"])
+            for part, key in by_chunk(batch, "chunk"):
+                if key != now:
+                    now, seen = key, np.empty(0, np.uint64)
+                codes, h = text_events(part.column("text"))
+                new = ~np.isin(h, seen, assume_unique=True)
+                if new.any():
+                    seen = np.union1d(seen, h)
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * int(new.sum()), pa.int64()), event_names(codes[new]),
+                                                      pa.array(h[new].view(np.int64))], names=["chunk", "event", "h"])
+
+    folder = scratch(docs.sparkSession, "toxicity-values")
+    rows = docs.select(F.col(chunk).alias("chunk"), F.col("text").cast("string")).mapInArrow(
+        wanted, "chunk long, event string, h long")
+    (model.valued(rows).select("chunk", "h", "value").repartition("chunk", F.pmod("h", F.lit(CHUNK_FILES)))
+     .write.partitionBy("chunk").parquet(folder))
+    return folder
+
+
+def by_chunk(batch: pa.RecordBatch, chunk: str) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Runs of rows of one chunk, in slices."""
+    keys = batch.column(chunk).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        for part in slices(batch.slice(a, b - a), "text"):
+            yield part, int(keys[a])
+
+
+def _measured(docs: DataFrame, model: Tables, answer, schema, columns: list | None = None) -> DataFrame:
+    """What ``answer`` makes of each slice of ``docs`` and its statistics."""
+    ship(docs.sparkSession)
+    docs, chunk = with_chunks(docs)
+    folder = look_up(docs, chunk, model) if model.events is not None else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, values = None, _by_hash([])
+        for batch in batches:
+            for part, key in by_chunk(batch, chunk):
+                if folder and key != now:
+                    now, values = key, _by_hash([pq.read_table(f, columns=["h", "value"], partitioning=None)
+                                                 for f in folder_files(f"{folder}/chunk={key}", ".parquet")])
+                yield answer(part.drop_columns([chunk]), text_statistics(part.column("text"), *values))
 
-    scored = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-              .mapInArrow(score, "doc_id long, statistic double, score double"))
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return (docs if columns is None else docs.select(*columns, chunk)).mapInArrow(run, schema)
+
+
+def statistics_of(docs: DataFrame, model: Tables) -> DataFrame:
+    """doc_id and statistic of every document."""
+    return _measured(docs, model, lambda part, z: pa.RecordBatch.from_arrays(
+        [part.column("doc_id"), pa.array(z)], names=["doc_id", "statistic"]), "doc_id long, statistic double",
+        [F.col("doc_id").cast("long"), F.col("text").cast("string")])
+
+
+def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
+    """doc_id, held_out, statistic, score and predicted for every document."""
+    a, b = model.curve
+    raised = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), a * F.col("statistic") + b))
+    return statistics_of(docs, model).withColumn("score", 1 / (1 + F.exp(-raised))).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not call toxic, all columns."""
     model = train(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                fine = shared.value.scores(shared.value.statistics(part.column("text"))) < 0.5
-                yield part.filter(pa.array(fine))
-
-    return docs.mapInArrow(keep, schema)
+    a, b = model.curve
+    return _measured(docs, model, lambda part, z: part.filter(pa.array(Tables(curve=(a, b)).scores(z) < 0.5)), docs.schema)

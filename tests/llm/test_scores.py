@@ -63,6 +63,33 @@ def test_toxicity_models_are_distributions():
     assert model.word_values(["abe"])[0] > 0 > model.word_values(["abc"])[0]
 
 
+def test_toxicity_tables_keep_every_event(spark, monkeypatch):
+    """Spark's tables hold each counted event and context by itself, with the values that memory gives."""
+    import pyarrow as pa
+    _, _, rows = _corpus(spark, 200)
+    texts, toxic = [t for _, t, _ in rows], np.array([int(i % 5 == 0) for i, _, _ in rows])
+    counted = toxicity.count_table(spark.createDataFrame(list(zip(texts, toxic.tolist())), "text string, toxic int"))
+    codes, counts = toxicity.count_events(pa.array(texts), toxic)
+    names = toxicity.event_names(codes).to_pylist()
+    assert {r.event: (r.ordinary, r.toxic) for r in counted.collect()} == dict(zip(names, map(tuple, counts.tolist())))
+    plain, tables = toxicity.estimate(codes, counts), toxicity.estimate_tables(counted)
+    value = dict(zip(plain.events.tolist(), plain.event_value.tolist()))
+    got = {r.event: r.value for r in tables.events.collect()}
+    assert set(got) == set(names)
+    assert all(got[e] == pytest.approx(value[h], abs=1e-4) for e, h in zip(names, toxicity.code_hash(codes).tolist()))
+    assert sorted(r.value for r in tables.contexts.collect()) == pytest.approx(sorted(plain.context_value.tolist()), abs=1e-4)
+
+
+def test_toxicity_of_chunks_is_that_of_texts(spark, tmp, monkeypatch):
+    docs, labels, rows = _corpus(spark, 300)
+    model = toxicity.train(docs, labels)
+    import pyarrow as pa
+    want = model.statistics(pa.array([t for _, t, _ in rows]))
+    monkeypatch.setattr(toxicity, "CHUNK_ROWS", 7)
+    got = {r.doc_id: r.statistic for r in toxicity.score_documents(data.on_disk(docs, f"{tmp}/chunks"), model).collect()}
+    assert [got[i] for i, _, _ in rows] == pytest.approx(want.tolist())
+
+
 def test_toxicity_edge_rows(spark):
     docs, labels, _ = _corpus(spark, 300)
     model = toxicity.train(docs, labels)
