@@ -1,16 +1,21 @@
 """Toxicity scores from two class-conditional Kneser-Ney character models.
 
 Both classes (labelled toxic or not) have their own counts of five-character
-events inside words; all shorter contexts are shared: their continuation counts
-are pooled over both classes. An expression too rare to be counted in a class is
-thus smoothed by the same lower orders in both models and says little, while one
-that a class uses often says much. A document's statistic is the difference of
-the two log-likelihoods over its different words, divided by their number (plus a
-constant, so that a few words cannot decide as firmly as many). A word counts by
-what its difference exceeds ``MARGIN``: the small differences of ordinary words
-are sampling noise that would add up in long texts. Repeats in a document count
-once, in the counts as well. A logistic curve turns it into a
-score; the curve is fitted on labelled rows that the counts have not seen.
+events; all shorter contexts are shared: their continuation counts are pooled
+over both classes. An expression too rare to be counted in a class is thus
+smoothed by the same lower orders in both models and says little, while one that
+a class uses often says much. Events are of two kinds that never mix (their code
+points differ by ``RUNNING``): those that run over the whole text, word
+boundaries included, and those of single words, which a document counts once.
+A document has two statistics. The first is the signed difference of its two
+log-likelihoods over all running events, divided by their number (plus a
+constant), so every word and phrase counts for the class that it is likelier in.
+The second keeps a few insults in a long text from being averaged away: what the
+differences of the document's different words exceed ``MARGIN`` by, divided by
+the number of these words (plus a constant). A logistic curve over both turns
+them into a score; it is fitted on labelled rows that the counts have not seen
+and so decides how much each says. Neither may lower the score by speaking for
+the toxic class.
 
 All counts come from distributed aggregation over every labelled training row.
 The model is two tables, one row for every counted event and every context, and
@@ -20,7 +25,7 @@ chunks of ``CHUNK_ROWS`` rows of a file: the different events of each chunk are
 joined to the tables and written to a folder of the chunk, which the task that
 scores the chunk's rows reads.
 
-Edge cases: null and empty texts have statistic 0 and thus the curve's score for
+Edge cases: null and empty texts have statistics 0 and thus the curve's score for
 no evidence; null labels are no labels; a doc_id labelled more than once counts
 as toxic if any of its labels says so; without labels of both classes every
 score is 0; a null doc_id counts as empty text for the fold; repeated rows score
@@ -43,12 +48,16 @@ from squall.llm.common import folder_files, placed, scratch, ship, slices, stage
 ORDER = 5
 CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
 CHUNK_FILES = 8        # hashed parts of a chunk's events, so that tasks write alike
+SLICE = 4 << 20        # bytes of text handled at once; an event takes some fifty
 FOLDS = 5
 CALIBRATION_FOLD = 1   # training rows kept from the counts and used for the curve
 PRIOR_WORDS = 30.0     # added to a document's length
-MARGIN = 3.0           # log-likelihood ratio up to which a word says nothing
-BINS = 4096
-BIN_RANGE = (0.0, 4.0)
+PRIOR_EVENTS = 100.0   # added to a text's running events
+MARGIN = 3.0           # log-likelihood ratio above which a word stands out
+RUNNING = 0x80000      # added to the code points of running events; no letter is there
+BINS = 1024            # of each statistic, even on a scale that is linear up to SCALE, then logarithmic
+SCALE = 0.001
+STATISTICS = ("signed", "above")
 BEGIN, END = "\x02", "\x03"
 BREAK = r"[^\pL\pN]+"
 
@@ -79,6 +88,34 @@ def events(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.lib.stride_tricks.sliding_window_view(codes, ORDER)[at] if len(at) else codes.reshape(0, ORDER), word
 
 
+def running_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The events that run over the lower-case words of texts, with one space
+    between, before and behind: code points of all texts, the place of each
+    event's first one, and the text of each event."""
+    plain = pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(strings(texts)), BREAK, " "), " ")
+    part = lambda x: pa.scalar(x, pa.large_string())
+    padded = pc.if_else(pc.equal(plain, ""), part(""),
+                        pc.binary_join_element_wise(part(BEGIN * (ORDER - 2)), plain, part(""), part(" ")))
+    codes = np.frombuffer("".join(padded.to_pylist()).encode("utf-32-le"), "<u4") + np.uint32(RUNNING)
+    size = pc.utf8_length(padded).to_numpy(zero_copy_only=False).astype(np.int64)
+    n = np.maximum(size - (ORDER - 1), 0)
+    text = np.repeat(np.arange(len(n)), n)
+    return codes, np.arange(len(text)) + (np.cumsum(size) - size - np.cumsum(n) + n)[text], text
+
+
+def running_hashes(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of running events, the code points of each (n, ORDER), and
+    which of them stands at each place."""
+    if not len(at):
+        return np.empty(0, np.uint64), np.empty((0, ORDER), "<u4"), at
+    windows = np.lib.stride_tricks.sliding_window_view(codes, ORDER)
+    coded = pa.array(code_hash(windows)[at]).dictionary_encode()
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[which[::-1]] = at[::-1]
+    return coded.dictionary.to_numpy(), windows[first], which
+
+
 def code_hash(codes: np.ndarray) -> np.ndarray:
     h = np.full(len(codes), 0x9E3779B97F4A7C15, np.uint64)
     for i in range(codes.shape[1]):
@@ -97,7 +134,8 @@ def in_documents(at: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray
 
 def count_events(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct events of some texts as code points (n, ORDER), and their counts
-    in ordinary and toxic texts (n, 2); a text counts each of its words once."""
+    in ordinary and toxic texts (n, 2); a text counts each of its words once and
+    every running event."""
     distinct, at, bounds = words(texts)
     doc, at = in_documents(at, bounds, len(distinct))
     label = toxic[doc]
@@ -105,7 +143,10 @@ def count_events(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.nda
     codes, word = events(distinct.to_pylist())
     seen, first, place = np.unique(code_hash(codes), return_index=True, return_inverse=True)
     counts = np.stack([np.bincount(place, weight[word, c], len(seen)) for c in (0, 1)], axis=1)
-    return codes[first], counts.astype(np.int64)
+    running, at, text = running_events(texts)
+    seen, running, which = running_hashes(running, at)
+    more = np.bincount(which * 2 + toxic[text], minlength=2 * len(seen)).reshape(-1, 2)
+    return np.concatenate([codes[first], running]), np.concatenate([counts.astype(np.int64), more])
 
 
 def text_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,19 +154,26 @@ def text_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     distinct, _, _ = words(texts)
     codes, _ = events(distinct.to_pylist())
     h, first = np.unique(code_hash(codes), return_index=True)
-    return codes[first], h
+    running, at, _ = running_events(texts)
+    seen, running, _ = running_hashes(running, at)
+    return np.concatenate([codes[first], running]), np.concatenate([h, seen])
 
 
 def text_statistics(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood difference of each text, from the values
-    of its events (by ascending hash; others have 0)."""
+    """Each text's length-normalised log-likelihood difference and what its words
+    stand out by (n, 2), from the values of its events (by ascending hash; others
+    have 0)."""
+    n = len(texts)
+    running, at, text = running_events(texts)
+    seen, _, which = running_hashes(running, at)
+    value = _find(keys, values, seen, np.float32(0))[which]
+    signed = np.bincount(text, value, n) / (np.bincount(text, minlength=n) + PRIOR_EVENTS)
     distinct, at, bounds = words(texts)
     codes, word = events(distinct.to_pylist())
     value = np.bincount(word, _find(keys, values, code_hash(codes), np.float32(0)), len(distinct))
-    value = np.maximum(value - MARGIN, 0)
     doc, at = in_documents(at, bounds, len(distinct))
-    n = len(bounds) - 1
-    return np.bincount(doc, value[at], n) / (np.bincount(doc, minlength=n) + PRIOR_WORDS)
+    above = np.bincount(doc, np.maximum(value - MARGIN, 0)[at], n) / (np.bincount(doc, minlength=n) + PRIOR_WORDS)
+    return np.stack([signed, above], axis=1)
 
 
 def event_names(codes: np.ndarray) -> pa.Array:
@@ -156,7 +204,7 @@ class Tables:
 
     events: DataFrame | None = None
     contexts: DataFrame | None = None
-    curve: tuple[float, float] = field(default=(0.0, -50.0))
+    curve: tuple[float, float, float] = field(default=(0.0, 0.0, -50.0))
 
     def valued(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (event and other columns) with the values that are not 0."""
@@ -176,8 +224,10 @@ class Tables:
         return text_statistics(texts, keys, values)
 
     def scores(self, statistics: np.ndarray) -> np.ndarray:
-        a, b = self.curve
-        return 1.0 / (1.0 + np.exp(-np.clip(a * statistics + b, -60, 60)))
+        return 1.0 / (1.0 + np.exp(-np.clip(self.evidence(statistics) + self.curve[2], -60, 60)))
+
+    def evidence(self, statistics: np.ndarray) -> np.ndarray:
+        return self.curve[0] * statistics[:, 0] + self.curve[1] * statistics[:, 1]
 
 
 def _by_hash(tables: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +268,8 @@ def estimate(codes: np.ndarray, counts: np.ndarray) -> Model:
     below = None
     for group, rows, n in reversed(shared):
         if rows.shape[1] == 1:
-            below = (n + 0.5) / (n + 0.5).sum()
+            kind = (rows[:, 0] >= RUNNING).astype(int)
+            below = (n + 0.5) / np.bincount(kind, n + 0.5)[kind]
         else:
             d = _discount(n)
             _, _, context = _groups(rows[:, :-1])
@@ -242,23 +293,30 @@ def estimate(codes: np.ndarray, counts: np.ndarray) -> Model:
                  (back[1] - back[0]).astype(np.float32))
 
 
-def fit_curve(z: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on one statistic given per bin, by Newton steps with
-    a weak pull towards zero slope."""
-    a, b = 0.0, float(np.log((toxic.sum() + 0.5) / (ordinary.sum() + 0.5)))
+def fit_curve(z: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[float, float, float]:
+    """Logistic regression on two statistics given per bin (n, 2), by Newton steps
+    with a weak pull towards zero weights; a weight below zero is left at zero."""
     n = toxic + ordinary
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-        w = n * p * (1 - p) + 1e-12
-        ga, gb = (z * (toxic - n * p)).sum() - 1e-4 * a, (toxic - n * p).sum()
-        haa, hab, hbb = (w * z * z).sum() + 1e-4, (w * z).sum(), w.sum()
-        det = haa * hbb - hab * hab
-        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        size = max(1.0, abs(da) / 50, abs(db) / 10)
-        a, b = a + da / size, b + db / size
-        if abs(da) + abs(db) < 1e-9:
+    mean = (n[:, None] * z).sum(axis=0) / n.sum()
+    spread = np.sqrt((n[:, None] * (z - mean) ** 2).sum(axis=0) / n.sum())
+    used = [i for i in range(2) if spread[i] > 0]
+    while True:
+        x = np.column_stack([z[:, used] / spread[used], np.ones(len(z))])
+        pull = np.diag([1e-3] * len(used) + [1e-9])
+        w = np.zeros(len(used) + 1)
+        w[-1] = np.log((toxic.sum() + 0.5) / (ordinary.sum() + 0.5))
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
+            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + pull, x.T @ (toxic - n * p) - pull @ w)
+            w = w + step / max(1.0, np.abs(step).max() / 2)
+            if np.abs(step).max() < 1e-9:
+                break
+        if (w[:-1] >= 0).all():
             break
-    return a, b
+        used.pop(int(np.argmin(w[:-1])))
+    weights = np.zeros(2)
+    weights[used] = w[:-1] / spread[used]
+    return float(weights[0]), float(weights[1]), float(w[-1])
 
 
 def _table_discount(df: DataFrame, *columns: str) -> list[float]:
@@ -276,7 +334,9 @@ def estimate_tables(counted: DataFrame) -> Tables:
     for order in range(ORDER - 1, 0, -1):
         rows = stage(rows.groupBy(F.substring(name, 2, order).alias("gram")).agg(F.count("*").alias("n")), "toxicity-order")
         shared[order], name = rows, "gram"
-    size = shared[1].agg(F.sum(F.col("n") + 0.5)).first()[0]
+    running = F.col("gram") >= chr(RUNNING)
+    sizes = shared[1].agg(*(F.sum(F.when(kind, F.col("n") + 0.5)) for kind in (running, ~running))).first()
+    size = F.when(running, F.lit(sizes[0])).otherwise(F.lit(sizes[1]))
     below = shared[1].select(F.col("gram").alias("suffix"), ((F.col("n") + 0.5) / size).alias("below"))
     for order in range(2, ORDER):
         (d,) = _table_discount(shared[order], "n")
@@ -306,7 +366,7 @@ def count_table(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 codes, n = count_events(part.column("text"), part.column("toxic").to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([event_names(codes), pa.array(n[:, 0]), pa.array(n[:, 1])],
                                                  names=["event", "ordinary", "toxic"])
@@ -329,18 +389,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Tables:
         return Tables()
     model = estimate_tables(counted)
 
-    low, high = BIN_RANGE
-    place = F.floor((F.col("statistic") - low) / (high - low) * BINS).cast("int")
     # only numbers meet the labels here
-    held = (statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model)
-            .join(marks.hint("merge"), "doc_id")
-            .groupBy(F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place)).alias("bin"))
-            .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toArrow())  # BINS rows at most
-    toxic, n = (held.column(c).to_numpy().astype(float) for c in ("toxic", "n"))
+    scaled = [F.asinh(F.col(c) / SCALE) for c in STATISTICS]
+    held = stage(statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model)
+                 .join(marks.hint("merge"), "doc_id").select("toxic", *(c.alias(n) for n, c in zip(STATISTICS, scaled))),
+                 "toxicity-held")
+    ends = held.agg(*(f(c) for c in STATISTICS for f in (F.min, F.max))).first()
+    if ends[0] is None:
+        return model
+    low, high = np.array(ends[::2]), np.array(ends[1::2])
+    width = np.maximum(high - low, 1e-9) / BINS
+    place = [F.least(F.lit(BINS - 1), F.floor((F.col(c) - float(a)) / float(d)).cast("int")).alias(c)
+             for c, a, d in zip(STATISTICS, low, width)]
+    bins = (held.groupBy(*place).agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
+            .orderBy(*STATISTICS).toArrow())  # BINS * BINS rows at most
+    toxic, n = (bins.column(c).to_numpy().astype(float) for c in ("toxic", "n"))
     if toxic.sum() and (n - toxic).sum():
-        z = low + (held.column("bin").to_numpy() + 0.5) * (high - low) / BINS
-        order = np.argsort(z)
-        model.curve = fit_curve(z[order], toxic[order], (n - toxic)[order])
+        at = np.stack([bins.column(c).to_numpy() for c in STATISTICS], axis=1)
+        model.curve = fit_curve(SCALE * np.sinh(low + (at + 0.5 * (high > low)) * width), toxic, n - toxic)
     return model
 
 
@@ -384,7 +450,7 @@ def by_chunk(batch: pa.RecordBatch, chunk: str) -> Iterator[tuple[pa.RecordBatch
     keys = batch.column(chunk).to_numpy(zero_copy_only=False)
     cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
     for a, b in zip(cuts, cuts[1:]):
-        for part in slices(batch.slice(a, b - a), "text"):
+        for part in slices(batch.slice(a, b - a), "text", SLICE):
             yield part, int(keys[a])
 
 
@@ -407,23 +473,25 @@ def _measured(docs: DataFrame, model: Tables, answer, schema, columns: list | No
 
 
 def statistics_of(docs: DataFrame, model: Tables) -> DataFrame:
-    """doc_id and statistic of every document."""
+    """doc_id and both statistics of every document."""
     return _measured(docs, model, lambda part, z: pa.RecordBatch.from_arrays(
-        [part.column("doc_id"), pa.array(z)], names=["doc_id", "statistic"]), "doc_id long, statistic double",
-        [F.col("doc_id").cast("long"), F.col("text").cast("string")])
+        [part.column("doc_id"), *map(pa.array, z.T.copy())], names=["doc_id", *STATISTICS]),
+        "doc_id long, signed double, above double", [F.col("doc_id").cast("long"), F.col("text").cast("string")])
 
 
 def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
-    """doc_id, held_out, statistic, score and predicted for every document."""
-    a, b = model.curve
-    raised = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), a * F.col("statistic") + b))
-    return statistics_of(docs, model).withColumn("score", 1 / (1 + F.exp(-raised))).select(
-        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    """doc_id, held_out, statistic (the weighted sum of both), score and
+    predicted for every document."""
+    bare = Tables(curve=model.curve)
+    scored = _measured(docs, model, lambda part, z: pa.RecordBatch.from_arrays(
+        [part.column("doc_id"), pa.array(bare.evidence(z)), pa.array(bare.scores(z))], names=["doc_id", "statistic", "score"]),
+        "doc_id long, statistic double, score double", [F.col("doc_id").cast("long"), F.col("text").cast("string")])
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not call toxic, all columns."""
     model = train(docs, labels)
-    a, b = model.curve
-    return _measured(docs, model, lambda part, z: part.filter(pa.array(Tables(curve=(a, b)).scores(z) < 0.5)), docs.schema)
+    bare = Tables(curve=model.curve)
+    return _measured(docs, model, lambda part, z: part.filter(pa.array(bare.scores(z) < 0.5)), docs.schema)

@@ -87,7 +87,27 @@ def test_toxicity_of_chunks_is_that_of_texts(spark, tmp, monkeypatch):
     want = model.statistics(pa.array([t for _, t, _ in rows]))
     monkeypatch.setattr(toxicity, "CHUNK_ROWS", 7)
     got = {r.doc_id: r.statistic for r in toxicity.score_documents(data.on_disk(docs, f"{tmp}/chunks"), model).collect()}
-    assert [got[i] for i, _, _ in rows] == pytest.approx(want.tolist())
+    assert [got[i] for i, _, _ in rows] == pytest.approx(model.evidence(want).tolist())
+
+
+@pytest.mark.parametrize("kind", ["phrases", "words"])
+def test_toxicity_without_insults(spark, kind):
+    """Toxic texts are known by phrases of ordinary words, or by ordinary words that they use more often."""
+    rng = random.Random(5)
+    plain = sorted({_word(rng) for _ in range(60)})
+    rows, labels = [], []
+    for i in range(900):
+        toxic = int(i % 3 == 0)
+        some = plain[:6] if toxic and kind == "words" else []
+        words = [rng.choice(some if some and rng.random() < 0.2 else plain) for _ in range(120)]
+        if kind == "phrases":  # both words stand in all texts, side by side in toxic ones
+            for _ in range(6):
+                words[rng.randrange(60):0] = ["solpe", "vinmi"] if toxic else ["solpe", rng.choice(plain), "vinmi"]
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, 1, toxic))
+    model = toxicity.train(data.documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held = [r for r in toxicity.score_documents(data.documents(spark, rows), model).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in held) >= 0.95 * len(held)
 
 
 def test_toxicity_edge_rows(spark):
