@@ -8,8 +8,12 @@ numbered among equal ones so that repeated passages keep their weight; likeness
 is the Jaccard estimate that two sketches give. ``anchors`` returns the chosen
 k-mers with their places, and ``offset_votes`` matches two documents by place.
 
-Edge cases: a text too short to hold several k-mers has all its s-mers as
-anchors, one shorter than s itself; an empty or null text has the empty fingerprint, which is like another empty one (1.0) and
+Texts of every length have anchors of this one kind: a fingerprint's k-mers run
+over the text with ``K - 1`` marks before and behind it, so that the shortest
+text has some too. Of them the first and the last are always chosen, and any
+seven that follow each other hold a closed syncmer.
+
+Edge cases: an empty or null text has the empty fingerprint, which is like another empty one (1.0) and
 unlike any other (0.0); repeated rows follow each other in doc_id, then text
 order, nulls first; a single row is its own neighbour; an empty table gives no
 row. Other input columns are ignored.
@@ -30,7 +34,7 @@ S = 5
 WINDOW = 8            # inner s-mers of a k-mer; two of them are edges
 K = S + WINDOW - 1
 SKETCH = 128
-SHORT = 4 * K         # code points below which a text's s-mers are its anchors
+EDGE = "\U0010ffff" * (K - 1)   # before and behind a text; no character
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 _HASH = np.uint64((1 << 48) - 1)
@@ -94,27 +98,17 @@ def sketches(texts: list[str], size: int = SKETCH) -> list[np.ndarray]:
     """The ``size`` smallest anchors of each text, ascending (32 bits each)."""
     if len(texts) > 1 << 16:
         return sketches(texts[:1 << 16], size) + sketches(texts[1 << 16:], size)
-    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    full = [i for i, t in enumerate(texts) if t]  # an empty text has no anchors
+    ends = np.cumsum([len(EDGE) + len(texts[i]) for i in full], dtype=np.int64)
+    # no k-mer reaches over the marks between two texts; one belongs to the text that it starts before or in
+    codes = np.frombuffer("".join([*(EDGE + texts[i] for i in full), EDGE]).encode("utf-32-le"), "<u4")
     at, h = closed_syncmers(codes)
-    text = np.searchsorted(ends, at, "right")
-    inside = at + K <= ends[text]  # not across two texts
+    text = np.array(full, np.uint64)[np.searchsorted(ends, at, "right")]
     # the text's number above 48 bits of the hash: one sort groups and orders
-    keys = np.sort((text[inside].astype(np.uint64) << np.uint64(48)) | (h[inside] >> np.uint64(16)))
+    keys = np.sort((text << np.uint64(48)) | (h >> np.uint64(16)))
     keys = np.sort((keys >> np.uint64(48) << np.uint64(32)) | _numbered(keys))
-    bounds = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
-    out = []
-    for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
-        own = keys[a:min(b, a + size)].astype(np.uint32)
-        out.append(own if len(texts[i]) >= SHORT else _short(texts[i], size))
-    return out
-
-
-def _short(text: str, size: int) -> np.ndarray:
-    """The sketch of a text with hardly any k-mers: all its s-mers, or itself."""
-    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
-    h = mix(_grams(codes, min(S, len(codes)))) if len(codes) else codes
-    return np.sort(_numbered(np.sort(h & _HASH)).astype(np.uint32))[:size]
+    bounds = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+    return [keys[a:min(b, a + size)].astype(np.uint32) for a, b in zip(bounds, bounds[1:])]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:

@@ -197,6 +197,23 @@ def test_fingerprints_of_edge_rows(spark):
     assert syncmers.fingerprint_documents(data.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("n", [4, 11, 12, 13, 24, 47, 48, 49, 63])
+def test_near_copies_of_any_length_share_anchors(n):
+    text = data.LONG[3000:3000 + n]
+    more, other = syncmers.sketches([text + "x", "Zq" + data.COMMON[n:2 * n] + "#"])
+    (own,), (again,) = syncmers.sketches([text]), syncmers.sketches([text])
+    assert own.tolist() == again.tolist()
+    assert syncmers.likeness(own, more) > (0.3 if n >= 24 else 0) and syncmers.likeness(own, other) == 0.0
+
+
+@pytest.mark.parametrize("n", [48, 55, 63])
+def test_a_text_cut_short_stays_like_itself(spark, n):
+    """The next text is empty, so the edited one is shorter by a quarter."""
+    text = data.LONG[3000:3000 + n]
+    rows = syncmers.fingerprint_documents(data.documents(spark, [(1, text, "s"), (2, "", "s")])).collect()
+    assert next(r.near_edited for r in rows if r.doc_id == 1) > 0.3
+
+
 def test_a_single_document_follows_itself(spark):
     r = syncmers.fingerprint_documents(data.documents(spark, [(4, data.COMMON, "s")])).first()
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(syncmers.edited(data.COMMON, data.COMMON).encode()).hexdigest()
