@@ -11,11 +11,11 @@ A named family must then be confirmed: the paragraph shares enough word pairs
 with one of the family's notices. What is licence-like but falls below the
 threshold, or is not confirmed, is ``unknown``.
 
-Only paragraphs with a word that tells a notice from the background can reach
-that confirmation, so all others are ``none`` without being scored; every
-paragraph of every text passes that test. All of it is DataFrame work (the
-regression is Spark ML's); the weights, notices and cue words are bounded by the
-notice list and the sample.
+Every window of every paragraph is scored, row by row with Spark ML's models and
+without a shuffle; no word test comes before. Only windows that the regression
+takes for licences are kept for the comparison with the notices. All of it is
+DataFrame work; the weights, notices and cue words are bounded by the notice list
+and the sample.
 
 Edge cases: null and empty texts are ``none``; repeated rows give a row each;
 ties go to the first paragraph; an empty table gives no row; other input columns
@@ -26,8 +26,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from squall.llm.common import placed, stage
@@ -70,15 +71,14 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Scan:
-    """Trained tables: weights (gram, one column per class), intercepts,
-    temperature, least probability, notice pairs and cue words."""
+    """Trained models (grams to features to class logits), temperature, least
+    probability and notice pairs."""
 
-    weights: DataFrame
-    intercepts: list[float]
+    vocabulary: CountVectorizerModel
+    model: LogisticRegressionModel
     temperature: float
     threshold: float
     notices: DataFrame
-    cues: list[str]
 
 
 def _notices(spark: SparkSession) -> DataFrame:
@@ -128,16 +128,10 @@ def train(docs: DataFrame) -> Scan:
     model = LogisticRegression(regParam=0.002, maxIter=40, family="multinomial", standardization=False).fit(
         vocabulary.transform(fitted).select("label", "features"))
     held = vocabulary.transform(data.where(F.col("variant") >= VARIANTS * 3 // 4))
-    matrix = model.coefficientMatrix.toArray()
-    present = model.numClasses  # classes of the examples; labels are their numbers
-    rows = [(g, [float(matrix[c, i]) if c < present else 0.0 for c in range(len(CLASSES))])
-            for i, g in enumerate(vocabulary.vocabulary)]
-    weights = spark.createDataFrame(rows, "gram string, w array<double>").coalesce(1)
-    intercepts = [float(x) for x in model.interceptVector.toArray()] + [-30.0] * (len(CLASSES) - present)
     temperature, threshold = _calibrate(spark, model, held)
     table = stage(notices.select("notice", "family", F.explode(pairs(F.col("words"))).alias("gram"),
                                  F.size(pairs(F.col("words"))).alias("n")), "licence-pairs")
-    return Scan(stage(weights, "licence-weights"), intercepts, temperature, threshold, table, cues)
+    return Scan(vocabulary, model, temperature, threshold, table)
 
 
 def _like_notice(words: Column, cues: list[str]) -> Column:
@@ -148,7 +142,6 @@ def _like_notice(words: Column, cues: list[str]) -> Column:
 def _calibrate(spark: SparkSession, model, held: DataFrame) -> tuple[float, float]:
     """Temperature with the least held-out loss, and the probability that so
     many held-out paragraphs of no family stay below."""
-    from pyspark.ml.functions import vector_to_array
     scored = stage(model.transform(held).select("label", vector_to_array("rawPrediction").alias("z")), "licence-held")
     grid = [0.5, 0.7, 1.0, 1.4, 2.0, 2.8]
     losses = scored.agg(*(F.avg(-F.log(F.element_at(_softmax("z", t), (F.col("label") + 1).cast("int")) + 1e-300))
@@ -160,34 +153,40 @@ def _calibrate(spark: SparkSession, model, held: DataFrame) -> tuple[float, floa
     return grid[best], min(max(bound or 0.0, 1.0 / len(CLASSES)), 0.5)
 
 
-def _softmax(column: str, temperature: float) -> Column:
+def _softmax(column: str | Column, temperature: float) -> Column:
     e = F.transform(column, lambda x: F.exp((x - F.array_max(column)) / temperature))
     return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
 
 
-def candidates(docs: DataFrame, scan: Scan) -> DataFrame:
-    """Windows of the paragraphs that hold a cue word, with their grams."""
-    cue = F.array(*map(F.lit, scan.cues)).cast("array<string>")
-    found = (paragraphs(docs).withColumn("words", tokens(F.col("line")))
-             .where(F.arrays_overlap("words", cue)).drop("line"))
+def windows_of(docs: DataFrame) -> DataFrame:
+    """All windows of all paragraphs that hold words."""
+    found = paragraphs(docs).withColumn("words", tokens(F.col("line"))).drop("line").where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (WINDOW - STEP), F.lit(1)), F.lit(STEP))
-    windows = found.withColumn("start", F.explode(starts)).withColumn("words", F.slice("words", F.col("start"), WINDOW))
-    return windows.where(F.arrays_overlap("words", cue)).select("row", "doc_id", "paragraph", "start", "words")
+    windows = found.withColumn("start", F.explode(starts))
+    return windows.select("row", "doc_id", "paragraph", "start", F.slice("words", F.col("start"), WINDOW).alias("words"))
+
+
+def candidates(docs: DataFrame, scan: Scan) -> DataFrame:
+    """The windows that are licences more likely than not, with the class
+    probabilities ``p``."""
+    windows = windows_of(docs).withColumn("grams", grams(F.col("words")))
+    missing = F.array_repeat(F.lit(-30.0), len(CLASSES) - scan.model.numClasses)  # classes without examples
+    scored = scan.model.transform(scan.vocabulary.transform(windows))
+    z = scored.select("row", "doc_id", "paragraph", "start", "words",
+                      F.concat(vector_to_array("rawPrediction"), missing).alias("z"))
+    # bound in a lambda, so that the models run once for a window and not once for each use of z
+    p = F.element_at(F.transform(F.array("z"), lambda x: _softmax(x, scan.temperature)), 1)
+    return z.withColumn("p", p).drop("z").where(F.element_at("p", 1) < 1 - LIKELY)
 
 
 def scan_paragraphs(docs: DataFrame, scan: Scan) -> DataFrame:
     """Licence-like paragraphs: row, doc_id, paragraph, family, probability, similarity."""
     key = ["row", "doc_id", "paragraph", "start"]
     windows = stage(candidates(docs, scan), "licence-candidates")
-    each = windows.select(*key, F.explode(grams(F.col("words"))).alias("gram"))
-    sums = [F.sum(F.element_at("w", i + 1)).alias(f"z{i}") for i in range(len(CLASSES))]
-    # weights and notices are bounded by FEATURES and the notice list
-    logits = each.join(F.broadcast(scan.weights), "gram").groupBy(*key).agg(*sums)
-    z = F.array(*(F.col(f"z{i}") + F.lit(b) for i, b in enumerate(scan.intercepts)))
-    p = logits.select(*key, z.alias("z")).select(*key, _softmax("z", scan.temperature).alias("p"))
+    p = windows.select(*key, "p")
     names = F.array(*map(F.lit, CLASSES[2:]))
     families = F.slice("p", 3, len(CLASSES) - 2)
-    p = p.select(*key, F.element_at("p", 1).alias("none"), F.array_max(families).alias("probability"),
+    p = p.select(*key, F.array_max(families).alias("probability"),
                  F.element_at(names, F.array_position(families, F.array_max(families)).cast("int")).alias("named"))
     shared = windows.select(*key, F.explode(pairs(F.col("words"))).alias("gram"), F.size(pairs(F.col("words"))).alias("own"))
     shared = (shared.join(F.broadcast(scan.notices), "gram").groupBy(*key, "notice", "family")
@@ -195,7 +194,6 @@ def scan_paragraphs(docs: DataFrame, scan: Scan) -> DataFrame:
     least = F.least("n", F.greatest("own", F.least("n", F.lit(4))))
     shared = shared.groupBy(*key, F.col("family").alias("named")).agg(F.max(F.col("both") / least).alias("similarity"))
     scored = p.join(shared, [*key, "named"], "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
-    scored = scored.where(F.col("none") < 1 - LIKELY)
     sure = (F.col("probability") >= scan.threshold) & (F.col("similarity") >= CONFIRMED)
     scored = scored.withColumn("family", F.when(sure, F.col("named")).otherwise("unknown"))
     best = F.max(F.struct((F.col("family") != "unknown").alias("sure"), "probability", "similarity", (-F.col("start")).alias("first"),

@@ -153,6 +153,18 @@ def test_licence_families(spark, tmp):
     assert licenses.scan_documents(data.empty(spark), scan).count() == 0
 
 
+def test_notices_of_common_words_are_found(spark, tmp):
+    """Words that a notice is made of may be common in the corpus."""
+    rng = random.Random(9)
+    common = "all rights reserved licensed license licence copyright public domain work apache version under released mit".split()
+    filler = lambda n: " ".join(rng.choice(common) if rng.random() < 0.05 else _word(rng) for _ in range(n))
+    rows = [(i, "\n".join(filler(25) for _ in range(12)), "s") for i in range(250)]
+    rows += [(1000 + i, "\n".join([filler(25), line, filler(25)]), "s") for i, line in enumerate(LINES.values())]
+    got = {r.doc_id: r.license for r in licenses.scan_documents(data.on_disk(data.documents(spark, rows), f"{tmp}/common")).collect()}
+    assert [got[1000 + i] for i in range(len(LINES))] == list(LINES)
+    assert sum(got[i] == "none" for i in range(250)) >= 240
+
+
 def _plain_top(rows, every=100, k=10):
     ok = [(n, i, [int(np.floor(1024 * float(x))) for x in e]) for n, (i, e) in enumerate(rows)
           if e is not None and all(x is not None and np.isfinite(x) for x in e)]
