@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import licenses, mixing, packing, pivots, repair, shards, simhash, syncmers, toxicity, warc
+from squall.llm import (audit, licenses, mixing, packing, pivots, repair, rules, shards, simhash, syncmers, toxicity, trie,
+                        warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,22 @@ def op10_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations with shared starts."""
+    return trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, in every order."""
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return rules.score_documents(docs, rules.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_repair_tokens": op2_repair_tokens,
@@ -86,10 +103,15 @@ QUERIES = {
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op9_pivot_index": op9_pivot_index,
     "op10_hypergeometric_mixing": op10_hypergeometric_mixing,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_rule_quality": op13_rule_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op3_warc_reader": ORACLE_OP3,
     "op9_pivot_index": pivots.ORACLE,
     "op10_hypergeometric_mixing": mixing.ORACLE,
+    "op11_conversation_trie": trie.ORACLE,
+    "op12_filter_audit": audit.ORACLE,
 }
