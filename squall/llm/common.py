@@ -72,7 +72,15 @@ def stage(df: DataFrame, prefix: str) -> DataFrame:
     and fixes values that later steps read more than once."""
     path = scratch(df.sparkSession, prefix)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.staged_at = path
+    return written
+
+
+def release(spark: SparkSession, *written: DataFrame | str) -> None:
+    """Remove staged tables or scratch folders that nothing reads any more."""
+    for table in written:
+        _remove(spark, table if isinstance(table, str) else table.staged_at)
 
 
 def placed(df: DataFrame) -> tuple[DataFrame, Column]:

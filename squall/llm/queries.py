@@ -55,9 +55,7 @@ def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
-    docs = _table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model)
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:

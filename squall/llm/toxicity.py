@@ -43,12 +43,12 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, functions as F
 
-from squall.llm.common import folder_files, placed, scratch, ship, slices, stage, strings
+from squall.llm.common import folder_files, placed, release, scratch, ship, slices, stage, strings
 
 ORDER = 5
 CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
 CHUNK_FILES = 8        # hashed parts of a chunk's events, so that tasks write alike
-SLICE = 4 << 20        # bytes of text handled at once; an event takes some fifty
+SLICE = 1 << 20        # bytes of text handled at once; an event takes some fifty
 FOLDS = 5
 CALIBRATION_FOLD = 1   # training rows kept from the counts and used for the curve
 PRIOR_WORDS = 30.0     # added to a document's length
@@ -205,6 +205,7 @@ class Tables:
     events: DataFrame | None = None
     contexts: DataFrame | None = None
     curve: tuple[float, float, float] = field(default=(0.0, 0.0, -50.0))
+    folders: list[str] = field(default_factory=list)  # values looked up for texts
 
     def valued(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (event and other columns) with the values that are not 0."""
@@ -357,7 +358,9 @@ def estimate_tables(counted: DataFrame) -> Tables:
     log = {c: F.log(F.greatest(F.col(c) - d, F.lit(0.0)) / F.greatest(F.col(f"{c}_total"), F.lit(1))
                     + F.col(f"{c}_share") * F.col("below")) for c, d in discounts.items()}
     events = rows.join(context, "context").join(below, "suffix").select("event", (log["toxic"] - log["ordinary"]).cast("float").alias("value"))
-    return Tables(stage(events, "toxicity-events"), context.select(
+    values = stage(events, "toxicity-events")
+    release(counted.sparkSession, *shared.values())
+    return Tables(values, context.select(
         "context", (F.log("toxic_share") - F.log("ordinary_share")).cast("float").alias("value")))
 
 
@@ -375,28 +378,36 @@ def count_table(texts: DataFrame) -> DataFrame:
                  .groupBy("event").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "toxicity-counts")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Tables:
-    """Fit on the labelled rows whose fold is not 0."""
+def marked(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of the labelled rows whose fold is not 0."""
+    return (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+            .where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
+            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+
+
+def count_models(docs: DataFrame, labels: DataFrame) -> Tables:
+    """Both models from the labelled rows that are neither held out nor kept for the curve."""
     ship(docs.sparkSession)
-    marks = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-             .where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     # labels grow with the corpus, so the join is a shuffle at every size
     texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .where(~fold(F.col("doc_id")).isin(0, CALIBRATION_FOLD)).join(marks.hint("merge"), "doc_id"))
+             .where(~fold(F.col("doc_id")).isin(0, CALIBRATION_FOLD)).join(marked(labels).hint("merge"), "doc_id"))
     counted = count_table(texts.select("text", "toxic"))
     if not all(counted.agg(F.sum("ordinary"), F.sum("toxic")).first()):
         return Tables()
     model = estimate_tables(counted)
+    release(docs.sparkSession, counted)
+    return model
 
+
+def calibrate(model: Tables, measured: DataFrame, labels: DataFrame) -> None:
+    """Fit the model's curve on the statistics of the rows kept for it."""
     # only numbers meet the labels here
     scaled = [F.asinh(F.col(c) / SCALE) for c in STATISTICS]
-    held = stage(statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model)
-                 .join(marks.hint("merge"), "doc_id").select("toxic", *(c.alias(n) for n, c in zip(STATISTICS, scaled))),
-                 "toxicity-held")
+    held = stage(measured.where(fold(F.col("doc_id")) == CALIBRATION_FOLD).join(marked(labels).hint("merge"), "doc_id")
+                 .select("toxic", *(c.alias(n) for n, c in zip(STATISTICS, scaled))), "toxicity-held")
     ends = held.agg(*(f(c) for c in STATISTICS for f in (F.min, F.max))).first()
     if ends[0] is None:
-        return model
+        return
     low, high = np.array(ends[::2]), np.array(ends[1::2])
     width = np.maximum(high - low, 1e-9) / BINS
     place = [F.least(F.lit(BINS - 1), F.floor((F.col(c) - float(a)) / float(d)).cast("int")).alias(c)
@@ -407,6 +418,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Tables:
     if toxic.sum() and (n - toxic).sum():
         at = np.stack([bins.column(c).to_numpy() for c in STATISTICS], axis=1)
         model.curve = fit_curve(SCALE * np.sinh(low + (at + 0.5 * (high > low)) * width), toxic, n - toxic)
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Tables:
+    """Models and curve, fitted on the labelled rows whose fold is not 0."""
+    model = count_models(docs, labels)
+    if model.events is not None:
+        calibrate(model, statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model), labels)
+        release(docs.sparkSession, *model.folders)
     return model
 
 
@@ -459,6 +478,7 @@ def _measured(docs: DataFrame, model: Tables, answer, schema, columns: list | No
     ship(docs.sparkSession)
     docs, chunk = with_chunks(docs)
     folder = look_up(docs, chunk, model) if model.events is not None else None
+    model.folders += [folder] if folder else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, values = None, _by_hash([])
@@ -479,15 +499,31 @@ def statistics_of(docs: DataFrame, model: Tables) -> DataFrame:
         "doc_id long, signed double, above double", [F.col("doc_id").cast("long"), F.col("text").cast("string")])
 
 
-def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
+def scored(measured: DataFrame, model: Tables) -> DataFrame:
     """doc_id, held_out, statistic (the weighted sum of both), score and
-    predicted for every document."""
-    bare = Tables(curve=model.curve)
-    scored = _measured(docs, model, lambda part, z: pa.RecordBatch.from_arrays(
-        [part.column("doc_id"), pa.array(bare.evidence(z)), pa.array(bare.scores(z))], names=["doc_id", "statistic", "score"]),
-        "doc_id long, statistic double, score double", [F.col("doc_id").cast("long"), F.col("text").cast("string")])
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "statistic", "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    predicted from doc_id and both statistics."""
+    signed, above, constant = model.curve
+    statistic = signed * F.col(STATISTICS[0]) + above * F.col(STATISTICS[1])
+    z = F.greatest(F.least(statistic + constant, F.lit(60.0)), F.lit(-60.0))
+    return measured.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), statistic.alias("statistic"),
+                           (1 / (1 + F.exp(-z))).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
+    """``scored`` for every document, with a model and its curve."""
+    return scored(statistics_of(docs, model), model)
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``scored`` for every document, with models and a curve from its own labelled
+    rows: all texts are measured once, those kept for the curve among them."""
+    model = count_models(docs, labels)
+    measured = statistics_of(docs, model)
+    if model.events is not None:
+        measured = stage(measured, "toxicity-statistics")
+        release(docs.sparkSession, *model.folders)
+        calibrate(model, measured, labels)
+    return scored(measured, model)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
