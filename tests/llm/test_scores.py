@@ -165,6 +165,54 @@ def test_notices_of_common_words_are_found(spark, tmp):
     assert sum(got[i] == "none" for i in range(250)) >= 240
 
 
+@pytest.mark.parametrize("share", [0.002, 0.01, 0.03, 0.09])
+def test_licences_are_found_however_common_they_are(spark, tmp, share):
+    """Notice lines with differing names, as so many of all lines."""
+    rng = random.Random(11)
+    forms = {"mit": "Copyright {0} Firm{1}. Released under the MIT License.",
+             "apache": "Firm{1} {0}: Licensed under the Apache License, Version 2.0.",
+             "proprietary": "Copyright {0} Firm{1}. All rights reserved."}
+    docs, lines = 600, 12
+    rows, want = [], {}
+    for i in range(docs):
+        some = [" ".join(_word(rng) for _ in range(25)) for _ in range(lines)]
+        if rng.random() < share * lines:
+            want[i] = sorted(forms)[i % 3]
+            some.insert(rng.randrange(lines), forms[want[i]].format(1990 + i % 30, i))
+        rows.append((i, "\n".join(some), "s"))
+    got = {r.doc_id: r.license for r in licenses.scan_documents(data.on_disk(data.documents(spark, rows), f"{tmp}/share")).collect()}
+    assert want and {i: got[i] for i in want} == want
+    assert sum(got[i] != "none" for i in got if i not in want) <= 0.02 * docs
+
+
+def test_bound_drops_no_candidate(spark, tmp, monkeypatch):
+    """Scoring all windows, and by hand, finds what scoring those within the bound finds."""
+    rng = random.Random(12)
+    notices = [t for texts in licenses.NOTICES.values() for t in texts]
+    vocabulary = [w for t in notices for w in t.split()]
+    rows = [(i, "\n".join(" ".join(rng.choice(vocabulary) if rng.random() < 0.3 else _word(rng) for _ in range(rng.randrange(0, 70)))
+                          for _ in range(6)), "s") for i in range(120)]
+    rows += [(1000 + i, t, "s") for i, t in enumerate(notices)]
+    docs = data.on_disk(data.documents(spark, rows), f"{tmp}/bound")
+    scan = licenses.train(docs)
+    key = lambda df: {(r.doc_id, r.paragraph, r.start): list(r.p) for r in df.collect()}
+    got = key(licenses.candidates(docs, scan))
+    weights, start = scan.model.coefficientMatrix.toArray(), scan.model.interceptVector.toArray()
+    place = {g: i for i, g in enumerate(scan.vocabulary.vocabulary)}
+    want, windows = {}, licenses.windows_of(docs).collect()
+    for r in windows:
+        seen = {place[g] for g in {*r.words, *(f"{a} {b}" for a, b in zip(r.words, r.words[1:]))} if g in place}
+        z = np.array([start[c] + weights[c, sorted(seen)].sum() for c in range(len(start))]) / scan.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        if r.words and p[0] < 1 - licenses.LIKELY:
+            want[r.doc_id, r.paragraph, r.start] = p.tolist()
+    assert set(got) == set(want) and len(want) > len(notices) // 2
+    assert all(got[k][:len(want[k])] == pytest.approx(want[k], abs=1e-6) for k in want)
+    assert licenses.windows_of(docs).where(licenses.bound(scan)).count() < len(windows)
+    monkeypatch.setattr(licenses, "SLOTS_OF_GRAMS", 16)  # every slot shared
+    assert set(key(licenses.candidates(docs, scan))) == set(want)
+
+
 def _plain_top(rows, every=100, k=10):
     ok = [(n, i, [int(np.floor(1024 * float(x))) for x in e]) for n, (i, e) in enumerate(rows)
           if e is not None and all(x is not None and np.isfinite(x) for x in e)]
@@ -295,7 +343,7 @@ def test_mixture_edges(spark, tmp):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_against_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data.SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, data.SF)
     got = Counter(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
@@ -305,10 +353,10 @@ def test_queries_against_their_sql(spark, name):
     assert sorted(cols) == sorted(df.columns) and got == want
 
 
-def test_all_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     import __spark_entry__ as E
     names = E.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 def test_native_queries_run_no_python(spark):
