@@ -91,12 +91,24 @@ def placed(df: DataFrame) -> tuple[DataFrame, Column]:
     read straight from Parquet is written to the shared folder first. Use it
     together with a key of the row where all rows of a corpus meet.
     """
-    mark = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     try:
-        df.select(mark)
+        return df, _row_mark(df)
     except AnalysisException:
         df = stage(df, "input")
-    return df, mark
+        return df, _row_mark(df)
+
+
+def file_place(df: DataFrame) -> tuple[Column, Column]:
+    """The file of each row of a frame read from Parquet, and the row's index in
+    it; a column of the table that is called ``_metadata`` as well is not touched."""
+    hidden = df.metadataColumn("_metadata")
+    return hidden["file_path"], hidden["row_index"]
+
+
+def _row_mark(df: DataFrame) -> Column:
+    mark = F.xxhash64(*file_place(df))
+    df.select(mark)  # fails if there is no file behind
+    return mark
 
 
 def task_file(folder: str, suffix: str, pid: int, seq: int, token: str) -> str:

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, functions as F
 
-from squall.llm.common import folder_files, placed, release, scratch, ship, slices, stage, strings
+from squall.llm.common import file_place, folder_files, placed, release, scratch, ship, slices, stage, strings
 
 ORDER = 5
 CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
@@ -436,7 +436,8 @@ def with_chunks(docs: DataFrame) -> tuple[DataFrame, str]:
     name = "chunk"
     while name in (c.lower() for c in docs.columns):
         name += "_"
-    chunk = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+    path, index = file_place(docs)
+    chunk = F.xxhash64(path, F.floor(index / CHUNK_ROWS))
     return docs.select("*", chunk.alias(name)), name
 
 

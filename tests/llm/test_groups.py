@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from squall.llm import components, shards, simhash, syncmers
 from tests.llm import data
@@ -217,3 +218,20 @@ def test_a_text_cut_short_stays_like_itself(spark, n):
 def test_a_single_document_follows_itself(spark):
     r = syncmers.fingerprint_documents(data.documents(spark, [(4, data.COMMON, "s")])).first()
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(syncmers.edited(data.COMMON, data.COMMON).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("kind", ["string", "struct"])
+def test_a_column_called_metadata_changes_nothing(spark, tmp, kind):
+    """Row identity, which op1, op3, op5, op7 and op8 take from files, is not that column's."""
+    from squall.llm import common, licenses, toxicity
+    plain = data.on_disk(data.edge(spark).coalesce(1), f"{tmp}/plain")
+    other = F.lit("x") if kind == "string" else F.struct(F.lit("file:/one").alias("file_path"), F.lit(0).cast("long").alias("row_index"))
+    clash = data.on_disk(plain.withColumn("_metadata", other).coalesce(1), f"{tmp}/clash")
+    for df in (plain, clash, clash.where("true")):
+        rows, mark = common.placed(df)
+        assert rows.select(mark.alias("m")).distinct().count() == len(data.EDGE)
+        rows, chunk = toxicity.with_chunks(df)
+        assert rows.select(chunk).distinct().count() == 1 and set(df.columns) < set(rows.columns)
+    assert licenses.paragraphs(clash).count() == licenses.paragraphs(plain).count()
+    a, b = (Counter((r.doc_id, r.size, r.text_crc32) for r in shards.shard_documents(df).collect()) for df in (plain, clash))
+    assert a == b
