@@ -4,13 +4,15 @@
   gold run reads (``source=live/ingest_ts=...``). The file source keeps track of
   what it has read in the checkpoint. ``ingest`` writes plain Parquet instead.
 * T2: with ``dedup_key``, an alert that silver already holds is not written
-  again. Known keys are looked up in silver itself (null-safe anti-join), not in
-  watermarked state: ``start`` is a service period, so planned work lies days
-  ahead and back-fills lie far behind, and no first-seen alert may count as late.
+  again. Known keys are looked up in a ledger beside the snapshots, partitioned by
+  start date (``streaming.ledger``), not in watermarked state: ``start`` is a
+  service period, so planned work lies days ahead and back-fills lie far behind, and
+  no first-seen alert may count as late. A poll reads the dates it touches.
 * T3 ``enrich_and_append``: each micro-batch is joined to the nearest weather
   hour (J2) and appended to the fact with the null-safe anti-join (J3). Weather
-  is read anew for every micro-batch. Alerts whose hour has not landed wait in a
-  pending table and join the next batch, or the next start of the stream.
+  is read anew for every micro-batch. Alerts whose hour has not landed wait in
+  buckets by day (``streaming.pending``); a later batch, or start of the stream,
+  takes up the buckets that new weather reaches and leaves the others unread.
 
 A replayed micro-batch has the same number, so it replaces its own snapshot,
 fact batch and pending rows.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +36,13 @@ from squall.operators.anti_join import anti_join_null_safe
 from squall.operators.asof import asof_nearest, candidate_windows
 from squall.operators.dedup import distinct_rows, first_per_key
 from squall.operators.reshape import rename
+from squall.functions.timefn import plus_seconds, utc_date
 from squall.plans import gold
 from squall.session import shared_dir
 from squall.sources import sinks
 from squall.sources.snapshots import live_and_latest_history, path_exists
+from squall.streaming.ledger import KeyLedger
+from squall.streaming.pending import PendingAlerts, Waiting
 
 INGESTED = "_ingested"
 
@@ -99,14 +105,18 @@ def ingest_snapshots(stream: DataFrame, transform: Callable[[DataFrame], DataFra
             return
         taken = _snapshot_instant(newest, batch_id)
         rows = distinct_rows(transform(batch.drop(INGESTED)))
-        if dedup_key:
-            rows = first_per_key(rows.where(F.col("start").isNotNull()), list(dedup_key))
-            if path_exists(spark, silver_root):
-                tags = schemas.SNAPSHOT_TAGS.fields
-                known = (spark.read.schema(StructType(list(rows.schema.fields) + tags)).parquet(silver_root)
-                         .where((F.col("source") == source) & (F.col("ingest_ts") != F.lit(taken).cast("timestamp"))))
-                rows = anti_join_null_safe(rows, known.select(*dedup_key), list(dedup_key))
+        if not dedup_key:
+            sinks.write_snapshot(rows, silver_root, source, taken)
+            return
+        shared_dir(spark)
+        rows = first_per_key(rows.where(F.col("start").isNotNull()), list(dedup_key)).checkpoint(eager=True)
+        ledger = KeyLedger(spark, silver_root, source, rows.select(*dedup_key).schema)
+        ledger.catch_up()
+        known = ledger.known(rows, but=taken)
+        if known is not None:
+            rows = anti_join_null_safe(rows, known, list(dedup_key))
         sinks.write_snapshot(rows, silver_root, source, taken)
+        ledger.record(taken)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
@@ -153,33 +163,21 @@ def _listing(spark: SparkSession, root: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
-class _Pending:
-    """Alerts that wait for their weather hour: one folder per round."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
-
-    def rounds(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        done = [n for n in names if n.startswith("round=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, f"{n}/_SUCCESS"))]
-        return sorted(int(n.split("=")[1]) for n in done)
-
-    def read(self, number: int) -> DataFrame:
-        return self.spark.read.schema(schemas.ALERT).parquet(f"{self.root}/round={number}")
-
-    def write(self, rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/round={number}")
+def known_alerts(fact: DataFrame, rows: DataFrame, tolerance_seconds: float) -> DataFrame:
+    """Alert keys that the fact holds on the dates where ``rows`` may have theirs.
 
-    def drop(self, numbers: list[int]) -> None:
-        jvm = self.spark.sparkContext._jvm
-        for n in numbers:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/round={n}")
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    A match lies within the tolerance of ``start``, and the fact's weather time is
+    rounded by half a period more, so an alert's row is on one of few dates (or
+    on none, where the weather time is null). Beyond ``MAX_PRUNED_DATES`` dates the
+    whole fact is read, with the same result.
+    """
+    reach = int(tolerance_seconds) + K.FACT_ROUND_SECONDS
+    ends = [utc_date(plus_seconds("start", by)) for by in (-reach, reach)]
+    dates = [r[0] for r in rows.select(F.explode(F.sequence(*ends)).alias("d")).distinct()
+             .limit(sinks.MAX_PRUNED_DATES + 1).collect()]
+    if len(dates) <= sinks.MAX_PRUNED_DATES:
+        fact = fact.where(F.col("weather_date").isin(dates) | F.col("weather_date").isNull())
+    return fact.select(*K.ALERT_DEDUP_KEY)
 
 
 def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataFrame], fact_path: str, checkpoint: str,
@@ -192,75 +190,99 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
     for every micro-batch (``silver_weather``), a DataFrame stays as it is. The
     join's windows are built when the function returns another frame.
     Alerts without an hour within the tolerance wait below ``pending_path``
-    (default: beside the checkpoint) and are tried again with every later batch
-    and when the stream is started. They wait without end, unless
-    ``expire_after_seconds`` is set: then an alert that starts this much before
-    the newest weather hour is given up and counted.
+    (default: beside the checkpoint) in buckets by day. A bucket is tried again
+    when the weather hours that reach it have become others, in a later batch or
+    when the stream is started. They wait without end, unless
+    ``expire_after_seconds`` is set: then alerts of a day that ended this much
+    before the newest weather hour are given up and counted.
 
     An alert key (entity, start, route) that the fact holds is not added again,
     so of a re-polled alert the first version stays, as in the batch run.
-    ``on_batch`` receives counts: ``new_rows``, ``pending``, ``expired``.
+    ``on_batch`` receives counts: ``new_rows``, ``pending`` (alerts of this round that
+    wait) and ``expired``.
     """
     spark = alerts.sparkSession
     base = stream_batch_base(checkpoint)
-    pending = _Pending(spark, pending_path or f"{checkpoint.rstrip('/')}-pending")
+    pending = PendingAlerts(spark, pending_path or f"{checkpoint.rstrip('/')}-pending", tolerance_seconds)
     shared_dir(spark)
     fixed = None if callable(weather) else weather.checkpoint(eager=True)
-    known_hours: list = [None, None]  # a weather frame and its windows
+    state: dict = {"hours": None, "windows": None, "reach": None, "newest": None, "checked": None}
 
-    def current() -> tuple[DataFrame, DataFrame | None]:
-        """The weather now, and its windows, built when it changes."""
+    def current() -> None:
+        """The weather now, its windows and what it reaches, built when it changes."""
         hours = weather() if fixed is None else fixed
-        if hours is not known_hours[0]:
+        if hours is not state["hours"]:
             windows = candidate_windows(hours, "startTime", tolerance_seconds)
-            known_hours[:] = hours, None if windows is None else windows.checkpoint(eager=True)
-        return known_hours[0], known_hours[1]
+            state.update(hours=hours, windows=None if windows is None else windows.checkpoint(eager=True),
+                         reach=pending.reach(hours).checkpoint(eager=True))
+            if expire_after_seconds is not None:
+                state["newest"] = hours.agg(F.max(F.unix_micros("startTime"))).first()[0]
+
+    def old_before() -> int | None:
+        """Microseconds before which alerts are given up."""
+        return None if state["newest"] is None else state["newest"] - int(expire_after_seconds * 1_000_000)
+
+    def due() -> list[Waiting]:
+        """Buckets to try again; none while the weather is the one last looked at."""
+        current()
+        if state["checked"] is state["hours"]:
+            return []
+        state["checked"] = state["hours"]
+        return pending.due(state["reach"], old_before())
 
-    def match(waiting: DataFrame | None, batch: DataFrame | None, number: int) -> None:
-        hours, windows = current()
-        parts = [p.withColumn("_late", F.lit(i)) for i, p in enumerate((waiting, batch)) if p is not None]
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    def match(waiting: list[Waiting], batch: DataFrame | None, number: int) -> None:
+        current()
+        parts = ([pending.read(waiting)] if waiting else []) + ([batch] if batch is not None else [])
         # what waits came first and stays; then one row per alert key
-        rows = first_per_key(rows, K.ALERT_DEDUP_KEY, order=["_late"]).select(*K.ALERT_COLUMNS)
+        parts = [p.select(*K.ALERT_COLUMNS, F.lit(i).alias("_late")) for i, p in enumerate(parts)]
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        rows = first_per_key(rows, K.ALERT_DEDUP_KEY, order=["_late"]).select(*K.ALERT_COLUMNS).checkpoint(eager=True)
+        others = pending.beside(rows, waiting)
+        fresh = rows
+        if others is not None:
+            fresh = anti_join_null_safe(fresh, others.select(*K.ALERT_DEDUP_KEY), list(K.ALERT_DEDUP_KEY))
         fact = sinks.read_fact(spark, fact_path)
         if fact is not None:
-            known = fact.where(F.col("batch_id") != F.lit(base + number)).select(*K.ALERT_DEDUP_KEY)
-            rows = anti_join_null_safe(rows, known, list(K.ALERT_DEDUP_KEY))
-        joined = asof_nearest(rows.checkpoint(eager=True), hours, "start", "startTime", tolerance_seconds, how="left",
-                              right_unique=True, windows=windows)
+            known = known_alerts(fact.where(F.col("batch_id") != F.lit(base + number)), rows, tolerance_seconds)
+            fresh = anti_join_null_safe(fresh, known, list(K.ALERT_DEDUP_KEY))
+        joined = asof_nearest(fresh.checkpoint(eager=True), state["hours"], "start", "startTime", tolerance_seconds, how="left",
+                              right_unique=True, windows=state["windows"])
         joined = rename(joined, {"startTime": "weather_start", "endTime": "weather_end"}).checkpoint(eager=True)
         out = sinks.append_new(joined.where(F.col("weather_start").isNotNull()), fact_path, base + number, materialized=True)
         left = joined.where(F.col("weather_start").isNull()).select(*K.ALERT_COLUMNS)
         out["expired"] = 0
-        if expire_after_seconds is not None:
-            newest = hours.agg(F.max(F.unix_micros("startTime"))).first()[0]
-            if newest is not None:
-                old = F.unix_micros("start") < F.lit(newest - int(expire_after_seconds * 1_000_000))
-                out["expired"] = left.where(old).count()
-                left = left.where(~old)
-        pending.write(left, number)
-        out["pending"] = pending.read(number).count()
+        if old_before() is not None:
+            old = F.unix_micros("start") < F.lit(old_before())
+            out["expired"] = left.where(old).count()
+            left = left.where(~old)
+        out["pending"] = pending.write(left, number, state["reach"])
         if on_batch:
             on_batch(out)
 
-    def order() -> list[int]:
-        """Pending rounds in the order they were written: each restart's round
-        carries the micro-batch it followed."""
-        return sorted(pending.rounds(), key=lambda n: (n - _RETRY_BASE) // 1024 + 0.5 if n >= _RETRY_BASE else n)
-
     def retry() -> None:
-        rounds = order()
-        if rounds and not pending.read(rounds[-1]).isEmpty():
-            after = rounds[-1] if rounds[-1] < _RETRY_BASE else (rounds[-1] - _RETRY_BASE) // 1024
-            tried = [n for n in rounds if n >= _RETRY_BASE and (n - _RETRY_BASE) // 1024 == after]
-            match(pending.read(rounds[-1]), None, max(tried, default=_RETRY_BASE + after * 1024 - 1) + 1)
+        """Try what waits before the first batch: first a try that was cut off."""
+        for number in [n for n in pending.rounds() if n >= _RETRY_BASE]:
+            pending.remove_round(number)
+            if pending.taken(number):
+                match(pending.taken(number), None, number)
+            pending.settle(number)
+        taken = due()
+        if taken:
+            number = _RETRY_BASE + int(time.time())
+            while path_exists(spark, f"{fact_path}/batch_id={base + number}"):
+                number += 1
+            pending.take(number, taken)
+            match(taken, None, number)
+            pending.settle(number)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rounds = [n for n in order() if n != batch_id]
-        later = [n for n in rounds if (n if n < _RETRY_BASE else (n - _RETRY_BASE) // 1024) > batch_id]
-        before = [n for n in rounds if n not in later]
-        match(pending.read(before[-1]) if before else None, gold.prepare_alerts(batch), batch_id)
-        pending.drop(before[:-1])  # the last one is needed if this batch is replayed
+        for number in pending.rounds():
+            if number < batch_id:  # committed: it cannot be replayed
+                pending.settle(number)
+        pending.remove_round(batch_id)  # of a try that was cut off
+        if batch_id not in pending.rounds():
+            pending.take(batch_id, due())
+        match(pending.taken(batch_id), gold.prepare_alerts(batch), batch_id)
 
     retry()
     writer = alerts.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

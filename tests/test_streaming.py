@@ -3,6 +3,9 @@
 import datetime as dt
 import json
 import os
+import re
+
+from pyspark.sql import functions as F
 
 from squall import constants as K
 from squall import schemas
@@ -180,3 +183,145 @@ def test_stream_batch_bases_are_stable_and_distinct():
     assert a == T.stream_batch_base("/shared/ckpt/stream-a/")
     assert a != T.stream_batch_base("/shared/ckpt/stream-b")
     assert a % (1 << 38) == 0 and a + (1 << 38) < 1 << 63  # room for every micro-batch and restart
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ledger_reads_the_dates_of_the_poll_only(spark, tmp):
+    root = os.path.join(tmp, "silver", "alerts")
+    day = dt.timedelta(days=1)
+    for n in range(4):
+        rows = spark.createDataFrame([_alert(f"{n}-{i}", T0 + i * day) for i in range(5)], schemas.ALERT)
+        sinks.write_snapshot(rows, root, "live", T0 + dt.timedelta(hours=n, microseconds=1000 * n))
+    sinks.write_snapshot(spark.createDataFrame([_alert("h", T0)], schemas.ALERT), root, "historical", T0)
+    key = spark.createDataFrame([], schemas.ALERT).select(*K.ALERT_DEDUP_KEY).schema
+    ledger = T.KeyLedger(spark, root, "live", key)
+    batch = spark.createDataFrame([_alert("new", T0 + day), _alert("0-1", T0 + day), _alert("far", T0 + 400 * day)], schemas.ALERT)
+    assert ledger.known(batch, but=T0) is None
+    assert len(ledger.catch_up()) == 4 and ledger.catch_up() == []   # snapshots from elsewhere are found once
+    known = ledger.known(batch, but=T0)                                # T0 is the first snapshot: a replay does not know itself
+    assert sorted(r.entity_id for r in known.collect()) == ["1-1", "2-1", "3-1"]
+    assert all("start_date=2024-01-02" in f for f in known.inputFiles())
+    assert re.search(r"PartitionFilters: \[[^\]]*start_date", _plan(known)), _plan(known)
+    assert ledger.known(spark.createDataFrame([_alert("far", T0 + 400 * day)], schemas.ALERT), but=T0) is None
+    # beyond the bound the whole ledger is read, with the same result
+    import squall.streaming.ledger as L
+    bound, L.MAX_PRUNED_DATES = L.MAX_PRUNED_DATES, 0
+    try:
+        whole = ledger.known(batch, but=T0)
+        assert whole.count() == 15 and sorted(r.entity_id for r in whole.where("start = '2024-01-02 12:00:00'").collect()) == ["1-1", "2-1", "3-1"]
+    finally:
+        L.MAX_PRUNED_DATES = bound
+    # the ledger is no snapshot
+    assert live_and_latest_history(spark, root, schemas.ALERT).count() == 21
+
+
+def test_replayed_poll_keeps_its_alerts(spark, tmp, monkeypatch):
+    """Cut off between snapshot and ledger, and again after the ledger."""
+    src, root, ck = (os.path.join(tmp, x) for x in ("bronze", "silver", "_ck"))
+    write_lines(os.path.join(src, "poll1.json"), records(6))
+    record = T.KeyLedger.record
+    for late in (False, True):
+        def cut(self, taken, late=late):
+            if late:
+                record(self, taken)
+            raise RuntimeError("cut off")
+        monkeypatch.setattr(T.KeyLedger, "record", cut)
+        try:
+            poll_stream(spark, src, root, ck)
+        except Exception:  # noqa: BLE001 - the stream wraps it
+            pass
+    monkeypatch.setattr(T.KeyLedger, "record", record)
+    poll_stream(spark, src, root, ck)
+    assert snapshots(spark, root).count() == 9
+    write_lines(os.path.join(src, "poll2.json"), records(8))
+    poll_stream(spark, src, root, ck)
+    assert snapshots(spark, root).count() == snapshots(spark, root).distinct().count() == 12
+
+
+def _reads(monkeypatch):
+    seen, read = [], T.PendingAlerts.read
+
+    def spy(self, folders):
+        seen.extend(folders)
+        return read(self, folders)
+    monkeypatch.setattr(T.PendingAlerts, "read", spy)
+    return seen
+
+
+def test_waiting_buckets_stay_unread_without_new_weather(spark, tmp, monkeypatch):
+    day, counts = dt.timedelta(days=1), []
+    _hour(spark, tmp, 0, T0)
+    _land(spark, tmp, "p0", [_alert(1, T0), *(_alert(10 + i, T0 + (i + 1) * day) for i in range(4))])
+    _enrich(spark, tmp, counts)
+    assert counts[-1]["pending"] == 4
+    seen = _reads(monkeypatch)
+    _land(spark, tmp, "p1", [_alert(2, T0), _alert(11, T0 + 2 * day, "changed"), _alert(20, T0 + 9 * day)])
+    _enrich(spark, tmp, counts)
+    # no new weather: only the bucket of an alert in the batch is read, for its keys
+    assert counts[-1] == {"new_rows": 1, "expired": 0, "pending": 1} and {f.bucket for f in seen} == {
+        int((T0 + 2 * day).replace(tzinfo=dt.timezone.utc).timestamp()) // (24 * 3600)}
+    seen.clear()
+    _hour(spark, tmp, 1, T0 + 2 * day)
+    assert ("11", "Snow") in _enrich(spark, tmp, counts)       # the first version stays
+    assert len({f.bucket for f in seen}) == 1 and counts[-1] == {"new_rows": 1, "expired": 0, "pending": 0}
+    for n, i in enumerate((0, 2, 3, 8)):
+        _hour(spark, tmp, 2 + n, T0 + (i + 1) * day)
+    assert [e for e, _ in _enrich(spark, tmp, counts)] == ["1", "10", "11", "12", "13", "2", "20"]
+    root = os.path.join(tmp, "_ck-pending")
+    assert not any(n.startswith("bucket=") for n in os.listdir(root))
+
+
+def test_replay_of_a_batch_that_took_up_waiting_alerts(spark, tmp):
+    """Cut off after the fact was written: what waited is neither lost nor doubled."""
+    day, counts = dt.timedelta(days=1), []
+    wx = os.path.join(tmp, "weather")
+    _hour(spark, tmp, 0, T0)
+    _land(spark, tmp, "p0", [_alert(1, T0), _alert(2, T0 + day), _alert(3, T0 + 2 * day)])
+    _enrich(spark, tmp, counts)
+    _land(spark, tmp, "p1", [_alert(4, T0 + day), _alert(5, T0 + 3 * day)])
+
+    class Late:
+        """Weather that lands between the start of the stream and its first batch."""
+        calls, read = 0, T.silver_weather(spark, wx)
+
+        def __call__(self):
+            self.calls += 1
+            if self.calls == 2:
+                _hour(spark, tmp, 1, T0 + day)
+            return Late.read()
+
+    def cut(out):
+        counts.append(out)
+        raise RuntimeError("cut off")
+
+    for weather, then in ((Late(), cut), (T.silver_weather(spark, wx), cut), (T.silver_weather(spark, wx), counts.append)):
+        stream = T.read_parquet_stream(spark, os.path.join(tmp, "alerts", "*"), schemas.ALERT, max_files_per_trigger=1)
+        try:
+            T.run_to_end(T.enrich_and_append(stream, weather, os.path.join(tmp, "fact"), os.path.join(tmp, "_ck"), on_batch=then))
+        except Exception:  # noqa: BLE001
+            pass
+        got = sorted(r.entity_id for r in sinks.read_fact(spark, os.path.join(tmp, "fact")).collect())
+        assert got == ["1", "2", "4"]
+    for n in (2, 3):
+        _hour(spark, tmp, n, T0 + n * day)
+    assert [e for e, _ in _enrich(spark, tmp)] == ["1", "2", "3", "4", "5"]
+
+
+def test_known_alerts_prune_the_fact(spark, tmp):
+    path = os.path.join(tmp, "fact")
+    day = dt.timedelta(days=1)
+    alerts = spark.createDataFrame([_alert(i, T0 + i * day) for i in range(6)], schemas.ALERT)
+    late = dt.datetime(2024, 1, 3, 23, 58)  # weather of the next day, and rounded into it
+    alerts = alerts.union(spark.createDataFrame([_alert("m", late)], schemas.ALERT))
+    wx = spark.createDataFrame([(T0 + i * day, None, 1.0, "Snow") for i in range(6)] + [(late, None, 1.0, "Snow")], schemas.WEATHER)
+    sinks.append_new(gold.combine(alerts, wx), path, 1)
+    none = gold.combine(alerts.limit(1), wx).withColumn("weather_start", F.lit(None).cast("timestamp"))
+    sinks.append_new(none.withColumn("entity_id", F.lit("n")), path, 2)
+    batch = spark.createDataFrame([_alert(2, T0 + 2 * day), _alert("m", late)], schemas.ALERT)
+    known = T.known_alerts(sinks.read_fact(spark, path), batch, K.ASOF_TOLERANCE_SECONDS)
+    assert {r.entity_id for r in known.collect()} >= {"2", "m", "n"}  # and whatever else these dates hold
+    assert not {r.entity_id for r in known.collect()} & {"0", "1", "4", "5"}
+    assert re.search(r"PartitionFilters: \[[^\]]*weather_date", _plan(known)), _plan(known)
