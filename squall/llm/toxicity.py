@@ -48,7 +48,7 @@ from squall.llm.common import file_place, folder_files, placed, release, scratch
 ORDER = 5
 CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
 CHUNK_FILES = 8        # hashed parts of a chunk's events, so that tasks write alike
-SLICE = 1 << 20        # bytes of text handled at once; an event takes some fifty
+SLICE = 2 << 20        # bytes of text handled at once; an event takes some fifty
 FOLDS = 5
 CALIBRATION_FOLD = 1   # training rows kept from the counts and used for the curve
 PRIOR_WORDS = 30.0     # added to a document's length
@@ -451,9 +451,10 @@ def look_up(docs: DataFrame, chunk: str, model: Tables) -> str:
                 if key != now:
                     now, seen = key, np.empty(0, np.uint64)
                 codes, h = text_events(part.column("text"))
-                new = ~np.isin(h, seen, assume_unique=True)
+                new = seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] != h if len(seen) else np.ones(len(h), bool)
                 if new.any():
-                    seen = np.union1d(seen, h)
+                    # stable: the long sorted part is merged, not sorted again
+                    seen = np.sort(np.concatenate([seen, np.sort(h[new])]), kind="stable")
                     yield pa.RecordBatch.from_arrays([pa.array([key] * int(new.sum()), pa.int64()), event_names(codes[new]),
                                                       pa.array(h[new].view(np.int64))], names=["chunk", "event", "h"])
 
