@@ -68,7 +68,8 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = S
 
     # the bounds are joined after the scatter; one small row per bucket
     joined = scattered.join(F.broadcast(bounds) if buckets <= 50_000 else bounds, "bucket")
-    (joined.groupBy("bucket").applyInArrow(order, "doc_id long, text string, shard int, slot long")
+    # a partition for each bucket, so that no task takes several of them
+    (joined.repartitionById(buckets, "bucket").groupBy("bucket").applyInArrow(order, "doc_id long, text string, shard int, slot long")
      .write.partitionBy("shard").parquet(path))
     return spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
 

@@ -334,6 +334,31 @@ def test_splitting_tree_deals_every_draw_once(spark, tmp):
             assert min(own.values()) > 0.6 * sum(own.values()) / shards
 
 
+def test_shard_copies_come_through_the_tree(spark, tmp):
+    docs = data.on_disk(data.documents(spark, _mixture_rows()), f"{tmp}/docs")
+    eight, one = ({r.doc_id: r for r in mixing.mixed_sizes(docs, n).collect() if r.doc_id is not None} for n in (8, 1))
+    per_shard = Counter()
+    for doc_id, r in eight.items():
+        held = [int(x) for x in r.shard_copies.split(",")]
+        assert len(held) == 8 and r.taken == r.size * sum(held) and sum(held) == int(one[doc_id].shard_copies)
+        per_shard += Counter({i: n for i, n in enumerate(held)})
+    assert min(per_shard.values()) > 0.7 * max(per_shard.values())
+
+
+def test_mixture_comes_near_with_few_long_documents(spark, tmp):
+    rng = random.Random(3)
+    rows = [(60 * s + i, "w " * int(20 * rng.paretovariate(0.8)), f"s{s}") for s in range(4) for i in range(60)]
+    docs = data.on_disk(data.documents(spark, rows), f"{tmp}/docs")
+    taken, target = Counter(), {}
+    source = {i: s for i, _, s in rows}
+    for r in mixing.mixed_sizes(docs).collect():
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert r.taken <= 2 * r.size
+    # no undrawn block fits in what is left, and no single exchange comes nearer
+    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] for s in target), (taken, target)
+
+
 def test_mixture_edges(spark, tmp):
     assert mixing.mixed_sizes(data.empty(spark)).count() == 0 and mixing.mix(data.empty(spark)).count() == 0
     none = data.on_disk(data.documents(spark, [(1, None, "a"), (2, "", "b")]), f"{tmp}/none")
