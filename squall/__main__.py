@@ -18,6 +18,7 @@ from squall import constants as K
 from squall import schemas
 from squall.plans import flows, silver
 from squall.session import build_session
+from squall.sources import commits
 from squall.streaming import incremental
 
 SILVER = {
@@ -53,6 +54,10 @@ def _parser() -> argparse.ArgumentParser:
     for p in (g, r):
         p.add_argument("--batch-id", type=int, required=True)
         p.add_argument("--no-export", action="store_true")
+    k = sub.add_parser("compact", help="rewrite the fact's batches as large files, remove what they replace")
+    k.add_argument("--gold", required=True)
+    k.add_argument("--everything", action="store_true")
+    k.add_argument("--keep-seconds", type=float, default=7 * 86400)
     c = sub.add_parser("import-csv", help="CSV snapshots -> silver layout")
     c.add_argument("contract", choices=sorted(CONTRACTS))
     c.add_argument("--csv", required=True, nargs="+")
@@ -98,6 +103,9 @@ def main(argv=None) -> dict:
                             export=not args.no_export)
     elif args.cmd == "stream":
         out = _stream(spark, args)
+    elif args.cmd == "compact":
+        out = {"compacted": commits.compact(spark, f"{args.gold}/fact", everything=args.everything),
+               "removed": commits.vacuum(spark, f"{args.gold}/fact", args.keep_seconds)}
     else:
         out = flows.import_csv_snapshots(spark, args.csv, CONTRACTS[args.contract], args.silver, args.source)
     print(json.dumps(out, default=str))

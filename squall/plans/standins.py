@@ -830,6 +830,35 @@ WHERE ts < TIMESTAMP '{HISTORY_CUTOFF}'
 """
 
 
+def q_fact_compacted(spark, d):
+    """Four batches by user, compacted, one of them appended again with new
+    headers, the others once more, compacted whole, then vacuumed."""
+    from squall.session import fresh_dir
+    from squall.sources import commits, sinks
+    path = fresh_dir(spark, "fact-compacted") + "/fact"
+    rows = _event_gold(spark, d)
+    batch = F.pmod(F.col("entity_id").cast("long"), F.lit(4))
+    for i in range(4):
+        sinks.append_new(rows.where(batch == i), path, i)
+    commits.compact(spark, path)
+    sinks.append_new(rows.where(batch == 2).withColumn("header_text", F.lit("second try")), path, 2)
+    sinks.append_new(rows.where(batch != 2), path, 4)
+    commits.compact(spark, path, everything=True)
+    commits.vacuum(spark, path, keep_seconds=-1)
+    return ntz(sinks.read_fact(spark, path).select("entity_id", "routeId", "weather_start", "header_text", "temperature",
+                                                  "weather_date", "batch_id"))
+
+
+SQL_FACT_COMPACTED = f"""
+SELECT CAST(user_id AS VARCHAR) AS entity_id, CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS routeId,
+       {_sql_round('ts', K.FACT_ROUND_SECONDS)} AS weather_start,
+       CASE WHEN user_id % 4 = 2 THEN 'second try'
+            ELSE {_sql_pick(HEADER_PHRASES, f"({_SQL_K} % {len(HEADER_PHRASES)})")} END AS header_text, value AS temperature,
+       CAST({_sql_round('ts', K.FACT_ROUND_SECONDS)} AS DATE) AS weather_date, CAST(user_id % 4 AS BIGINT) AS batch_id
+FROM events
+"""
+
+
 def q_json_documents(spark, d):
     """Multi-line JSON documents (arrays of up to 500 records) written from
     every event, read with the bronze reader, then the silver transform."""
@@ -1110,6 +1139,7 @@ QUERIES = {
     "asof_segments": q_asof_segments,
     "csv_alerts": q_csv_alerts,
     "fact_null_dates": q_fact_null_dates,
+    "fact_compacted": q_fact_compacted,
     "json_documents": q_json_documents,
     "newest_files": q_newest_files,
     "summary_table": q_summary_table,
@@ -1151,6 +1181,7 @@ ORACLES = {
     "csv_alerts": f"""SELECT entity_id, routeId, start, "end", NULLIF(header_text, '') AS header_text,
                       NULLIF(description_text, '') AS description_text FROM ({SQL_ALERTS})""",
     "fact_null_dates": SQL_FACT_NULL_DATES,
+    "fact_compacted": SQL_FACT_COMPACTED,
     "json_documents": SQL_HISTORY_ROWS,
     "newest_files": SQL_NEWEST_FILES,
     "summary_table": SQL_SUMMARY,

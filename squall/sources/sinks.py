@@ -14,7 +14,7 @@ from squall.functions.text import null_to_empty
 from squall.functions.timefn import round_to, utc_date
 from squall.operators.anti_join import anti_join_null_safe
 from squall.session import shared_dir
-from squall.sources.snapshots import path_exists
+from squall.sources import commits
 
 # The fact is pruned to the dates a new batch touches when there are at most
 # this many of them; beyond that the anti-join reads all of the fact.
@@ -39,9 +39,7 @@ def write_snapshot(df: DataFrame, root: str, source: str, ingest_ts: dt.datetime
 
 def read_fact(spark, fact_path: str) -> DataFrame | None:
     """The fact table, or ``None`` only when it does not exist yet."""
-    if not path_exists(spark, fact_path):
-        return None
-    return spark.read.schema(schemas.FACT).parquet(fact_path).select(*schemas.FACT.fieldNames())
+    return commits.read(spark, fact_path)
 
 
 def fact_rows(gold: DataFrame, batch_id: int) -> DataFrame:
@@ -64,8 +62,10 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
       date, and null dates meet null dates) and to the *other* batches, then
       null-safe anti-joined. Beyond ``MAX_PRUNED_DATES`` dates it is read
       unpruned, with the same result.
-    * A batch owns the folder ``batch_id=<id>``, which the write replaces as a
-      whole: a retried batch replaces itself, whatever dates it held before.
+    * The rows go to a folder of their own, which one commit makes the holder of
+      the batch: a retried batch replaces itself as a whole, whatever dates it
+      held before, and readers see it as it was until then. One writer at a time
+      appends (two at once might add the same key).
 
     ``materialized=True`` tells it ``gold`` is already materialised by the caller.
     Returns ``{"new_rows": n}`` collected through an ``Observation`` (no extra job).
@@ -87,10 +87,11 @@ def append_new(gold: DataFrame, fact_path: str, batch_id: int, key=K.FACT_KEY,
     # range-cluster by date before the partitioned write: each task covers a
     # contiguous span of dates (files ~ tasks + dates, not tasks x dates) and a
     # date holding a large share of the rows is split over several tasks
-    rows = rows.repartitionByRange("weather_date", "weather_start", "entity_id")
+    rows = rows.repartitionByRange(*commits.ORDER)
     rows = rows.observe(obs, F.count(F.lit(1)).alias("new_rows"))
-    (rows.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("weather_date").parquet(f"{fact_path}/batch_id={int(batch_id)}"))
+    attempt = commits.new_attempt()
+    commits.write_attempt(rows, fact_path, attempt)
+    commits.publish(spark, fact_path, attempt, [int(batch_id)])
     got = obs.get
     return {"new_rows": int(got.get("new_rows", 0) or 0)}
 
@@ -130,7 +131,7 @@ def impact_view_sql(fact_path: str) -> str:
     cases = " ".join(f"WHEN {_sql_contains('shortForecast', kws)} THEN {_sql_text(label)}"
                      for kws, label in K.FORECAST_CATEGORY_RULES)
     return (f"SELECT routeId, weather_start, CASE {cases} ELSE {_sql_text(K.FORECAST_CATEGORY_DEFAULT)} END "
-            f"AS weather_category, count(DISTINCT entity_id) AS total_alerts FROM parquet.`{fact_path}` "
+            f"AS weather_category, count(DISTINCT entity_id) AS total_alerts FROM {commits.live_sql(fact_path)} "
             f"WHERE {_sql_contains('header_text', K.HEADER_WEATHER_KEYWORDS)} "
             f"OR {_sql_contains('description_text', K.DESCRIPTION_WEATHER_KEYWORDS)} GROUP BY ALL")
 

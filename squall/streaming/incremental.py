@@ -39,8 +39,8 @@ from squall.operators.reshape import rename
 from squall.functions.timefn import plus_seconds, utc_date
 from squall.plans import gold
 from squall.session import shared_dir
-from squall.sources import sinks
-from squall.sources.snapshots import live_and_latest_history, path_exists
+from squall.sources import commits, sinks
+from squall.sources.snapshots import live_and_latest_history
 from squall.streaming.ledger import KeyLedger
 from squall.streaming.pending import PendingAlerts, Waiting
 
@@ -269,7 +269,7 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
         taken = due()
         if taken:
             number = _RETRY_BASE + int(time.time())
-            while path_exists(spark, f"{fact_path}/batch_id={base + number}"):
+            while commits.holds(spark, fact_path, base + number):
                 number += 1
             pending.take(number, taken)
             match(taken, None, number)

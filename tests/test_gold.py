@@ -14,7 +14,7 @@ from squall.operators.aggregates import daily_summary, impact_aggregate
 from squall.operators.anti_join import anti_join_null_safe
 from squall.operators.union import stack
 from squall.plans import gold
-from squall.sources import sinks
+from squall.sources import commits, sinks
 from squall.sources.snapshots import read_csv_by_name
 
 UTC = dt.timezone.utc
@@ -128,6 +128,58 @@ def test_retry_with_fewer_dates_replaces_the_batch(spark, tmp):
     assert sinks.read_fact(spark, path).count() == 0
 
 
+def test_a_batch_cut_off_before_its_commit_stays_as_it_was(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "fact")
+    sinks.append_new(gold_rows(spark, 3), path, 5)
+    with monkeypatch.context() as m:
+        m.setattr(commits, "publish", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            sinks.append_new(gold_rows(spark, 2), path, 5)
+        assert len(glob.glob(f"{path}/data/attempt=*")) == 2
+    assert sinks.read_fact(spark, path).count() == 3
+    sinks.append_new(gold_rows(spark, 2), path, 5)
+    assert sinks.read_fact(spark, path).count() == 2
+    assert commits.vacuum(spark, path, keep_seconds=-1) == {"attempts": 2, "commits": 1}
+    assert sinks.read_fact(spark, path).count() == 2
+
+
+def test_compaction_keeps_rows_and_batches(spark, tmp):
+    path = os.path.join(tmp, "fact")
+    assert commits.compact(spark, path) == {"batches": 0, "attempts": 0} and sinks.read_fact(spark, path) is None
+    for i in range(4):
+        sinks.append_new(gold_rows(spark, 6).where(f"entity_id % 4 = {i}"), path, i)
+    seen = sorted(map(str, sinks.read_fact(spark, path).collect()))
+    view = sinks.create_view(spark, path, "impact_compacted").collect()
+    assert commits.compact(spark, path) == {"batches": 4, "attempts": 4}
+    assert commits.vacuum(spark, path, keep_seconds=-1) == {"attempts": 4, "commits": 4}
+    assert len(glob.glob(f"{path}/data/*/*/*.parquet")) == 1
+    assert sorted(map(str, sinks.read_fact(spark, path).collect())) == seen
+    assert spark.table("impact_compacted").collect() == view
+    assert sinks.append_new(gold_rows(spark, 6), path, 9) == {"new_rows": 0}
+    # a batch inside the compacted files is replaced like any other
+    assert sinks.append_new(gold_rows(spark, 6).where("entity_id = 2"), path, 2) == {"new_rows": 1}
+    assert {(r.entity_id, r.batch_id) for r in sinks.read_fact(spark, path).collect()} == {
+        ("0", 0), ("4", 0), ("1", 1), ("5", 1), ("2", 2), ("3", 3)}
+    assert commits.holds(spark, path, 9) and not commits.holds(spark, path, 10)
+
+
+def test_compaction_yields_to_a_batch_appended_meanwhile(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "fact")
+    for i in range(2):
+        sinks.append_new(gold_rows(spark, 4).where(f"entity_id % 2 = {i}"), path, i)
+    write = commits.write_attempt
+
+    def slow(rows, where, attempt):
+        write(rows, where, attempt)
+        monkeypatch.setattr(commits, "write_attempt", write)
+        sinks.append_new(gold_rows(spark, 1), path, 0)
+
+    monkeypatch.setattr(commits, "write_attempt", slow)
+    with pytest.raises(commits.Conflict):
+        commits.compact(spark, path)
+    assert {(r.entity_id, r.batch_id) for r in sinks.read_fact(spark, path).collect()} == {("0", 0), ("1", 1), ("3", 1)}
+
+
 @pytest.mark.parametrize("bound", [10_000, 0])
 def test_null_dates_append_once_on_both_sides_of_the_bound(spark, tmp, monkeypatch, bound):
     monkeypatch.setattr(sinks, "MAX_PRUNED_DATES", bound)
