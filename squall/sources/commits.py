@@ -33,8 +33,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from squall import schemas
 from squall.sources.snapshots import path_exists
 
-# Live attempts are pushed as a partition filter when there are at most this many;
-# beyond that all attempts are listed, with the same result.
+# Only the folders of live attempts are listed when there are at most this many;
+# beyond that all folders are, with the same result.
 MAX_PRUNED_ATTEMPTS = 10_000
 FILE_BYTES = 128 << 20
 
@@ -93,9 +93,10 @@ def read(spark: SparkSession, fact_path: str) -> DataFrame | None:
 def _rows(spark: SparkSession, fact_path: str, held: DataFrame) -> DataFrame:
     names = schemas.FACT.fieldNames()
     attempts = [r[0] for r in held.select("attempt").distinct().limit(MAX_PRUNED_ATTEMPTS + 1).collect()]
-    rows = spark.read.schema(StructType(schemas.FACT.fields + [StructField("attempt", StringType())])).parquet(f"{fact_path}/data")
-    if len(attempts) <= MAX_PRUNED_ATTEMPTS:
-        rows = rows.where(F.col("attempt").isin(attempts))
+    data = f"{fact_path}/data"
+    folders = [f"{data}/attempt={a}" for a in attempts] if len(attempts) <= MAX_PRUNED_ATTEMPTS else [data]
+    rows = (spark.read.schema(StructType(schemas.FACT.fields + [StructField("attempt", StringType())]))
+            .option("basePath", data).parquet(*folders))
     return rows.join(held, ["attempt", "batch_id"], "left_semi").select(*names)
 
 
