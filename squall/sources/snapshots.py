@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +45,18 @@ def live_and_latest_history(spark: SparkSession, root: str, contract: StructType
     return hist.unionByName(live)
 
 
-def _header_groups(spark: SparkSession, patterns: list[str]) -> dict[str, list[str]]:
-    """Files by their header line, found by one distributed read of the files'
-    first blocks. Only file names and headers reach the driver."""
+def _headers(spark: SparkSession, patterns: list[str]) -> DataFrame:
+    """The header line of every file, from one distributed read of the files'
+    first blocks: file, header."""
     lines = (spark.read.text(patterns)
              .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
              .where(F.col("at") == 0))
     # a block is read by one task from its first line on, so the first value seen is the header
-    first = lines.groupBy("file").agg(F.first("value").alias("header"))
-    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return {r["header"]: [unquote(f) for f in r["files"]] for r in sorted(rows, key=lambda r: r["files"])}
+    return lines.groupBy("file").agg(F.first("value").alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]))] if header else []
 
 
 def _any_file(spark: SparkSession, pattern: str) -> bool:
@@ -67,40 +68,44 @@ def _any_file(spark: SparkSession, pattern: str) -> bool:
 def read_csv_by_name(spark: SparkSession, patterns: str | Sequence[str], contract: StructType) -> DataFrame | None:
     """CSV snapshots with a header, columns aligned by **name**.
 
-    Spark's CSV reader binds a schema by position, so files are grouped by
-    their header line, each group is read with its own column order, parsed to
-    the contract types, and the groups are stacked by name. Records follow the
+    Spark's CSV reader binds a schema by position, so all files are read in one
+    scan as numbered text columns, each row learns its file's header by a join on
+    the file, and every contract column is taken from its place under that header.
+    Only the different headers reach the driver. Records follow the
     usual quoting: a quoted field may hold commas, line breaks and doubled
-    quotes. A contract column a file lacks is null (P9). Timestamps may carry
+    quotes. A contract column a file lacks is null (P9); of two columns of one
+    name the first counts. Timestamps may carry
     offsets and are parsed to UTC (E1); numbers coerce (E16).
     """
     patterns = [patterns] if isinstance(patterns, str) else list(patterns)
     patterns = [p for p in patterns if _any_file(spark, p)]
     if not patterns:
         return None
-    groups = _header_groups(spark, patterns)
-    if not groups:
+    headers = _headers(spark, patterns)
+    places = {h: _names(h) for h, in headers.select("header").distinct().collect()}
+    places = {h: names for h, names in places.items() if names}
+    if not places:
         return None
-    out = None
-    for header, paths in groups.items():
-        names = [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]))] if header else []
-        if not names:
-            continue
-        text_schema = StructType([StructField(n, schemas.S) for n in names])
-        raw = (spark.read.schema(text_schema).option("header", True).option("enforceSchema", True)
-               .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
-               .option("multiLine", True).csv(paths)
-               .withColumn("ingest_ts", F.col("_metadata.file_modification_time")))
-        cols = []
-        for f in contract.fields:
-            if f.name not in names:
-                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-            elif isinstance(f.dataType, TimestampType):
-                cols.append(lenient_timestamp(F.col(f.name)).alias(f.name))
-            elif isinstance(f.dataType, DoubleType):
-                cols.append(F.col(f.name).try_cast("double").alias(f.name))
-            else:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        part = raw.select(*cols, "ingest_ts")
-        out = part if out is None else out.unionByName(part)
-    return out
+    width = max(map(len, places.values()))
+    text_schema = StructType([StructField(f"_c{i}", schemas.S) for i in range(width)])
+    raw = (spark.read.schema(text_schema).option("header", True).option("enforceSchema", True)
+           .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+           .option("multiLine", True).csv(patterns)
+           .select("*", F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_modification_time").alias("ingest_ts"))
+           .join(headers.where(F.col("header").isin(list(places))), "file"))
+    cols = []
+    for f in contract.fields:
+        under = {}  # place of the column -> headers that have it there
+        for h, names in places.items():
+            if f.name in names:
+                under.setdefault(names.index(f.name), []).append(h)
+        value = F.coalesce(F.lit(None).cast("string"),
+                           *(F.when(F.col("header").isin(hs), F.col(f"_c{i}")) for i, hs in sorted(under.items())))
+        if isinstance(f.dataType, TimestampType):
+            cols.append(lenient_timestamp(value).alias(f.name))
+        elif isinstance(f.dataType, DoubleType):
+            cols.append(value.try_cast("double").alias(f.name))
+        else:
+            cols.append(value.cast(f.dataType).alias(f.name))
+    return raw.select(*cols, "ingest_ts")

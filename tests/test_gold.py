@@ -220,6 +220,24 @@ def test_csv_names_with_spaces(spark, tmp):
     assert read_csv_by_name(spark, os.path.join(tmp, "a folder", "*.csv"), schemas.WEATHER).first().shortForecast == "Fog"
 
 
+def test_csv_of_many_headers_and_widths_is_one_scan(spark, tmp):
+    for i in range(12):
+        with open(os.path.join(tmp, f"w{i:02}.csv"), "w") as f:
+            if i % 3 == 0:
+                f.write(f"shortForecast\nFog {i}\n")
+            elif i % 3 == 1:
+                f.write(f"extra,temperature,shortForecast,more,temperature\nx,{i},Rain {i},y,99\n")
+            else:
+                f.write(f'startTime,shortForecast\n2031-01-01T{i:02}:00:00Z,"Snow, {i}",beyond\n2031-01-01T{i:02}:30:00Z\n')
+    open(os.path.join(tmp, "empty.csv"), "w").close()
+    df = read_csv_by_name(spark, os.path.join(tmp, "*.csv"), schemas.WEATHER)
+    got = [(r.shortForecast, r.temperature, r.startTime and r.startTime.minute) for r in df.collect()]
+    wanted = [*((f"Fog {i}", None, None) for i in (0, 3, 6, 9)), *((f"Rain {i}", float(i), None) for i in (1, 4, 7, 10)),
+              *((f"Snow, {i}", None, 0) for i in (2, 5, 8, 11)), *((None, None, 30) for _ in range(4))]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("] csv") == 1  # the other scan reads header lines as text
+
+
 def test_mean_is_not_rounded(spark):
     rows = [(str(i), "A", T, x, "x") for i, x in enumerate([70.1, 70.2, 70.1])] + [("9", "B", T, 1.23456, "x")]
     df = spark.createDataFrame(rows, "entity_id string, routeId string, weather_start timestamp, "
