@@ -66,41 +66,52 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct lower-case words, their number at each place, and the places at
-    which documents begin and end."""
-    parts = pc.split_pattern_regex(pc.utf8_lower(strings(texts)), BREAK)
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Lower-case words with one space between."""
+    return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(strings(texts)), BREAK, " "), " ")
+
+
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, one after the other, and the number of each."""
+    data, ends = texts.buffers()[2], np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    every = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().decode() if len(texts) and data else ""
+    return (np.frombuffer(every.encode("utf-32-le"), "<u4"),
+            pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def padded_texts(before: str, texts: pa.Array, after: str) -> pa.Array:
+    part = [pa.scalar(x, pa.large_string()) for x in (before, after, "")]
+    return pc.binary_join_element_wise(part[0], texts, *part[1:])
+
+
+def words(plain: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of plain texts, their number at each place, and the places
+    at which documents begin and end."""
+    parts = pc.split_pattern(plain, " ")
     flat = parts.flatten()
-    real = pc.not_equal(flat, "")  # a text may begin or end with a break
+    real = pc.not_equal(flat, "")  # an empty text
     coded = flat.filter(real).dictionary_encode()
     upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
     return (coded.dictionary, coded.indices.to_numpy(zero_copy_only=False),
             upto[parts.offsets.to_numpy() - parts.offsets[0].as_py()])
 
 
-def events(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def events(distinct: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of every event (n, ORDER) of the words, and the word of each."""
-    padded = [BEGIN * (ORDER - 1) + w + END for w in distinct]
-    codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4")
-    n = np.array([len(w) + 1 for w in distinct], np.int64)
-    word = np.repeat(np.arange(len(distinct)), n)
+    codes, size = code_points(padded_texts(BEGIN * (ORDER - 1), strings(pa.array(distinct, pa.large_string())), END))
+    word = np.repeat(np.arange(len(size)), size - (ORDER - 1))
     at = np.arange(len(word)) + word * (ORDER - 1)
     return np.lib.stride_tricks.sliding_window_view(codes, ORDER)[at] if len(at) else codes.reshape(0, ORDER), word
 
 
-def running_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The events that run over the lower-case words of texts, with one space
-    between, before and behind: code points of all texts, the place of each
-    event's first one, and the text of each event."""
-    plain = pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(strings(texts)), BREAK, " "), " ")
-    part = lambda x: pa.scalar(x, pa.large_string())
-    padded = pc.if_else(pc.equal(plain, ""), part(""),
-                        pc.binary_join_element_wise(part(BEGIN * (ORDER - 2)), plain, part(""), part(" ")))
-    codes = np.frombuffer("".join(padded.to_pylist()).encode("utf-32-le"), "<u4") + np.uint32(RUNNING)
-    size = pc.utf8_length(padded).to_numpy(zero_copy_only=False).astype(np.int64)
+def running_events(plain: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The events that run over the words of plain texts, with one space before
+    and behind: code points of all texts, the place of each event's first one,
+    and the text of each event."""
+    codes, size = code_points(pc.if_else(pc.equal(plain, ""), plain, padded_texts(BEGIN * (ORDER - 2) + " ", plain, " ")))
     n = np.maximum(size - (ORDER - 1), 0)
     text = np.repeat(np.arange(len(n)), n)
-    return codes, np.arange(len(text)) + (np.cumsum(size) - size - np.cumsum(n) + n)[text], text
+    return codes + np.uint32(RUNNING), np.arange(len(text)) + (np.cumsum(size) - size - np.cumsum(n) + n)[text], text
 
 
 def running_hashes(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,52 +143,66 @@ def in_documents(at: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray
     return pairs // max(n, 1), pairs % max(n, 1)
 
 
+def different(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of the rows of ``codes``, one row of each, and which of
+    them stands in each row."""
+    coded = pa.array(code_hash(codes)).dictionary_encode()
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[which[::-1]] = np.arange(len(codes))[::-1]
+    return coded.dictionary.to_numpy(), codes[first], which
+
+
 def count_events(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct events of some texts as code points (n, ORDER), and their counts
     in ordinary and toxic texts (n, 2); a text counts each of its words once and
     every running event."""
-    distinct, at, bounds = words(texts)
+    plain = plain_texts(texts)
+    distinct, at, bounds = words(plain)
     doc, at = in_documents(at, bounds, len(distinct))
     label = toxic[doc]
     weight = np.stack([np.bincount(at[label == c], minlength=len(distinct)) for c in (0, 1)], axis=1)
-    codes, word = events(distinct.to_pylist())
-    seen, first, place = np.unique(code_hash(codes), return_index=True, return_inverse=True)
+    codes, word = events(distinct)
+    seen, codes, place = different(codes)
     counts = np.stack([np.bincount(place, weight[word, c], len(seen)) for c in (0, 1)], axis=1)
-    running, at, text = running_events(texts)
+    running, at, text = running_events(plain)
     seen, running, which = running_hashes(running, at)
-    more = np.bincount(which * 2 + toxic[text], minlength=2 * len(seen)).reshape(-1, 2)
-    return np.concatenate([codes[first], running]), np.concatenate([counts.astype(np.int64), more])
+    more = np.bincount(which * np.int64(2) + toxic[text], minlength=2 * len(seen)).reshape(-1, 2)
+    return np.concatenate([codes, running]), np.concatenate([counts.astype(np.int64), more])
 
 
 def text_events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct events of some texts as code points (n, ORDER), and their hashes."""
-    distinct, _, _ = words(texts)
-    codes, _ = events(distinct.to_pylist())
-    h, first = np.unique(code_hash(codes), return_index=True)
-    running, at, _ = running_events(texts)
+    plain = plain_texts(texts)
+    h, codes, _ = different(events(words(plain)[0])[0])
+    running, at, _ = running_events(plain)
     seen, running, _ = running_hashes(running, at)
-    return np.concatenate([codes[first], running]), np.concatenate([h, seen])
+    return np.concatenate([codes, running]), np.concatenate([h, seen])
 
 
 def text_statistics(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Each text's length-normalised log-likelihood difference and what its words
-    stand out by (n, 2), from the values of its events (by ascending hash; others
-    have 0)."""
+    stand out by (n, 2), from the values of its events (others have 0)."""
     n = len(texts)
-    running, at, text = running_events(texts)
+    plain = plain_texts(texts)
+    running, at, text = running_events(plain)
     seen, _, which = running_hashes(running, at)
-    value = _find(keys, values, seen, np.float32(0))[which]
-    signed = np.bincount(text, value, n) / (np.bincount(text, minlength=n) + PRIOR_EVENTS)
-    distinct, at, bounds = words(texts)
-    codes, word = events(distinct.to_pylist())
-    value = np.bincount(word, _find(keys, values, code_hash(codes), np.float32(0)), len(distinct))
+    distinct, at, bounds = words(plain)
+    codes, word = events(distinct)
+    found = _find(keys, values, np.concatenate([seen, code_hash(codes)]), np.float32(0))
+    signed = np.bincount(text, found[:len(seen)][which], n) / (np.bincount(text, minlength=n) + PRIOR_EVENTS)
+    value = np.bincount(word, found[len(seen):], len(distinct))
     doc, at = in_documents(at, bounds, len(distinct))
     above = np.bincount(doc, np.maximum(value - MARGIN, 0)[at], n) / (np.bincount(doc, minlength=n) + PRIOR_WORDS)
     return np.stack([signed, above], axis=1)
 
 
 def event_names(codes: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(codes).view(f"<U{ORDER}").ravel().tolist(), pa.string())
+    flat = np.ascontiguousarray(codes).ravel()
+    size = (1 + (flat >= 0x80) + (flat >= 0x800) + (flat >= 0x10000)).reshape(codes.shape).sum(axis=1)
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    data = flat.tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(codes), pa.py_buffer(ends), pa.py_buffer(data))
 
 
 @dataclass
@@ -234,15 +259,14 @@ class Tables:
 def _by_hash(tables: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
     h = np.concatenate([t.column("h").to_numpy() for t in tables] or [np.empty(0, np.int64)]).view(np.uint64)
     value = np.concatenate([t.column("value").to_numpy() for t in tables] or [np.empty(0, np.float32)])
-    order = np.argsort(h)
-    return h[order], value[order]
+    return h, value
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default) -> np.ndarray:
     if not len(keys):
         return np.broadcast_to(default, wanted.shape).copy()
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], default)
+    at = pc.fill_null(pc.index_in(pa.array(wanted), value_set=pa.array(keys)), -1).to_numpy(zero_copy_only=False)
+    return np.where(at >= 0, values[at], default)
 
 
 def _discount(counts: np.ndarray) -> float:
