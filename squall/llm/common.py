@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import io
 import os
 import tempfile
@@ -111,6 +112,14 @@ def _row_mark(df: DataFrame) -> Column:
     return mark
 
 
+def give_back() -> None:
+    """Return a task's free memory to the system: Python workers outlive their
+    tasks, and what their allocators keep counts in later steps of a job."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def task_file(folder: str, suffix: str, pid: int, seq: int, token: str) -> str:
     return f"{folder}/{pid:06d}-{token}-{seq:06d}{suffix}"
 

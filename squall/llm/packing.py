@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from squall.llm.common import ship, slices
-from squall.llm.tokens import default_tokenizer, encoder
+from squall.llm.common import give_back, ship, slices
+from squall.llm.tokens import TextEncoder, default_tokenizer, encoder
 
 QUEUE_TOKENS = 2 << 20  # ids waiting in a task before a round of packing
+SLICE = 4 << 20         # bytes of text encoded at once; a byte takes some thirty
 
 
 @dataclass(frozen=True)
@@ -197,6 +198,21 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
                      ("offset", pa.int64()), ("segment", pa.int32())])
 
 
+def document_examples(batches: Iterator[pa.RecordBatch], enc: TextEncoder, end_id: int) -> Iterator[Example]:
+    """Batches of documents (doc_id, text) as examples, encoded ``SLICE`` bytes at a time."""
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            ids, counts = enc.encode(part.column("text"))
+            ends = np.cumsum(counts)
+            ids = np.insert(ids, ends, np.uint32(end_id)).astype("<u4", copy=False)
+            stops = np.cumsum(counts + 1).tolist()
+            give_back()
+            at = 0
+            for key, stop in zip(part.column("doc_id").to_pylist(), stops):
+                yield Example(key, ids[at:stop], 0, stop - at)
+                at = stop
+
+
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                    limits: Limits = Limits(), with_ids: bool = False) -> DataFrame:
     """Pack whole documents (doc_id, text), all ids bearing loss.
@@ -209,23 +225,10 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
     ship(docs.sparkSession)
     schema = _PIECES.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else _PIECES
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Example]:
-        enc = encoder(tokenizer)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids, counts = enc.encode(part.column("text"))
-                ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, np.uint32(end_id)).astype("<u4", copy=False)
-                stops = np.cumsum(counts + 1).tolist()
-                at = 0
-                for key, stop in zip(part.column("doc_id").to_pylist(), stops):
-                    yield Example(key, ids[at:stop], 0, stop - at)
-                    at = stop
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
-        for sequence in pack_stream(read(batches), limits):
+        for sequence in pack_stream(document_examples(batches, encoder(tokenizer), end_id), limits):
             offset = 0
             for k, e in enumerate(sequence):
                 row = (e.key, e.start, len(e.ids), zlib.crc32(np.ascontiguousarray(e.ids)), e.total, number, offset, k)

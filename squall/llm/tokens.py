@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from squall.llm.common import SLICE_BYTES, strings
 
 # distinct pieces remembered by a Python worker (bounds its memory)
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 300_000
 
 # A piece as (stem, closing marks). Marks after a letter or digit are tokens of
 # their own, and these letters have one-to-one lower case and no composed forms,

@@ -172,3 +172,18 @@ def test_instruction_examples(spark):
     got = packing.pack_examples(spark.createDataFrame(rows, "key long, ids array<int>, loss array<boolean>"),
                                 packing.Limits(tokens=64, segments=2, loss=45)).collect()
     assert sorted((r.doc_id, r.length) for r in got) == [(1, 3), (2, 40), (4, 10)]
+
+
+def test_packing_encodes_few_bytes_at_once():
+    """What a task holds while it encodes does not follow from the batches Spark sends."""
+    import pyarrow as pa
+    sizes = []
+
+    class Encoder:
+        def encode(self, texts):
+            sizes.append(sum(len(t) for t in texts.to_pylist()))
+            return np.ones(len(texts), np.uint32), np.ones(len(texts), np.int64)
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(["x" * 50_000] * 400)], names=["doc_id", "text"])
+    assert [(e.key, e.total) for e in packing.document_examples(iter([batch]), Encoder(), 1)] == [(i, 2) for i in range(400)]
+    assert sum(sizes) == 400 * 50_000 and max(sizes) <= 5 << 20
