@@ -34,7 +34,7 @@ alike. Other input columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, functions as F
 
-from squall.llm.common import file_place, folder_files, placed, release, scratch, ship, slices, stage, strings
+from squall.llm.common import file_place, folder_files, give_back, placed, release, scratch, ship, slices, stage, strings
 
 ORDER = 5
 CHUNK_ROWS = 1 << 13   # rows of a file whose events are looked up together
@@ -388,15 +388,26 @@ def estimate_tables(counted: DataFrame) -> Tables:
         "context", (F.log("toxic_share") - F.log("ordinary_share")).cast("float").alias("value")))
 
 
-def count_table(texts: DataFrame) -> DataFrame:
-    """Every event of labelled texts (text, toxic) with its counts: event, ordinary, toxic."""
+Labelled = Iterator[tuple[pa.Array, np.ndarray]]  # slices of texts, and whether each text is toxic
+
+
+def own_labels(batches: Iterator[pa.RecordBatch]) -> Labelled:
+    """Texts whose rows hold their labels."""
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            yield part.column("text"), part.column("toxic").to_numpy(zero_copy_only=False)
+
+
+def count_table(texts: DataFrame, labelled: Callable[[Iterator[pa.RecordBatch]], Labelled] = own_labels) -> DataFrame:
+    """Every event of labelled texts with its counts: event, ordinary, toxic.
+    ``labelled`` takes texts and labels from batches of the table's rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                codes, n = count_events(part.column("text"), part.column("toxic").to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([event_names(codes), pa.array(n[:, 0]), pa.array(n[:, 1])],
-                                                 names=["event", "ordinary", "toxic"])
+        for text, toxic in labelled(batches):
+            codes, n = count_events(text, toxic)
+            yield pa.RecordBatch.from_arrays([event_names(codes), pa.array(n[:, 0]), pa.array(n[:, 1])],
+                                             names=["event", "ordinary", "toxic"])
+        give_back()
 
     return stage(texts.mapInArrow(count, "event string, ordinary long, toxic long")
                  .groupBy("event").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "toxicity-counts")
@@ -409,13 +420,40 @@ def marked(labels: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
 
 
+def place_labels(rows: DataFrame, labels: DataFrame) -> str:
+    """Write the labels of ``rows`` (doc_id, chunk, mark); a folder for each chunk.
+
+    Labels grow with the corpus, so the join is a shuffle at every size; texts
+    take no part in it."""
+    folder = scratch(rows.sparkSession, "toxicity-labels")
+    (rows.select("doc_id", "chunk", "mark").join(marked(labels).hint("merge"), "doc_id").select("chunk", "mark", "toxic")
+     .repartition("chunk").write.partitionBy("chunk").parquet(folder))
+    return folder
+
+
+def placed_labels(batches: Iterator[pa.RecordBatch], folder: str) -> Labelled:
+    """The texts (text, chunk, mark) that have a label in their chunk's folder."""
+    now, marks, toxic = None, pa.array([], pa.int64()), np.empty(0, np.int64)
+    for batch in batches:
+        for part, key in by_chunk(batch, "chunk"):
+            if key != now:
+                found = [pq.read_table(f, columns=["mark", "toxic"], partitioning=None)
+                         for f in folder_files(f"{folder}/chunk={key}", ".parquet")]
+                now, marks = key, pa.array(np.concatenate([t.column("mark").to_numpy() for t in found] or [np.empty(0, np.int64)]))
+                toxic = np.concatenate([t.column("toxic").to_numpy() for t in found] or [np.empty(0, np.int64)])
+            at = pc.index_in(part.column("mark"), value_set=marks)
+            yield part.column("text").filter(pc.is_valid(at)), toxic[at.drop_null().to_numpy(zero_copy_only=False)]
+
+
 def count_models(docs: DataFrame, labels: DataFrame) -> Tables:
     """Both models from the labelled rows that are neither held out nor kept for the curve."""
     ship(docs.sparkSession)
-    # labels grow with the corpus, so the join is a shuffle at every size
-    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .where(~fold(F.col("doc_id")).isin(0, CALIBRATION_FOLD)).join(marked(labels).hint("merge"), "doc_id"))
-    counted = count_table(texts.select("text", "toxic"))
+    docs, mark = placed(docs)
+    rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), chunk_of(docs).alias("chunk"), mark.alias("mark"))
+            .where(~fold(F.col("doc_id")).isin(0, CALIBRATION_FOLD)))
+    folder = place_labels(rows, labels)
+    counted = count_table(rows.select("text", "chunk", "mark"), lambda batches: placed_labels(batches, folder))
+    release(docs.sparkSession, folder)
     if not all(counted.agg(F.sum("ordinary"), F.sum("toxic")).first()):
         return Tables()
     model = estimate_tables(counted)
@@ -446,6 +484,7 @@ def calibrate(model: Tables, measured: DataFrame, labels: DataFrame) -> None:
 
 def train(docs: DataFrame, labels: DataFrame) -> Tables:
     """Models and curve, fitted on the labelled rows whose fold is not 0."""
+    docs, _ = placed(docs)
     model = count_models(docs, labels)
     if model.events is not None:
         calibrate(model, statistics_of(docs.where(fold(F.col("doc_id").cast("long")) == CALIBRATION_FOLD), model), labels)
@@ -460,9 +499,12 @@ def with_chunks(docs: DataFrame) -> tuple[DataFrame, str]:
     name = "chunk"
     while name in (c.lower() for c in docs.columns):
         name += "_"
+    return docs.select("*", chunk_of(docs).alias(name)), name
+
+
+def chunk_of(docs: DataFrame) -> Column:
     path, index = file_place(docs)
-    chunk = F.xxhash64(path, F.floor(index / CHUNK_ROWS))
-    return docs.select("*", chunk.alias(name)), name
+    return F.xxhash64(path, F.floor(index / CHUNK_ROWS))
 
 
 def look_up(docs: DataFrame, chunk: str, model: Tables) -> str:
@@ -482,6 +524,8 @@ def look_up(docs: DataFrame, chunk: str, model: Tables) -> str:
                     yield pa.RecordBatch.from_arrays([pa.array([key] * int(new.sum()), pa.int64()), event_names(codes[new]),
                                                       pa.array(h[new].view(np.int64))], names=["chunk", "event", "h"])
 
+        give_back()
+
     folder = scratch(docs.sparkSession, "toxicity-values")
     rows = docs.select(F.col(chunk).alias("chunk"), F.col("text").cast("string")).mapInArrow(
         wanted, "chunk long, event string, h long")
@@ -514,6 +558,8 @@ def _measured(docs: DataFrame, model: Tables, answer, schema, columns: list | No
                     now, values = key, _by_hash([pq.read_table(f, columns=["h", "value"], partitioning=None)
                                                  for f in folder_files(f"{folder}/chunk={key}", ".parquet")])
                 yield answer(part.drop_columns([chunk]), text_statistics(part.column("text"), *values))
+        now, values = None, _by_hash([])
+        give_back()
 
     return (docs if columns is None else docs.select(*columns, chunk)).mapInArrow(run, schema)
 
@@ -543,6 +589,7 @@ def score_documents(docs: DataFrame, model: Tables) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``scored`` for every document, with models and a curve from its own labelled
     rows: all texts are measured once, those kept for the curve among them."""
+    docs, _ = placed(docs)
     model = count_models(docs, labels)
     measured = statistics_of(docs, model)
     if model.events is not None:
@@ -554,6 +601,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not call toxic, all columns."""
+    docs, _ = placed(docs)
     model = train(docs, labels)
     bare = Tables(curve=model.curve)
     return _measured(docs, model, lambda part, z: part.filter(pa.array(bare.scores(z) < 0.5)), docs.schema)

@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from squall.llm import licenses, mixing, pivots, queries, toxicity
@@ -409,3 +410,23 @@ def test_pipeline_stages(spark, tmp):
         docs = out
     assert first > 0
     assert corpus_pipeline.run(spark, data.SF).columns == out.columns
+
+
+def test_toxicity_counts_take_labels_without_moving_texts(spark, tmp, monkeypatch):
+    """Labels reach the rows of a chunk by their places: no text is exchanged, and repeated and unlabelled rows count as in a join."""
+    monkeypatch.setattr(toxicity, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(toxicity, "release", lambda *tables: None)
+    rows = [(i % 17 if i % 9 else None, f"text {i} of {i % 4}" if i % 5 else None, "s") for i in range(60)]
+    docs = data.on_disk(data.documents(spark, rows), f"{tmp}/docs")
+    labels = spark.createDataFrame([(i, 1, [0, 1, None][i % 3]) for i in range(17) if i != 4] + [(5, 1, 1), (None, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    seen = []
+    count = toxicity.count_table
+    monkeypatch.setattr(toxicity, "count_table", lambda texts, *how: seen.append((texts, count(texts, *how))) or seen[-1][1])
+    toxicity.count_models(docs, labels)
+    monkeypatch.undo()
+    assert "Exchange" not in seen[0][0]._jdf.queryExecution().executedPlan().toString()
+    joined = (docs.where(~toxicity.fold(F.col("doc_id")).isin(0, toxicity.CALIBRATION_FOLD))
+              .join(toxicity.marked(labels), "doc_id").select("text", "toxic"))
+    want = {r.event: (r.ordinary, r.toxic) for r in toxicity.count_table(joined).collect()}
+    assert want and {r.event: (r.ordinary, r.toxic) for r in seen[0][1].collect()} == want
