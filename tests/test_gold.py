@@ -330,3 +330,18 @@ def test_summary_mean_skips_nan_and_infinity(spark):
     assert exact.entity_id == 5 and exact.temperature == 15.0
     plain = daily_summary(df.where(~F.isnull("temperature") & (F.col("entity_id") != "3"))).first()
     assert plain.temperature == 15.0
+
+
+def test_compaction_is_spread_over_dates(spark, tmp, monkeypatch):
+    """A fact smaller than one file is still rewritten by a task for each date, into few files."""
+    monkeypatch.setattr(commits, "TASK_BYTES", 1)
+    path = os.path.join(tmp, "fact")
+    rows = gold_rows(spark, 40).withColumn("weather_start", F.col("weather_start") + F.make_dt_interval(days=F.col("entity_id").cast("int") % 8))
+    for i in range(2):
+        sinks.append_new(rows.where(f"entity_id % 2 = {i}"), path, i)
+    seen = sorted(map(str, sinks.read_fact(spark, path).collect()))
+    assert commits.compact(spark, path) == {"batches": 2, "attempts": 2}
+    commits.vacuum(spark, path, keep_seconds=-1)
+    files = glob.glob(f"{path}/data/*/*/*.parquet")
+    assert len({os.path.basename(f).split("-")[1] for f in files}) > 1  # written by several tasks
+    assert len(files) < 16 and sorted(map(str, sinks.read_fact(spark, path).collect())) == seen
