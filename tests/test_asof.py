@@ -129,3 +129,16 @@ def test_hot_instant_and_segment_count_do_not_change_results(spark):
 def test_zero_tolerance_is_exact_match(spark):
     got = run(spark, [(1, T0), (2, at(seconds=1))], [(10, T0), (11, at(seconds=3))], tol=0)
     assert got == {1: 10}
+
+
+def test_broadcast_plan_ranks_candidates_without_their_rows(spark):
+    """Candidates are compared as numbers; ties, ends of the tolerance and instants before 1970 as before."""
+    import datetime as dt
+    at = lambda us: dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
+    left = [(i, at(us)) for i, us in enumerate([-10, -5, 0, 5, 10, 13, 17, 18, 40])] + [(9, None)]
+    l_df = spark.createDataFrame(left, "i int, l timestamp_ntz")
+    r_df = spark.createDataFrame([(at(us), f"r{us}") for us in (-15, 0, 10, 24)], "r timestamp_ntz, v string")
+    out = asof_nearest(l_df, r_df, "l", "r", 7e-6, how="left")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "late" not in plan and "BroadcastHint" not in plan
+    assert {r.i: r.v for r in out.collect()} == {0: "r-15", 1: "r0", 2: "r0", 3: "r0", 4: "r10", 5: "r10", 6: "r10", 7: "r24", 8: None, 9: None}
