@@ -1,6 +1,7 @@
 """T1–T3 on small files: the streaming result equals the batch result."""
 
 import datetime as dt
+import glob
 import json
 import os
 import re
@@ -325,3 +326,18 @@ def test_known_alerts_prune_the_fact(spark, tmp):
     assert {r.entity_id for r in known.collect()} >= {"2", "m", "n"}  # and whatever else these dates hold
     assert not {r.entity_id for r in known.collect()} & {"0", "1", "4", "5"}
     assert re.search(r"PartitionFilters: \[[^\]]*weather_date", _plan(known)), _plan(known)
+
+
+def test_a_poll_is_one_micro_batch_of_files_from_many_tasks(spark, tmp, monkeypatch):
+    """Polls are written by as many tasks as their events are read by, and still taken one by one."""
+    from squall.plans import standins
+    read = standins._read
+    monkeypatch.setattr(standins, "_read", lambda s, d, name, *a: read(s, d, name, *a).repartition(3))
+    monkeypatch.setattr("squall.session.fresh_dir", lambda s, prefix: f"{tmp}/{prefix}")
+    standins._stream_polls(spark, "/root/testdata/sf0.001", f"{tmp}/alerts", f"{tmp}/check")
+    for poll in range(standins.POLLS):
+        assert len(glob.glob(f"{tmp}/bronze-polls/poll={poll}/*.json")) == 3
+    rows = spark.read.parquet(f"{tmp}/alerts")
+    assert {n for n in os.listdir(f"{tmp}/check/commits") if n[0] != "."} == {str(i) for i in range(standins.POLLS)}
+    assert rows.select("ingest_ts").distinct().count() == standins.POLLS - 1  # the last poll holds nothing new
+    assert 0 < rows.count() == rows.select(*K.ALERT_DEDUP_KEY).distinct().count()
