@@ -21,9 +21,9 @@ All counts come from distributed aggregation over every labelled training row.
 The model is two tables, one row for every counted event and every context, and
 grows with the corpus: continuation counts, discounts and totals are grouped and
 joined in Spark, and neither driver nor tasks hold it whole. Texts are scored in
-chunks of ``CHUNK_ROWS`` rows of a file: the different events of each chunk are
-joined to the tables and written to a folder of the chunk, which the task that
-scores the chunk's rows reads.
+chunks of ``CHUNK_ROWS`` rows of a file: the different events of each chunk, as
+contexts and what follows them, are joined to the tables and written to a folder
+of the chunk, which the task that scores the chunk's rows reads.
 
 Edge cases: null and empty texts have statistics 0 and thus the curve's score for
 no evidence; null labels are no labels; a doc_id labelled more than once counts
@@ -34,7 +34,7 @@ alike. Other input columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -197,6 +197,17 @@ def text_statistics(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> np
     return np.stack([signed, above], axis=1)
 
 
+def followers_of_contexts(codes: np.ndarray) -> pa.RecordBatch:
+    """Different events (n, ORDER) by what precedes their last character: every
+    context once, and the code points that follow it."""
+    h = code_hash(codes[:, :-1])
+    order = np.argsort(h)
+    first = np.flatnonzero(np.diff(h[order], prepend=~h[order[:1]]))
+    ends = pa.array(np.append(first, len(order)), pa.int32())
+    followers = pa.ListArray.from_arrays(ends, pa.array(codes[order, -1].astype(np.int32)))
+    return pa.RecordBatch.from_arrays([event_names(codes[order[first], :-1]), followers], names=["context", "followers"])
+
+
 def event_names(codes: np.ndarray) -> pa.Array:
     flat = np.ascontiguousarray(codes).ravel()
     size = (1 + (flat >= 0x80) + (flat >= 0x800) + (flat >= 0x10000)).reshape(codes.shape).sum(axis=1)
@@ -233,20 +244,25 @@ class Tables:
     folders: list[str] = field(default_factory=list)  # values looked up for texts
 
     def valued(self, wanted: DataFrame) -> DataFrame:
-        """``wanted`` (event and other columns) with the values that are not 0."""
-        context = self.contexts.withColumnRenamed("value", "other")
-        return (wanted.withColumn("context", F.substring("event", 1, ORDER - 1))
-                .join(self.events, "event", "left").join(context, "context", "left")
-                .withColumn("value", F.coalesce("value", "other")).drop("context", "other").where("value <> 0"))
+        """``wanted`` (context, followers and other columns) with the value of each
+        follower; contexts that were never counted are left out.
+
+        An event is named by its context and one code point, and meets the model
+        in one join: a chunk has several events of most contexts."""
+        follower = F.struct(F.ascii(F.substring("event", ORDER, 1)), "value")
+        counted = (self.events.groupBy(F.substring("event", 1, ORDER - 1).alias("context"))
+                   .agg(F.map_from_entries(F.collect_list(follower)).alias("counted")))
+        known = self.contexts.withColumnRenamed("value", "other").join(counted, "context")
+        return (wanted.join(known, "context")
+                .withColumn("values", F.transform("followers", lambda x: F.coalesce(F.try_element_at("counted", x), "other")))
+                .drop("counted", "other"))
 
     def statistics(self, texts: pa.Array) -> np.ndarray:
         """Of a few texts on the driver."""
         keys, values = np.empty(0, np.uint64), np.empty(0, np.float32)
         if self.events is not None:
-            codes, h = text_events(texts)
-            wanted = pa.table({"event": event_names(codes), "h": pa.array(h.view(np.int64))})
-            got = self.valued(self.events.sparkSession.createDataFrame(wanted)).select("h", "value").toArrow()
-            keys, values = _by_hash([got])
+            wanted = pa.Table.from_batches([followers_of_contexts(text_events(texts)[0])])
+            keys, values = _by_hash([self.valued(self.events.sparkSession.createDataFrame(wanted)).toArrow()])
         return text_statistics(texts, keys, values)
 
     def scores(self, statistics: np.ndarray) -> np.ndarray:
@@ -256,10 +272,16 @@ class Tables:
         return self.curve[0] * statistics[:, 0] + self.curve[1] * statistics[:, 1]
 
 
-def _by_hash(tables: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
-    h = np.concatenate([t.column("h").to_numpy() for t in tables] or [np.empty(0, np.int64)]).view(np.uint64)
-    value = np.concatenate([t.column("value").to_numpy() for t in tables] or [np.empty(0, np.float32)])
-    return h, value
+def _by_hash(tables: Iterable[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and values of the events in tables of context, followers and values."""
+    h, value = [np.empty(0, np.uint64)], [np.empty(0, np.float32)]
+    for batch in (b for t in tables for b in t.to_batches()):
+        contexts = code_points(strings(batch.column("context")))[0].reshape(-1, ORDER - 1)
+        followers = batch.column("followers")
+        contexts = np.repeat(contexts, followers.value_lengths().to_numpy(), axis=0)
+        h.append(code_hash(np.column_stack([contexts, followers.flatten().to_numpy().astype("<u4")])))
+        value.append(batch.column("values").flatten().to_numpy())
+    return np.concatenate(h), np.concatenate(value)
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default) -> np.ndarray:
@@ -521,16 +543,16 @@ def look_up(docs: DataFrame, chunk: str, model: Tables) -> str:
                 if new.any():
                     # stable: the long sorted part is merged, not sorted again
                     seen = np.sort(np.concatenate([seen, np.sort(h[new])]), kind="stable")
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * int(new.sum()), pa.int64()), event_names(codes[new]),
-                                                      pa.array(h[new].view(np.int64))], names=["chunk", "event", "h"])
+                    found = followers_of_contexts(codes[new])
+                    yield found.add_column(0, "chunk", pa.repeat(pa.scalar(key, pa.int64()), found.num_rows))
 
         give_back()
 
     folder = scratch(docs.sparkSession, "toxicity-values")
     rows = docs.select(F.col(chunk).alias("chunk"), F.col("text").cast("string")).mapInArrow(
-        wanted, "chunk long, event string, h long")
-    (model.valued(rows).select("chunk", "h", "value").repartition("chunk", F.pmod("h", F.lit(CHUNK_FILES)))
-     .write.partitionBy("chunk").parquet(folder))
+        wanted, "chunk long, context string, followers array<int>")
+    (model.valued(rows).select("chunk", "context", "followers", "values")
+     .repartition("chunk", F.pmod(F.xxhash64("context"), F.lit(CHUNK_FILES))).write.partitionBy("chunk").parquet(folder))
     return folder
 
 
@@ -555,8 +577,8 @@ def _measured(docs: DataFrame, model: Tables, answer, schema, columns: list | No
         for batch in batches:
             for part, key in by_chunk(batch, chunk):
                 if folder and key != now:
-                    now, values = key, _by_hash([pq.read_table(f, columns=["h", "value"], partitioning=None)
-                                                 for f in folder_files(f"{folder}/chunk={key}", ".parquet")])
+                    now, values = key, _by_hash(pq.read_table(f, columns=["context", "followers", "values"], partitioning=None)
+                                                for f in folder_files(f"{folder}/chunk={key}", ".parquet"))
                 yield answer(part.drop_columns([chunk]), text_statistics(part.column("text"), *values))
         now, values = None, _by_hash([])
         give_back()

@@ -91,6 +91,33 @@ def test_toxicity_of_chunks_is_that_of_texts(spark, tmp, monkeypatch):
     assert [got[i] for i, _, _ in rows] == pytest.approx(model.evidence(want).tolist())
 
 
+def test_toxicity_looks_each_context_up_once(spark, tmp, monkeypatch):
+    """A chunk sends a context once, with all that follows it, and gets the values that memory gives."""
+    import pyarrow as pa
+    _, _, rows = _corpus(spark, 200)
+    odd = "\U00020000\U0002a6df \u6587\u5b57 \xfcn\xefc \U00020000\U0002a6e0"
+    texts, toxic = [f"{t} {odd}" for _, t, _ in rows], np.array([int(i % 5 == 0) for i, _, _ in rows])
+    seen = toxicity.count_table(spark.createDataFrame(list(zip(texts, toxic.tolist())), "text string, toxic int"))
+    plain, tables = toxicity.estimate(*toxicity.count_events(pa.array(texts), toxic)), toxicity.estimate_tables(seen)
+    sent = []
+    valued = tables.valued
+    monkeypatch.setattr(tables, "valued", lambda wanted: sent.append(wanted.cache()) or valued(sent[0]))
+    new = ["banter \U00020000\U0002a6e1 zhulkerx", "qqqq zzzz", None, "", f"ban {odd}", *texts[:40]]
+    docs = data.on_disk(data.documents(spark, [(i, t, "s") for i, t in enumerate(new)]).coalesce(1), f"{tmp}/contexts")
+    docs, chunk = toxicity.with_chunks(docs)
+    folder = toxicity.look_up(docs, chunk, tables)
+    codes, h = toxicity.text_events(pa.array(new))
+    names = Counter(r.context + chr(x) for r in sent[0].collect() for x in r.followers)
+    assert names == Counter(toxicity.event_names(codes).to_pylist())
+    assert sent[0].count() == len({n[:-1] for n in names}) < 0.7 * len(names)
+    want = toxicity._find(plain.contexts, plain.context_value, toxicity.code_hash(codes[:, :-1]), np.float32(0))
+    want = toxicity._find(plain.events, plain.event_value, h, want)
+    got = toxicity._by_hash([spark.read.parquet(folder).select("context", "followers", "values").toArrow()])
+    assert len(got[0]) == len(set(got[0].tolist()))
+    assert toxicity._find(*got, h, np.float32(0)).tolist() == pytest.approx(want.tolist(), abs=1e-4)
+    assert np.count_nonzero(want) > 100
+
+
 @pytest.mark.parametrize("kind", ["phrases", "words"])
 def test_toxicity_without_insults(spark, kind):
     """Toxic texts are known by phrases of ordinary words, or by ordinary words that they use more often."""
