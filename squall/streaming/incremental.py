@@ -13,6 +13,8 @@
   is read anew for every micro-batch. Alerts whose hour has not landed wait in
   buckets by day (``streaming.pending``); a later batch, or start of the stream,
   takes up the buckets that new weather reaches and leaves the others unread.
+  Keys alone decide what is new and which hour it meets; the texts move through
+  one exchange and are written once beside the fact and what waits.
 
 A replayed micro-batch has the same number, so it replaces its own snapshot,
 fact batch and pending rows.
@@ -38,7 +40,7 @@ from squall.operators.dedup import distinct_rows, first_per_key
 from squall.operators.reshape import rename
 from squall.functions.timefn import plus_seconds, utc_date
 from squall.plans import gold
-from squall.session import shared_dir
+from squall.session import shared_dir, shuffles_dropped
 from squall.sources import commits, sinks
 from squall.sources.snapshots import live_and_latest_history
 from squall.streaming.ledger import KeyLedger
@@ -232,23 +234,29 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
 
     def match(waiting: list[Waiting], batch: DataFrame | None, number: int) -> None:
         current()
-        parts = ([pending.read(waiting)] if waiting else []) + ([batch] if batch is not None else [])
+        pending.clear()
+        parts = ([gold.aligned_alerts(pending.read(waiting))] if waiting else []) + ([batch] if batch is not None else [])
         # what waits came first and stays; then one row per alert key
-        parts = [p.select(*K.ALERT_COLUMNS, F.lit(i).alias("_late")) for i, p in enumerate(parts)]
+        parts = [p.withColumn("_late", F.lit(i)) for i, p in enumerate(parts)]
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        rows = first_per_key(rows, K.ALERT_DEDUP_KEY, order=["_late"]).select(*K.ALERT_COLUMNS).checkpoint(eager=True)
-        others = pending.beside(rows, waiting)
-        fresh = rows
+        # all is decided by the keys; the texts are moved once, to the hours of their alerts
+        keys = pending.step("keys", rows.select(*K.ALERT_DEDUP_KEY).distinct())
+        others = pending.beside(keys, waiting)
+        fresh = keys
         if others is not None:
             fresh = anti_join_null_safe(fresh, others.select(*K.ALERT_DEDUP_KEY), list(K.ALERT_DEDUP_KEY))
         fact = sinks.read_fact(spark, fact_path)
         if fact is not None:
-            known = known_alerts(fact.where(F.col("batch_id") != F.lit(base + number)), rows, tolerance_seconds)
+            known = known_alerts(fact.where(F.col("batch_id") != F.lit(base + number)), keys, tolerance_seconds)
             fresh = anti_join_null_safe(fresh, known, list(K.ALERT_DEDUP_KEY))
-        joined = asof_nearest(fresh.checkpoint(eager=True), state["hours"], "start", "startTime", tolerance_seconds, how="left",
-                              right_unique=True, windows=state["windows"])
-        joined = rename(joined, {"startTime": "weather_start", "endTime": "weather_end"}).checkpoint(eager=True)
-        out = sinks.append_new(joined.where(F.col("weather_start").isNotNull()), fact_path, base + number, materialized=True)
+        hours = asof_nearest(pending.step("fresh", fresh), state["hours"], "start", "startTime", tolerance_seconds, how="left",
+                             right_unique=True, windows=state["windows"])
+        hours = pending.step("hours", rename(hours, {"startTime": "weather_start", "endTime": "weather_end"}))
+        rows = first_per_key(rows, K.ALERT_DEDUP_KEY, order=["_late", *gold.STACK_ORDER], beside=hours,
+                             ranged=["start", "entity_id", "routeId"])
+        joined = pending.step("rows", rows.select(*schemas.GOLD.fieldNames()))
+        out = sinks.append_new(joined.where(F.col("weather_start").isNotNull()), fact_path, base + number, materialized=True,
+                               clustered=True)
         left = joined.where(F.col("weather_start").isNull()).select(*K.ALERT_COLUMNS)
         out["expired"] = 0
         if old_before() is not None:
@@ -256,6 +264,7 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
             out["expired"] = left.where(old).count()
             left = left.where(~old)
         out["pending"] = pending.write(left, number, state["reach"])
+        pending.clear()
         if on_batch:
             on_batch(out)
 
@@ -282,10 +291,15 @@ def enrich_and_append(alerts: DataFrame, weather: DataFrame | Callable[[], DataF
         pending.remove_round(batch_id)  # of a try that was cut off
         if batch_id not in pending.rounds():
             pending.take(batch_id, due())
-        match(pending.taken(batch_id), gold.prepare_alerts(batch), batch_id)
+        match(pending.taken(batch_id), gold.aligned_alerts(batch), batch_id)
 
-    retry()
-    writer = alerts.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    def tidily(batch: DataFrame, batch_id: int) -> None:
+        with shuffles_dropped(spark, batch.sparkSession):
+            per_batch(batch, batch_id)
+
+    with shuffles_dropped(spark):
+        retry()
+    writer = alerts.writeStream.foreachBatch(tidily).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 

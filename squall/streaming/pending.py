@@ -8,7 +8,7 @@ another now; its rows are read and tried, the others are not touched.
 What a round takes up is noted before anything is written (``_taken/<round>``) and
 stays on disk until the round can no longer be replayed (``settle``), so a
 replay starts from the same rows. A round's own leavings are removed before it
-is played again.
+is played again. ``_work`` holds the steps of the round at hand.
 """
 
 from __future__ import annotations
@@ -103,6 +103,17 @@ class PendingAlerts:
     def remove_round(self, number: int) -> None:
         self._remove([f for f in self.folders() if f.round == number])
 
+    # -- steps of the round at hand --
+
+    def step(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written beside what waits and read again, until ``clear``."""
+        path = f"{self.root}/_work/{name}"
+        rows.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def clear(self) -> None:
+        self._fs().delete(self._path(f"{self.root}/_work"), True)
+
     # -- rows --
 
     def read(self, folders: list[Waiting]) -> DataFrame:
@@ -139,10 +150,11 @@ class PendingAlerts:
         return self.read(sorted(there)) if there else None
 
     def write(self, rows: DataFrame, number: int, reach: DataFrame) -> int:
-        """Leave alerts waiting; how many."""
+        """Leave alerts waiting; how many. ``rows`` lie in ranges of ``start``, so
+        they are written as they are; ``reach`` has one row per day."""
         obs = Observation(f"pending_{number}")
-        tagged = (rows.withColumn("bucket", bucket_of()).join(reach, "bucket", "left")
+        tagged = (rows.withColumn("bucket", bucket_of()).join(F.broadcast(reach), "bucket", "left")
                   .withColumns({"seen": F.coalesce("n", F.lit(0)), "round": F.lit(number).cast("long")}).drop("n"))
-        (tagged.repartitionByRange("bucket", "start").observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("append").partitionBy("bucket", "seen", "round").parquet(self.root))
+        (tagged.observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").option("compression", "zstd").partitionBy("bucket", "seen", "round").parquet(self.root))
         return int(obs.get.get("rows", 0) or 0)

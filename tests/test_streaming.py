@@ -5,11 +5,13 @@ import glob
 import json
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from squall import constants as K
 from squall import schemas
+from squall.operators.dedup import first_per_key
 from squall.plans import gold, silver
 from squall.sources import bronze, sinks
 from squall.sources.snapshots import live_and_latest_history
@@ -341,3 +343,69 @@ def test_a_poll_is_one_micro_batch_of_files_from_many_tasks(spark, tmp, monkeypa
     assert {n for n in os.listdir(f"{tmp}/check/commits") if n[0] != "."} == {str(i) for i in range(standins.POLLS)}
     assert rows.select("ingest_ts").distinct().count() == standins.POLLS - 1  # the last poll holds nothing new
     assert 0 < rows.count() == rows.select(*K.ALERT_DEDUP_KEY).distinct().count()
+
+
+def _bytes(*folders):
+    return sum(os.path.getsize(p) for top in folders for p in glob.glob(f"{top}/**", recursive=True) if os.path.isfile(p))
+
+
+def test_enriched_texts_leave_no_copies_behind(spark, tmp):
+    """Neither checkpoints nor shuffle files hold the texts once a batch is over."""
+    texts = [os.urandom(20_000).hex() for _ in range(100)]
+    rows = [(str(i), "A", T0 + dt.timedelta(days=i % 2, seconds=i), None, "Snow", t) for i, t in enumerate(texts)]
+    size = sum(map(len, texts))
+    jvm = spark.sparkContext._jvm
+    local = [f.getPath() for f in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    kept = [spark.sparkContext.getCheckpointDir().removeprefix("file:")]
+    jvm.System.gc()
+    time.sleep(2)  # the cleaner's turn
+    shuffled, checkpointed = _bytes(*local), _bytes(*kept)
+    _hour(spark, tmp, 0, T0)
+    _land(spark, tmp, "p0", rows)
+    assert len(_enrich(spark, tmp)) == 50
+    _hour(spark, tmp, 1, T0 + dt.timedelta(days=1))
+    assert len(_enrich(spark, tmp)) == 100
+    fact = sinks.read_fact(spark, os.path.join(tmp, "fact"))
+    assert sorted(r[0] for r in fact.select("description_text").collect()) == sorted(texts)
+    assert _bytes(*kept) - checkpointed < size / 4
+    for _ in range(40):  # executors drop them in their own time
+        if _bytes(*local) - shuffled < size / 4:
+            break
+        time.sleep(0.25)
+    assert _bytes(*local) - shuffled < size / 4
+    assert not os.path.exists(os.path.join(tmp, "_ck-pending", "_work"))
+
+
+def test_first_rows_meet_what_lies_beside_in_one_exchange(spark, tmp):
+    rows = spark.createDataFrame([("1", "A", T0, None, "b", None), ("1", "A", T0, None, "a", "x"), ("1", None, T0, None, "n", None),
+                                  (None, "A", T0, None, "z", None), ("2", "A", T0, None, "gone", None)], schemas.ALERT)
+    beside = spark.createDataFrame([("1", "A", T0, 1.0), ("1", None, T0, None), (None, "A", T0, 3.0), ("9", "A", T0, 9.0)],
+                                   "entity_id string, routeId string, start timestamp, temperature double")
+    rows.write.parquet(f"{tmp}/rows")
+    beside.write.parquet(f"{tmp}/beside")
+    out = first_per_key(spark.read.parquet(f"{tmp}/rows"), K.ALERT_DEDUP_KEY, beside=spark.read.parquet(f"{tmp}/beside"),
+                        ranged=["start", "entity_id", "routeId"])
+    got = {(r.entity_id, r.routeId): (r.header_text, r.description_text, r.temperature) for r in out.collect()}
+    assert got == {("1", "A"): ("a", "x", 1.0), ("1", None): ("n", None, None), (None, "A"): ("z", None, 3.0)}
+    assert out.count() == 3 and out.columns == [*schemas.ALERT.fieldNames(), "temperature"]
+    assert _plan(out).split("Initial Plan")[-1].count("Exchange ") == 1, _plan(out)
+
+
+def test_clustered_rows_meet_the_fact_as_others_do(spark, tmp, monkeypatch):
+    """Alerts of one weather hour and header, in two batches: J3 drops them however it is planned."""
+    def gold_rows(ids):
+        alerts = spark.createDataFrame([(e, r, T0 + dt.timedelta(seconds=s), None, h, None) for e, r, s, h in ids], schemas.ALERT)
+        wx = spark.createDataFrame([(T0, None, 1.0, "Snow")], schemas.WEATHER)
+        return gold.combine(alerts, wx)
+    held = [("1", "A", 0, "h"), ("2", None, 0, "h"), ("3", "A", 0, None)]
+    new = [("1", "A", 5, "h"), ("1", "A", 6, "i"), ("2", None, 5, "h"), ("3", "A", 5, None), ("4", "A", 0, "h"), ("4", "A", 1, "h")]
+    gold_rows(new).write.parquet(f"{tmp}/new")
+    left = []
+    for n, (clustered, most) in enumerate(((False, 0), (True, 10), (True, 0))):
+        monkeypatch.setattr(sinks, "BROADCAST_KEYS", most)
+        path = f"{tmp}/fact{n}"
+        sinks.append_new(gold_rows(held), path, 1)
+        rows = spark.read.parquet(f"{tmp}/new")
+        assert sinks.append_new(rows, path, 2, materialized=True, clustered=clustered) == {"new_rows": 3}
+        left.append(sorted((r.entity_id, r.start, r.header_text) for r in sinks.read_fact(spark, path).where("batch_id = 2").collect()))
+    assert left[0] == left[1] == left[2] and [x[0] for x in left[0]] == ["1", "4", "4"]
